@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload is batch only.
+
+Late data is handled by a full refresh or by replaying a date window
+(``operators.merge``), so there is no stream, watermark or state to keep.
+"""
