@@ -3,8 +3,8 @@
 Spark's own string cast is more lenient than the contract (it takes ``2024``, a
 blank instead of ``T``, padded text, a bare time as *today*) and reads text
 without a zone in the session zone. The expressions below first decide by shape
-what the text is, and only cast complete text that names its zone, so results do
-not depend on ``spark.sql.session.timeZone``. Nothing here raises on bad text.
+what the text is, so results do not depend on ``spark.sql.session.timeZone``.
+Nothing here raises on bad text.
 """
 
 from __future__ import annotations
@@ -14,47 +14,43 @@ from pyspark.sql import functions as F
 
 _DAY = r"\d{4}-\d{2}-\d{2}"
 _ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)"
-_COMPLETE = rf"^{_DAY}T\d{{2}}:\d{{2}}:\d{{2}}(\.\d{{1,9}})?(Z|[+-]\d{{2}}:\d{{2}})\z"
-_PARTIAL = rf"^{_DAY}(T\d{{2}}(:\d{{2}}(:\d{{2}}(\.\d{{1,9}})?)?)?{_ZONE}?)?\z"
+# Nearly all real input: complete, in UTC, whole seconds or at least milliseconds.
+_UTC = rf"^{_DAY}T\d{{2}}:\d{{2}}:\d{{2}}(\.\d{{3,9}})?(Z|[+]00:00)\z"
+_ANY = rf"^{_DAY}(T\d{{2}}(:\d{{2}}(:\d{{2}}(\.\d{{1,9}})?)?)?{_ZONE}?)?\z"
 
 
-def _completed(text: Column) -> Column:
+def _completed(text: str) -> str:
     """Fill in the parts an abbreviated ISO text leaves out (UTC, minutes, seconds)."""
-    zoned = (
-        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .when(text.rlike(rf"T.*{_ZONE}$"), text)
-        .otherwise(F.concat(text, F.lit("Z")))
-    )
-    minutes = F.regexp_replace(zoned, rf"T(\d{{2}})({_ZONE})$", "T$1:00$2")
-    return F.regexp_replace(minutes, rf"T(\d{{2}}:\d{{2}})({_ZONE})$", "T$1:00$2")
+    zoned = rf"""CASE WHEN length({text}) = 10 THEN {text} || 'T00:00:00Z'
+                     WHEN {text} RLIKE r'T.*{_ZONE}\z' THEN {text}
+                     ELSE {text} || 'Z' END"""
+    minutes = rf"regexp_replace({zoned}, r'T(\d{{2}})({_ZONE})\z', 'T$1:00$2')"
+    return rf"regexp_replace({minutes}, r'T(\d{{2}}:\d{{2}})({_ZONE})\z', 'T$1:00$2')"
+
+
+def _any_zone(text: str) -> str:
+    """Through the instant: independent of the session zone, floored to milliseconds."""
+    millis = f"unix_millis(try_cast({_completed(text)} AS TIMESTAMP))"
+    return f"timestampadd(MICROSECOND, 1000 * {millis}, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
 
 
-def utc_millis(column: Column | str) -> Column:
+def utc_millis(column: str) -> Column:
     """``timestamp_ntz`` in UTC cut to milliseconds; null if the text is no ISO 8601 time."""
-    text = F.col(column) if isinstance(column, str) else column
-    # The complete form is nearly all real input: one pattern match, no rewriting.
-    instant = (
-        F.when(text.rlike(_COMPLETE), text.try_cast("timestamp"))
-        .when(text.rlike(_PARTIAL), _completed(text).try_cast("timestamp"))
+    text = f"`{column}`"
+    cut = f"left({text}, IF(substr({text}, 20, 1) = '.', 23, 19))"
+    return F.expr(
+        f"""CASE WHEN {text} RLIKE r'{_UTC}' THEN try_cast({cut} AS TIMESTAMP_NTZ)
+                 WHEN {text} RLIKE r'{_ANY}' THEN {_any_zone(text)} END"""
     )
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.unix_millis(instant) * 1000, epoch)
 
 
-def utc_date(column: Column | str) -> Column:
+def utc_date(column: str) -> Column:
     """UTC calendar date of an ISO 8601 text."""
     return utc_millis(column).cast("date")
 
 
-# The same rule for SQL text: a session function that Catalyst inlines.
-SQL_FUNCTION = rf"""
+# The rule for SQL text, always through the instant: a function Catalyst inlines.
+SQL_FUNCTION = f"""
 CREATE OR REPLACE TEMPORARY FUNCTION utc_millis(s STRING) RETURNS TIMESTAMP_NTZ RETURN
-  timestampadd(MICROSECOND, 1000 * unix_millis(try_cast(
-    CASE WHEN NOT s RLIKE r'{_PARTIAL}' THEN NULL
-         WHEN length(s) = 10 THEN s || 'T00:00:00Z'
-         ELSE regexp_replace(regexp_replace(
-                CASE WHEN s RLIKE r'T.*{_ZONE}$' THEN s ELSE s || 'Z' END,
-                r'T(\d{{2}})({_ZONE})$', 'T$1:00$2'),
-              r'T(\d{{2}}:\d{{2}})({_ZONE})$', 'T$1:00$2')
-    END AS TIMESTAMP)), TIMESTAMP_NTZ'1970-01-01 00:00:00')
+  CASE WHEN s RLIKE r'{_ANY}' THEN {_any_zone("s")} END
 """

@@ -8,8 +8,8 @@ final step sums a few dozen rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -73,7 +73,7 @@ class Tables:
 class Check:
     """One check. Its failures are the sum of its parts' values, or 0/1 by ``verdict``.
 
-    ``shared`` holds (table, aggregate) pairs evaluated in that table's one scan;
+    ``shared`` holds (table, SQL aggregate) pairs evaluated in that table's one scan;
     ``own`` builds a DataFrame with a single ``value``. ``needs`` are the columns
     read, used to tell which checks a missing column breaks.
     """
@@ -82,10 +82,10 @@ class Check:
     model: str
     column: str
     kind: str
-    shared: tuple[tuple[str, Column], ...] = ()
+    shared: tuple[tuple[str, str], ...] = ()
     own: Callable[[Tables], DataFrame] | None = None
     verdict: str = "sum"  # sum | zero (fails if 0) | differs (fails unless 0)
-    needs: tuple[tuple[str, str], ...] = field(default=())
+    needs: tuple[tuple[str, str], ...] = ()
 
 
 def checks_for(layer: str, window: DateWindow | None = None) -> list[Check]:
@@ -95,7 +95,7 @@ def checks_for(layer: str, window: DateWindow | None = None) -> list[Check]:
     checks: list[Check] = []
     for model in LAYERS[layer]:
         for column, kind in COLUMN_CHECKS[model]:
-            checks.append(_column_check(model, column, kind))
+            checks.append(_not_null(model, column) if kind == "not_null" else _unique(model, column))
         if model.endswith("events"):
             checks.append(_accepted_types(model))
     if staging:
@@ -118,50 +118,52 @@ def checks_for(layer: str, window: DateWindow | None = None) -> list[Check]:
 # -- definitions -----------------------------------------------------------------
 
 
-def _rows() -> Column:
-    return F.count(F.lit(1))
+def _rows(name: str) -> Column:
+    return F.count(F.lit(1)).alias(name)
 
 
-def _row_check(name: str, model: str, column: str, kind: str, failing: Column) -> Check:
-    return Check(
-        name, model, column, kind, ((model, F.count_if(failing)),), needs=((model, column),)
-    )
+def _row_check(name: str, model: str, column: str, kind: str, failing: str) -> Check:
+    shared = ((model, f"count_if({failing})"),)
+    return Check(name, model, column, kind, shared, needs=((model, column),))
 
 
-def _column_check(model: str, column: str, kind: str) -> Check:
-    name = f"{kind}_{model}_{column}"
-    if kind == "not_null":
-        return _row_check(name, model, column, kind, F.col(column).isNull())
+def _not_null(model: str, column: str) -> Check:
+    name = f"not_null_{model}_{column}"
+    return _row_check(name, model, column, "not_null", f"{column} IS NULL")
 
+
+def _unique(model: str, column: str) -> Check:
     def repeated_groups(tables: Tables) -> DataFrame:
         per_key = getattr(tables, model).groupBy(column).count()
-        return per_key.agg(F.count_if(F.col("count") > 1).alias("value"))
+        return per_key.selectExpr("count_if(count > 1) AS value")
 
-    return Check(name, model, column, kind, own=repeated_groups, needs=((model, column),))
+    name = f"unique_{model}_{column}"
+    return Check(name, model, column, "unique", own=repeated_groups, needs=((model, column),))
 
 
 def _accepted_types(model: str) -> Check:
-    unknown = ~F.col("event_type").isin(*EVENT_TYPES)
+    accepted = ", ".join(f"'{kind}'" for kind in EVENT_TYPES)
+    unknown = f"event_type NOT IN ({accepted})"
     return _row_check(f"accepted_values_{model}", model, "event_type", "accepted_values", unknown)
 
 
 def _valid_time(name: str, model: str, column: str) -> Check:
-    return _row_check(name, model, column, "timestamp", F.col(_TIME).isNull())
+    return _row_check(name, model, column, "timestamp", f"{_TIME} IS NULL")
 
 
 def _nonempty(model: str) -> Check:
-    return Check(f"nonempty_{model}", model, "", "nonempty", ((model, _rows()),), verdict="zero")
+    return Check(f"nonempty_{model}", model, "", "nonempty", ((model, "count(*)"),), verdict="zero")
 
 
 def _nonnegative(model: str) -> Check:
     name = f"nonnegative_amount_{model}"
-    return _row_check(name, model, "amount", "nonnegative", F.col("amount") < 0)
+    return _row_check(name, model, "amount", "nonnegative", "amount < 0")
 
 
 def _relationship(events: str, users: str) -> Check:
     def orphaned_rows(tables: Tables) -> DataFrame:
         found = reports.orphans(getattr(tables, events), getattr(tables, users))
-        return found.agg(F.sum("events").alias("value"))
+        return found.selectExpr("sum(events) AS value")
 
     needs = ((events, "user_id"), (users, "user_id"))
     name = f"relationships_{events}"
@@ -169,19 +171,19 @@ def _relationship(events: str, users: str) -> Check:
 
 
 def _event_counts(window: DateWindow | None) -> Check:
-    fact, staged = _rows(), _rows()
+    fact, staged = "count(*)", "-count(*)"
     needs: tuple[tuple[str, str], ...] = ()
     if window:
-        fact = F.count_if(window.covers("event_date"))
-        staged = F.count_if(window.covers(F.col(_TIME).cast("date")))
+        fact = f"count_if({window.condition('event_date')})"
+        staged = f"-count_if({window.condition(f'CAST({_TIME} AS DATE)')})"
         needs = (("fct_events", "event_date"), ("stg_raw_events", "event_timestamp"))
-    shared = (("fct_events", fact), ("stg_raw_events", -staged))
+    shared = (("fct_events", fact), ("stg_raw_events", staged))
     name = "event_count_reconciliation"
     return Check(name, "fct_events", "event_id", "reconciliation", shared, None, "differs", needs)
 
 
 def _user_counts() -> Check:
-    shared = (("dim_users", _rows()), ("stg_raw_users", -_rows()))
+    shared = (("dim_users", "count(*)"), ("stg_raw_users", "-count(*)"))
     name = "user_count_reconciliation"
     return Check(name, "dim_users", "user_id", "reconciliation", shared, None, "differs")
 
@@ -191,9 +193,9 @@ def _key_date_stable(window: DateWindow) -> Check:
         # Only the replayed window is counted per key first: it is the small side,
         # and the fact history is then joined without a shuffle when it is broadcast.
         staged = models.in_window(tables.stg_raw_events, window)
-        per_key = staged.groupBy("event_id").agg(_rows().alias("n"))
+        per_key = staged.groupBy("event_id").agg(_rows("n"))
         outside = tables.fct_events.where(~window.covers("event_date")).select("event_id")
-        return outside.join(per_key, "event_id").agg(F.sum("n").alias("value"))
+        return outside.join(per_key, "event_id").selectExpr("sum(n) AS value")
 
     needs = (
         ("stg_raw_events", "event_id"),
@@ -208,7 +210,7 @@ def _key_date_stable(window: DateWindow) -> Check:
 def _profiles_unchanged() -> Check:
     def changed(tables: Tables) -> DataFrame:
         staged = models.dim_users(tables.stg_raw_users)
-        return reports.profile_changes(tables.dim_users, staged).agg(_rows().alias("value"))
+        return reports.profile_changes(tables.dim_users, staged).agg(_rows("value"))
 
     columns = ("user_id", "username", "email", "created_at", "country")
     needs = tuple((t, c) for t in ("stg_raw_users", "dim_users") for c in columns)
@@ -220,10 +222,9 @@ def _attributes_match() -> Check:
     def differing(tables: Tables) -> DataFrame:
         # A user's events carry few attribute combinations: count those, then join.
         stored = ("user_id", "username", "user_email", "user_country")
-        per_combination = tables.fct_events.groupBy(*stored).agg(_rows().alias("n"))
-        dim = tables.dim_users.select("user_id", F.struct("username", "email", "country").alias("u"))
-        joined = per_combination.join(dim, "user_id").where(reports.attributes_differ())
-        return joined.agg(F.sum("n").alias("value"))
+        per_combination = tables.fct_events.groupBy(*stored).agg(_rows("n"))
+        found = reports.enrichment_mismatches(per_combination, tables.dim_users, "n")
+        return found.selectExpr("sum(n) AS value")
 
     facts = ("user_id", "username", "user_email", "user_country")
     dims = ("user_id", "username", "email", "country")
@@ -256,92 +257,61 @@ def _with_time(tables: Tables, model: str) -> DataFrame:
     return table.withColumn(_TIME, models.parsed_time(table, text))
 
 
-def _shared_values(tables: Tables, model: str, parts: list[tuple[int, Column]]) -> DataFrame:
-    named = [value.alias(f"v{i}") for i, (_, value) in enumerate(parts)]
-    wide = _with_time(tables, model).agg(*named)
-    rows = [
-        F.struct(F.lit(position).alias("position"), F.col(f"v{i}").alias("value"))
-        for i, (position, _) in enumerate(parts)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+def _shared_values(tables: Tables, model: str, parts: list[tuple[int, str]]) -> DataFrame:
+    wide = _with_time(tables, model).selectExpr(*[f"{v} AS v{i}" for i, (_, v) in enumerate(parts)])
+    rows = ", ".join(f"{position}, v{i}" for i, (position, _) in enumerate(parts))
+    return wide.selectExpr(f"stack({len(parts)}, {rows}) AS (position, value)")
 
 
 def _values(tables: Tables, numbered: list[tuple[int, Check]]) -> DataFrame | None:
     """(position, value) rows of all given checks."""
-    shared: dict[str, list[tuple[int, Column]]] = {}
+    shared: dict[str, list[tuple[int, str]]] = {}
     parts: list[DataFrame] = []
     for position, check in numbered:
         for model, value in check.shared:
             shared.setdefault(model, []).append((position, value))
         if check.own:
-            value = check.own(tables).select(F.lit(position).alias("position"), "value")
-            parts.append(value)
+            parts.append(check.own(tables).selectExpr(f"{position} AS position", "value"))
     parts += [_shared_values(tables, model, found) for model, found in shared.items()]
-    return reduce(DataFrame.unionByName, parts) if parts else None
-
+    return reduce(DataFrame.unionAll, parts) if parts else None
 
-def _failures(checks: Iterable[Check]) -> Column:
-    """Failure count of a check from the sum of its values."""
-    total = F.coalesce(F.sum("value"), F.lit(0)).cast("long")
-    by_verdict = {"zero": total == 0, "differs": total != 0}
-    failures = total
-    for verdict, failing in by_verdict.items():
-        positions = [i for i, c in enumerate(checks) if c.verdict == verdict]
-        if positions:
-            chosen = F.col("position").isin(*positions)
-            failures = F.when(chosen, failing.cast("long")).otherwise(failures)
-    return failures
 
-
-def check_results(
-    tables: Tables, layer: str, window: DateWindow | None = None, checks: list[Check] | None = None
-) -> DataFrame:
-    """All checks of a layer as rows; lazy, one job when read.
+def _measured(tables: Tables, checks: list[Check]) -> DataFrame:
+    """(position, failures, status, error) of each check; lazy, one job when read.
 
     A check whose columns are missing gets status ``error`` and 0 failures; the
     others still run. Status, not the count, tells whether a check passed.
     """
-    checks = checks_for(layer, window) if checks is None else checks
-    numbered = list(enumerate(checks))
-    broken = {i: gone for i, c in numbered if (gone := _missing(c, tables))}
-    label = F.array(
-        *[
-            F.struct(*[F.lit(getattr(c, n)).alias(n) for n in ("name", "model", "column", "kind")])
-            for c in checks
-        ]
-    )
-    values = _values(tables, [(i, c) for i, c in numbered if i not in broken])
     spark = tables.stg_raw_events.sparkSession
+    broken = {i: gone for i, c in enumerate(checks) if (gone := _missing(c, tables))}
+    values = _values(tables, [(i, c) for i, c in enumerate(checks) if i not in broken])
     if values is None:
         values = spark.createDataFrame([], "position int, value long")
-    measured = values.groupBy("position").agg(_failures(checks).alias("failures"))
-    status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
-    results = measured.select("position", "failures", status.alias("status"), _text(None))
+
+    def positions(verdict: str) -> str:
+        return ", ".join(str(i) for i, c in enumerate(checks) if c.verdict == verdict) or "NULL"
+
+    failures = f"""CASE WHEN position IN ({positions("zero")}) THEN CAST(total = 0 AS LONG)
+                        WHEN position IN ({positions("differs")}) THEN CAST(total <> 0 AS LONG)
+                        ELSE total END AS failures"""
+    totals = values.groupBy("position").agg(F.expr("coalesce(sum(value), 0) AS total"))
+    results = totals.selectExpr("position", failures).selectExpr(
+        "*", "IF(failures = 0, 'pass', 'fail') AS status", "CAST(NULL AS STRING) AS error"
+    )
     if broken:
         rows = [(i, 0, "error", "missing " + ", ".join(gone)) for i, gone in broken.items()]
-        results = results.unionByName(
-            spark.createDataFrame(rows, "position int, failures long, status string, error string")
-        )
-    return results.select(
-        "position",
-        label[F.col("position")].alias("check"),
-        "failures",
-        "status",
-        "error",
-    ).select(
-        "position",
-        F.col("check.name").alias("test_name"),
-        "check.model",
-        F.col("check.column").alias("column_name"),
-        "check.kind",
-        "failures",
-        "status",
-        "error",
-    )
+        schema = "position int, failures long, status string, error string"
+        results = results.unionAll(spark.createDataFrame(rows, schema))
+    return results
 
 
-def _text(value: str | None) -> Column:
-    return F.lit(value).cast("string").alias("error")
+def check_results(tables: Tables, layer: str, window: DateWindow | None = None) -> DataFrame:
+    """All checks of a layer as named rows."""
+    checks = checks_for(layer, window)
+    rows = [(i, c.name, c.model, c.column, c.kind) for i, c in enumerate(checks)]
+    schema = "position int, test_name string, model string, column_name string, kind string"
+    labels = tables.stg_raw_events.sparkSession.createDataFrame(rows, schema)
+    return labels.join(_measured(tables, checks), "position")
 
 
 def gate_summary(results: DataFrame) -> DataFrame:
@@ -365,12 +335,12 @@ def run_checks(tables: Tables, layer: str, window: DateWindow | None = None) ->
     """
     checks = checks_for(layer, window)
     try:
-        found = _collected(check_results(tables, layer, window, checks))
+        found = _collected(_measured(tables, checks))
     except Exception:  # noqa: BLE001 - any engine error must end up in the audit
         found = {}
         for position, check in enumerate(checks):
             try:
-                alone = _collected(check_results(tables, layer, window, [check]))
+                alone = _collected(_measured(tables, [check]))
                 if 0 in alone:
                     found[position] = alone[0]
             except Exception as reason:  # noqa: BLE001
@@ -388,8 +358,7 @@ def run_checks(tables: Tables, layer: str, window: DateWindow | None = None) ->
 
 
 def _collected(results: DataFrame) -> dict[int, dict]:
-    rows = results.select("position", "failures", "status", "error").collect()
-    return {r["position"]: r.asDict() for r in rows}
+    return {r["position"]: r.asDict() for r in results.collect()}
 
 
 def summarize(results: list[dict]) -> dict[str, int]:

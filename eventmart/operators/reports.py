@@ -86,18 +86,14 @@ def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:
     return counted.where(F.col("rows") > 1)
 
 
-def attributes_differ(user: str = "u") -> Column:
-    """Fact attributes against dimension row ``user``, nulls comparing equal."""
-    pairs = (("username", "username"), ("user_email", "email"), ("user_country", "country"))
-    same = [F.col(f).eqNullSafe(F.col(f"{user}.{d}")) for f, d in pairs]
-    return ~(same[0] & same[1] & same[2])
-
-
-def enrichment_mismatches(facts: DataFrame, users: DataFrame) -> DataFrame:
-    """Fact rows whose stored user attributes differ from the dimension."""
-    dim = users.select("user_id", F.struct("username", "email", "country").alias("u"))
-    differing = facts.join(dim, "user_id").where(attributes_differ())
-    return differing.select("event_id", "user_id", "username", "user_email", "user_country")
+def enrichment_mismatches(facts: DataFrame, users: DataFrame, *carried: str) -> DataFrame:
+    """Facts whose stored user attributes differ from the dimension, nulls being equal."""
+    stored = F.struct(
+        F.col("username"), F.col("user_email").alias("email"), F.col("user_country").alias("country")
+    )
+    dim = users.select("user_id", F.struct("username", "email", "country").alias("_profile"))
+    differing = facts.join(dim, "user_id").where(~stored.eqNullSafe(F.col("_profile")))
+    return differing.select(*carried, "user_id", "username", "user_email", "user_country")
 
 
 def key_date_moves(staged: DataFrame, facts: DataFrame, window: DateWindow) -> DataFrame:

@@ -33,6 +33,10 @@ class DateWindow:
         day = F.col(day) if isinstance(day, str) else day
         return day.between(F.lit(self.start), F.lit(self.end))
 
+    def condition(self, day: str) -> str:
+        """``covers`` as SQL text, for a date expression."""
+        return f"{day} BETWEEN DATE'{self.start}' AND DATE'{self.end}'"
+
     def covers_text(self, day: Column | str) -> Column:
         """The same for a string partition key; no cast, so partitions are pruned."""
         day = F.col(day) if isinstance(day, str) else day

@@ -291,7 +291,7 @@ def duplicate_keys(spark, sf):
 
 
 def enrichment_mismatches(spark, sf):
-    return reports.enrichment_mismatches(_facts(spark, sf), _dims(spark, sf, "changed"))
+    return reports.enrichment_mismatches(_facts(spark, sf), _dims(spark, sf, "changed"), "event_id")
 
 
 def key_date_moves(spark, sf):

@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site capture per expression
     "spark.ui.enabled": "false",
 }
 

@@ -8,6 +8,7 @@ list itself. Beyond that the entries stay where Spark computed them, as NDJSON i
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,17 +22,12 @@ ENTRIES = "manifest-files"
 KINDS = ("events", "users")
 
 
-def _relative(spark: SparkSession, root: str, path: Column) -> Column:
-    """A file's path below ``root``, from the URI form Spark reports."""
-    base = files.qualified(spark, root).rstrip("/")
-    one_slash = F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
-    start = len(_one_slash(base)) + 2
-    return F.substring(F.url_decode(F.replace(one_slash, F.lit("+"), F.lit("%2B"))), start, 1 << 16)
-
-
-def _one_slash(base: str) -> str:
-    scheme, colon, rest = base.partition(":")
-    return f"{scheme}:/{rest.lstrip('/')}" if colon else base
+def _relative(spark: SparkSession, root: str) -> Column:
+    """A scanned file's path below ``root``."""
+    base = re.sub("^([a-z0-9]+):/+", r"\1:/", files.qualified(spark, root)).rstrip("/")
+    one_slash = F.regexp_replace("_metadata.file_path", "^([a-z0-9]+):/+", "$1:/")
+    encoded = F.substring(one_slash, len(base) + 2, 1 << 16)
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def measure(spark: SparkSession, root: str) -> DataFrame:
@@ -46,13 +42,14 @@ def measure(spark: SparkSession, root: str) -> DataFrame:
         text.where(F.trim("value") != "")
         .groupBy(F.col("_metadata.file_path").alias("uri"))
         .agg(F.count(F.lit(1)).alias("rows"))
-        .select(_relative(spark, root, F.col("uri")).alias("path"), "rows")
     )
     binary = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
     digests = binary.select(
-        _relative(spark, root, F.col("path")).alias("path"), F.sha2("content", 256).alias("sha256")
+        F.col("_metadata.file_path").alias("uri"),
+        _relative(spark, root).alias("path"),
+        F.sha2("content", 256).alias("sha256"),
     )
-    joined = digests.join(counts, "path", "left")
+    joined = digests.join(counts, "uri", "left")
     return joined.select("path", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "sha256")
 
 
@@ -142,6 +139,6 @@ def load_verified(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     for kind, scan in scans.items():
         rows = scan(spark, f"{root}/raw/{kind}")
         names = rows.columns
-        located = rows.withColumn("_listed", _relative(spark, root, F.col("_metadata.file_path")))
+        located = rows.withColumn("_listed", _relative(spark, root))
         loaded[kind] = located.join(entries, "_listed", "left_semi").select(*names)
     return loaded

@@ -35,9 +35,9 @@ def names(spark: SparkSession, path: str) -> list[str]:
 
 
 def qualified(spark: SparkSession, path: str) -> str:
-    """Absolute form with scheme, as Spark reports it in ``_metadata.file_path``."""
+    """Absolute, URL-encoded form with scheme, as Spark reports it in ``_metadata.file_path``."""
     fs, target = _open(spark, path)
-    return fs.makeQualified(target).toString()
+    return fs.makeQualified(target).toUri().toString()
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
