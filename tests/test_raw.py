@@ -1,0 +1,120 @@
+import json
+
+import pytest
+from conftest import plan_of, rows_of
+
+from eventmart.operators import models
+from eventmart.schemas import FCT_EVENTS, SchemaDrift, require
+from eventmart.sources import generate, raw
+
+WINDOW = {"start": "2024-01-02", "end": "2024-01-02"}
+
+
+@pytest.fixture(scope="module")
+def by_date(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("by-date")
+    generate.generate(spark, str(root / "d"), 10, 3, 2, 86_396, True)
+    return str(root / "d/raw/events")
+
+
+def _write(path, *records):
+    path.mkdir()
+    lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
+    (path / "part.json").write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+EVENT = {
+    "event_id": "e1",
+    "user_id": "u1",
+    "event_type": "click",
+    "page": None,
+    "timestamp": "2024-01-01T00:00:00Z",
+    "session_id": None,
+    "amount": 1,
+}
+
+
+def test_pruned_scan_reads_only_the_window(spark, by_date):
+    rows = raw.scan_events_window(spark, by_date, WINDOW)
+    assert rows.count() == 6
+    plan = plan_of(rows)
+    partition_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "event_date" in partition_filters and "cast" not in partition_filters
+    assert raw.scan_events_window(spark, by_date, None).count() == 10
+    assert raw.scan_events(spark, by_date).count() == 10
+
+
+def test_unpartitioned_source_is_rejected(spark, tmp_path):
+    path = _write(tmp_path / "flat", EVENT)
+    with pytest.raises(raw.SourceRejected):
+        raw.scan_events_window(spark, path, WINDOW)
+
+
+def test_optional_fields_may_be_absent(spark, tmp_path):
+    path = _write(tmp_path / "few", {"event_id": "e", "user_id": "u"})
+    row = models.stage_events(raw.scan_events(spark, path)).first()
+    assert row.asDict()["event_id"] == "e" and row.amount is None and row.event_timestamp is None
+
+
+@pytest.mark.parametrize(
+    "bad", ["{not json", dict(EVENT, amount="abc"), json.dumps(EVENT).replace('"amount": 1', '"amount": NaN')]
+)
+def test_unreadable_records_stop_the_load(spark, tmp_path, bad):
+    path = _write(tmp_path / "bad", EVENT, bad)
+    with pytest.raises(raw.SourceRejected):
+        raw.land(raw.scan_events(spark, path), "events", str(tmp_path / "landed"))
+
+
+def test_landed_copy_equals_the_source(spark, sample_events, sample_users, tmp_path):
+    for kind, source, stage in (
+        ("events", sample_events, models.stage_events),
+        ("users", sample_users, models.stage_users),
+    ):
+        landed = raw.land(source, kind, str(tmp_path / kind))
+        assert rows_of(landed.drop(models.PARSED)) == rows_of(stage(source))
+
+
+def test_users_are_replaced_not_appended(spark, sample_users, tmp_path):
+    path = str(tmp_path / "users")
+    for _ in range(2):
+        raw.replace_users(sample_users, path)
+    assert raw.scan_users(spark, path).count() == 6
+
+
+def test_contract_reports_drift(spark, tmp_path):
+    events = _write(tmp_path / "e", dict(EVENT, amount="12", session_id="s", page="p", extra=1))
+    users = _write(tmp_path / "u", {"user_id": 7, "name": "n", "email": "e", "created_at": "t"})
+    found = raw.schema_contract(spark, {"events": events, "users": users})
+    status = {(r.source, r.field): r.status for r in found.collect()}
+    assert status[("events", "amount")] == "drift"
+    assert status[("events", "extra")] == "extra"
+    assert status[("users", "user_id")] == "drift"
+    assert status[("users", "country")] == "missing"
+    assert status[("events", "timestamp")] == "ok"
+
+
+def test_whole_number_amounts_fit(spark, tmp_path):
+    events = _write(tmp_path / "e", dict(EVENT, session_id="s", page="p"))
+    found = raw.schema_contract(spark, {"events": events})
+    assert {r.status for r in found.collect()} == {"ok"}
+
+
+def test_partition_key_is_no_extra_field(spark, by_date):
+    assert {r.status for r in raw.schema_contract(spark, {"events": by_date}).collect()} == {"ok"}
+
+
+def test_mart_schema_drift_is_refused(spark):
+    wrong = spark.createDataFrame([], "event_id string")
+    with pytest.raises(SchemaDrift):
+        require(wrong, FCT_EVENTS, "fct_events")
+    swapped = spark.createDataFrame([], FCT_EVENTS).select(*reversed(FCT_EVENTS.names))
+    with pytest.raises(SchemaDrift):
+        require(swapped, FCT_EVENTS, "fct_events")
+
+
+def test_views(spark, sample_events):
+    models.register_view(models.stage_events(sample_events), "stg_raw_events")
+    assert spark.sql("SELECT count(event_timestamp) FROM stg_raw_events").first()[0] == 24
+    with pytest.raises(ValueError):
+        models.register_view(sample_events, "bad name")
