@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from eventmart.operators import models, reports
 from eventmart.operators.windows import DateWindow
 from eventmart.schemas import EVENT_TYPES
+from eventmart.session import small_frame
 
 # Tables, columns and kinds of the column checks, in audit order.
 COLUMN_CHECKS = {
@@ -286,7 +287,7 @@ def _measured(tables: Tables, checks: list[Check]) -> DataFrame:
     broken = {i: gone for i, c in enumerate(checks) if (gone := _missing(c, tables))}
     values = _values(tables, [(i, c) for i, c in enumerate(checks) if i not in broken])
     if values is None:
-        values = spark.createDataFrame([], "position int, value long")
+        values = small_frame(spark, [], "position int, value long")
 
     def positions(verdict: str) -> str:
         return ", ".join(str(i) for i, c in enumerate(checks) if c.verdict == verdict) or "NULL"
@@ -301,7 +302,7 @@ def _measured(tables: Tables, checks: list[Check]) -> DataFrame:
     if broken:
         rows = [(i, 0, "error", "missing " + ", ".join(gone)) for i, gone in broken.items()]
         schema = "position int, failures long, status string, error string"
-        results = results.unionAll(spark.createDataFrame(rows, schema))
+        results = results.unionAll(small_frame(spark, rows, schema))
     return results
 
 
@@ -310,7 +311,7 @@ def check_results(tables: Tables, layer: str, window: DateWindow | None = None)
     checks = checks_for(layer, window)
     rows = [(i, c.name, c.model, c.column, c.kind) for i, c in enumerate(checks)]
     schema = "position int, test_name string, model string, column_name string, kind string"
-    labels = tables.stg_raw_events.sparkSession.createDataFrame(rows, schema)
+    labels = small_frame(tables.stg_raw_events.sparkSession, rows, schema)
     return labels.join(_measured(tables, checks), "position")
 
 

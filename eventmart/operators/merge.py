@@ -19,6 +19,7 @@ def upsert(
     *,
     unique: bool = False,
     stable_in: DateWindow | None = None,
+    clustered: bool = False,
 ) -> Snapshot:
     """Replace rows with a matching key, insert the others, keep unmatched target rows.
 
@@ -30,10 +31,11 @@ def upsert(
     ``unique``: a gate has already shown that the source holds no key twice.
     ``stable_in``: a gate has shown that no source key lies in the target outside
     this window, so other target dates need not be scanned for matches.
+    ``clustered``: the source's tasks hold few dates each, so it need not be shuffled.
     """
     key = mart.spec.key
     base = mart.ensure()
-    incoming = mart.write(source)
+    incoming = mart.write(source, clustered)
     keys = mart.scan([d for d in incoming if d.rows]).select(key)
     if not unique:
         _require_unique(keys, key, mart.spec.name)

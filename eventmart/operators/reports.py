@@ -6,7 +6,7 @@ result is ordered.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.operators.windows import DateWindow
@@ -180,30 +180,27 @@ def run_scan_metrics(
     if usd_per_tb < 0:
         raise ValueError("rate must not be negative")
     message = lines.select(F.from_json("value", RUN_LOG).alias("m")).select("m.*")
-    named = message.where((F.col("query_id") != "") & F.col("execution_id").isNotNull())
-    wanted = runs
+    message, wanted = message.where("query_id <> ''"), runs
     if run_id is not None:
-        named = named.where(F.col("execution_id") == run_id)
+        message = message.where(F.col("execution_id").isNull() | (F.col("execution_id") == run_id))
         wanted = runs.where(F.col("execution_id") == run_id)
-    queries = named.select("execution_id", "query_id").distinct()
-    stats = (
-        message.where(F.col("state").isNotNull() & (F.col("query_id") != ""))
-        .groupBy("query_id")
-        .agg(
-            F.max("bytes_scanned").alias("bytes"),
-            F.max("engine_ms").alias("ms"),
-            F.max(F.col("state") == "SUCCEEDED").alias("succeeded"),
-        )
+    # One pass over the log: first one row per query and run, where the statistics
+    # lines (which name no run) form a row of their own, then the statistics of a
+    # query are given to its run.
+    per_query = message.groupBy("query_id", "execution_id").agg(
+        F.max("bytes_scanned").alias("bytes"),
+        F.max("engine_ms").alias("ms"),
+        F.max(F.col("state") == "SUCCEEDED").alias("succeeded"),
     )
-    totals = (
-        queries.join(stats, "query_id", "left")
-        .groupBy("execution_id")
-        .agg(
-            F.count(F.lit(1)).alias("query_count"),
-            F.count_if(~F.coalesce("succeeded", F.lit(False))).alias("failed_queries"),
-            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes_scanned"),
-            F.coalesce(F.sum("ms"), F.lit(0)).alias("engine_ms"),
-        )
+    query = Window.partitionBy("query_id")
+    queries = per_query.select(
+        "execution_id", *[F.max(c).over(query).alias(c) for c in ("bytes", "ms", "succeeded")]
+    ).where("execution_id IS NOT NULL")
+    totals = queries.groupBy("execution_id").agg(
+        F.count(F.lit(1)).alias("query_count"),
+        F.count_if(~F.coalesce("succeeded", F.lit(False))).alias("failed_queries"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes_scanned"),
+        F.coalesce(F.sum("ms"), F.lit(0)).alias("engine_ms"),
     )
     checked = F.when(F.col("query_count").isNull(), F.raise_error(F.lit("a run has no queries")))
     rate = F.try_divide(F.col("input_events"), F.col("duration_seconds"))

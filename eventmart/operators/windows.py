@@ -33,6 +33,15 @@ class DateWindow:
         day = F.col(day) if isinstance(day, str) else day
         return day.between(F.lit(self.start), F.lit(self.end))
 
+    def contains(self, day: Column) -> Column:
+        """The same for a costly date expression: IN evaluates it once, BETWEEN twice.
+
+        Twice also makes the generated code of the text parser too large for the JIT.
+        The list is bounded by ``MAX_DAYS``.
+        """
+        days = (self.end - self.start).days + 1
+        return day.isin(*[self.start + timedelta(n) for n in range(days)])
+
     def condition(self, day: str) -> str:
         """``covers`` as SQL text, for a date expression."""
         return f"{day} BETWEEN DATE'{self.start}' AND DATE'{self.end}'"

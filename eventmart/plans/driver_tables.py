@@ -18,8 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _iso(ts: Column) -> Column:
-    text = ts.cast("string")
-    return F.concat(F.left(text, F.lit(10)), F.lit("T"), F.substring(text, 12, 15), F.lit("+00:00"))
+    return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("+00:00"))
 
 
 def _k() -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventmart.functions.names import identifier
 from eventmart.schemas import MARTS
+from eventmart.session import small_frame
 from eventmart.storage.audit import AuditHistory
 from eventmart.storage.snapshots import Mart
 
@@ -32,7 +33,8 @@ class Lake:
             for name, mart in self.marts.items()
             for s in mart.history()
         ]
-        return self.spark.createDataFrame(
+        return small_frame(
+            self.spark,
             rows,
             "mart string, snapshot_id long, parent_id long, committed_at timestamp_ntz, "
             "rows long, is_current boolean",

@@ -15,7 +15,7 @@ from eventmart.plans import driver_tables as d
 from eventmart.plans.lake import Lake
 from eventmart.plans.refresh import GateFailed, refresh, refresh_from_files
 from eventmart.schemas import RAW_EVENTS
-from eventmart.session import workspace
+from eventmart.session import small_frame, workspace
 from eventmart.sources import generate, manifest, raw
 
 WINDOW = DateWindow.parse({"start": "2024-01-10", "end": "2024-01-19"})
@@ -258,7 +258,8 @@ def summary_by_type(spark, sf):
 
 
 def daily_by_type(spark, sf):
-    return reports.daily_by_type(models.typed_events(_staged(spark, sf)[0]), WINDOW)
+    staged = models.in_window(_staged(spark, sf)[0], WINDOW)
+    return reports.daily_by_type(models.typed_events(staged))
 
 
 def daily_by_country(spark, sf):
@@ -414,7 +415,8 @@ def publish_cycle(spark, sf):
             (doc["execution_id"], doc["revision"], start, quality["total"], quality["passed"])
             + (pinned["dim_users"], pinned["fct_events"])
         )
-    return spark.createDataFrame(
+    return small_frame(
+        spark,
         rows,
         "execution_id string, revision string, window_start string, checks long, passed long, "
         "users long, events long",

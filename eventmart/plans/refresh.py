@@ -11,7 +11,9 @@ from eventmart.operators.merge import upsert
 from eventmart.operators.windows import DateWindow
 from eventmart.plans import publication
 from eventmart.plans.lake import Lake
+from eventmart.session import fits_broadcast, sized_shuffles
 from eventmart.sources import raw
+from eventmart.storage import files
 
 
 class GateFailed(RuntimeError):
@@ -45,12 +47,15 @@ def refresh(
     raw_users: DataFrame,
     run_id: str,
     window=None,
+    clustered: bool = False,
     before_facts: Callable[[], None] | None = None,
 ) -> dict:
     """One full run, or a run that replays a date window of events.
 
     A failure leaves earlier commits in place but the publication unchanged, so
     readers of the publication never see a half-done run; the rerun reconciles.
+    ``clustered``: the raw events lie in folders by date, so as long as the user
+    join does not shuffle them the facts are written without a shuffle.
     ``before_facts`` runs between the two mart commits (failure drills).
     """
     window = DateWindow.parse(window)
@@ -58,18 +63,29 @@ def refresh(
     events = raw.land(raw_events, "events", f"{staged}/events")
     users = raw.land(raw_users, "users", f"{staged}/users")
 
-    gate(lake, "staging", tables_of(lake, events, users), run_id, window)
-    upsert(lake.dim_users, models.dim_users(users), unique=True)
-    if before_facts:
-        before_facts()
-    facts = models.fct_events(events, users, window)
-    upsert(lake.fct_events, facts, unique=True, stable_in=window)
-
-    summary = gate(lake, "marts", tables_of(lake, events, users), run_id, window)
+    with sized_shuffles(lake.spark, _shuffled_bytes(lake, staged)):
+        gate(lake, "staging", tables_of(lake, events, users), run_id, window)
+        upsert(lake.dim_users, models.dim_users(users), unique=True)
+        if before_facts:
+            before_facts()
+        facts = models.fct_events(events, users, window)
+        in_place = clustered and fits_broadcast(models.user_attributes(users))
+        upsert(lake.fct_events, facts, unique=True, stable_in=window, clustered=in_place)
+        summary = gate(lake, "marts", tables_of(lake, events, users), run_id, window)
     publication.attest(lake, run_id, summary)
     return publication.publish(lake, run_id, window)
 
 
+def _shuffled_bytes(lake: Lake, staged: str) -> int:
+    """Upper estimate of a run's largest shuffle.
+
+    Either whole enriched rows of the landed copy (uncompressed, so several times
+    its Parquet size) or the key of every fact row.
+    """
+    facts = lake.fct_events.current()
+    return max(4 * files.size(lake.spark, staged), 64 * (facts.rows if facts else 0))
+
+
 def refresh_from_files(
     lake: Lake,
     events_path: str,
@@ -81,9 +97,10 @@ def refresh_from_files(
     """Refresh from NDJSON folders; with a window a partitioned source is pruned."""
     if not isinstance(partitioned_source, bool):
         raise ValueError("partitioned_source must be a boolean")
-    window = DateWindow.parse(window)
+    window, spark = DateWindow.parse(window), lake.spark
     if window and partitioned_source:
-        events = raw.scan_events_window(lake.spark, events_path, window)
+        events = raw.scan_events_window(spark, events_path, window)
     else:
-        events = raw.scan_events(lake.spark, events_path)
-    return refresh(lake, events, raw.scan_users(lake.spark, users_path), run_id, window)
+        events = raw.scan_events(spark, events_path)
+    clustered = raw.is_partitioned(spark, events_path)
+    return refresh(lake, events, raw.scan_users(spark, users_path), run_id, window, clustered)

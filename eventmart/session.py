@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # For jobs that start their own session. All are runtime-adaptive: nothing here
 # assumes a data size, and the library also runs under Spark's defaults.
@@ -48,3 +51,52 @@ def workspace(spark: SparkSession, name: str) -> str:
     """A new, unused folder path below the shared folder."""
     return f"{shared_folder(spark)}/eventmart/{name}-{uuid.uuid4().hex}"
 
+
+
+# Aim for shuffle partitions of about this size; AQE merges smaller ones.
+SHUFFLE_BYTES = 128 << 20
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, shuffled_bytes: int):
+    """Raise the number of shuffle partitions to fit the data while jobs run inside.
+
+    AQE merges partitions that turn out small but cannot add any, so the session's
+    number is only a floor. Actions must run inside; the old number is put back.
+    """
+    before = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, str(max(int(before), shuffled_bytes // SHUFFLE_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
+def fits_broadcast(rows: DataFrame) -> bool:
+    """Whether Catalyst's size estimate of ``rows`` is below the session's broadcast limit."""
+    spark = rows.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return 0 <= int(str(size)) <= limit
+
+
+_ARROW = {
+    T.StringType(): pa.string(),
+    T.LongType(): pa.int64(),
+    T.IntegerType(): pa.int32(),
+    T.BooleanType(): pa.bool_(),
+    T.TimestampNTZType(): pa.timestamp("us"),
+}
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """A few driver-made rows (check results, totals) as a local table in the plan.
+
+    Through Arrow they need no job of their own; a list would become a pickled RDD.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else ((),) * len(schema)
+    arrays = [pa.array(c, _ARROW[f.dataType]) for f, c in zip(schema, columns, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=schema.names), schema)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.schemas import MANIFEST, MANIFEST_FILE
+from eventmart.session import small_frame
 from eventmart.sources.raw import SourceRejected, scan_events, scan_users
 from eventmart.storage import files
 
@@ -117,7 +118,7 @@ def audit(spark: SparkSession, root: str) -> DataFrame:
 def audit_totals(spark: SparkSession, root: str) -> DataFrame:
     """Per kind: declared total, listed and found rows, and files by outcome."""
     head = totals(spark, root)
-    declared = spark.createDataFrame([(k, head[k]) for k in KINDS], "kind string, declared long")
+    declared = small_frame(spark, [(k, head[k]) for k in KINDS], "kind string, declared long")
     checked = audit(spark, root).where("status <> 'unlisted'").groupBy("kind")
     summed = checked.agg(
         F.sum("listed_rows").alias("listed_rows"),

@@ -10,6 +10,7 @@ from eventmart.functions.timeparse import utc_millis
 from eventmart.operators.models import PARSED, stage_events, stage_users
 from eventmart.operators.windows import DateWindow
 from eventmart.schemas import CORRUPT, DBL, RAW_EVENTS, RAW_USERS, STR
+from eventmart.session import small_frame
 from eventmart.storage import files
 
 PARTITION = "event_date"
@@ -35,6 +36,11 @@ def scan_users(spark: SparkSession, path: str) -> DataFrame:
     return _scan(spark, path, RAW_USERS)
 
 
+def is_partitioned(spark: SparkSession, path: str) -> bool:
+    """Whether raw events lie in ``event_date=`` folders."""
+    return any(name.startswith(f"{PARTITION}=") for name in files.names(spark, path))
+
+
 def scan_events_window(spark: SparkSession, path: str, window) -> DataFrame:
     """Only the ``event_date=`` directories of a window.
 
@@ -42,7 +48,7 @@ def scan_events_window(spark: SparkSession, path: str, window) -> DataFrame:
     predicate a cast that the scan cannot use to skip directories.
     """
     window = DateWindow.parse(window)
-    if not any(n.startswith(f"{PARTITION}=") for n in files.names(spark, path)):
+    if not is_partitioned(spark, path):
         raise SourceRejected(f"{path} has no string partition key {PARTITION}")
     keyed = T.StructType([*RAW_EVENTS.fields, T.StructField(PARTITION, STR)])
     rows = _scan(spark, path, keyed)
@@ -99,9 +105,8 @@ def schema_contract(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         for name in sorted(wanted.keys() | found.keys()):
             want, got = wanted.get(name), found.get(name)
             rows.append((source, name, _type(want), _type(got), _fit(want, got)))
-    return spark.createDataFrame(
-        rows, "source string, field string, declared string, inferred string, status string"
-    )
+    schema = "source string, field string, declared string, inferred string, status string"
+    return small_frame(spark, rows, schema)
 
 
 def _type(dtype: T.DataType | None) -> str | None:

@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from eventmart.schemas import AUDIT
+from eventmart.session import small_frame
 from eventmart.storage import files
 
 
@@ -39,8 +40,7 @@ class AuditHistory:
                 "other": json.dumps(r),
             }
             rows.append(tuple(known.get(name) for name in AUDIT.names))
-        frame = self.spark.createDataFrame(rows, AUDIT).coalesce(1)
-        frame.write.mode("append").parquet(self.root)
+        small_frame(self.spark, rows, AUDIT).write.mode("append").parquet(self.root)
 
     def read(self) -> DataFrame:
         if not files.exists(self.spark, self.root):

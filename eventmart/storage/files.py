@@ -34,6 +34,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(name for name in found if not name.startswith((".", "_")))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, target = _open(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Absolute, URL-encoded form with scheme, as Spark reports it in ``_metadata.file_path``."""
     fs, target = _open(spark, path)

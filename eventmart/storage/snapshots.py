@@ -168,18 +168,19 @@ class Mart:
         rows = self.scan(snapshot.within(window))
         return rows.where(window.covers(self.spec.partition)) if window else rows
 
-    def write(self, df: DataFrame) -> list[Directory]:
+    def write(self, df: DataFrame, clustered: bool = False) -> list[Directory]:
         """Write rows as a new batch. Nothing refers to it until a commit does.
 
-        For a partitioned mart ``rebalance`` shuffles by date and lets AQE merge small dates and split a
-        date too large for one task, so neither many dates nor one huge date
-        yields tiny files or a single long task.
+        For a partitioned mart ``rebalance`` shuffles by date and lets AQE merge
+        small dates and split a date too large for one task, so neither many dates
+        nor one huge date yields tiny files or a single long task. Rows that arrive
+        ``clustered`` (few dates per task) are written where they are.
         """
         require(df, self.spec.schema, self.spec.name)
         batch = uuid.uuid4().hex
         target = f"{self.data}/{BATCH}={batch}"
         day = self.spec.partition
-        shaped = df.hint("rebalance", day) if day else df
+        shaped = df.hint("rebalance", day) if day and not clustered else df
         writer = shaped.write.option("compression", "snappy")
         (writer.partitionBy(day) if day else writer).parquet(target)
         return self._measure(batch)

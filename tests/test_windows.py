@@ -40,6 +40,7 @@ def test_bounds_are_inclusive(spark):
     want = [(date(2024, 1, 2),), (date(2024, 1, 3),)]
     assert rows_of(days.where(window.covers("d"))) == want
     assert rows_of(days.where(window.condition("d"))) == want
+    assert rows_of(days.where(window.contains(days.d))) == want
     texts = days.selectExpr("CAST(d AS STRING) AS d")
     assert rows_of(texts.where(window.covers_text("d"))) == [("2024-01-02",), ("2024-01-03",)]
 
