@@ -73,7 +73,9 @@ def refresh(
         upsert(lake.fct_events, facts, unique=True, stable_in=window, clustered=in_place)
         summary = gate(lake, "marts", tables_of(lake, events, users), run_id, window)
     publication.attest(lake, run_id, summary)
-    return publication.publish(lake, run_id, window)
+    document = publication.publish(lake, run_id, window)
+    files.remove(lake.spark, staged)  # a failed run's copy stays, to look into its rows
+    return document
 
 
 def _shuffled_bytes(lake: Lake, staged: str) -> int:

@@ -55,6 +55,8 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 # Aim for shuffle partitions of about this size; AQE merges smaller ones.
 SHUFFLE_BYTES = 128 << 20
+# Map outputs hold an entry per shuffle partition; beyond this, larger partitions spill.
+MAX_SHUFFLE_PARTITIONS = 32_768
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -66,7 +68,8 @@ def sized_shuffles(spark: SparkSession, shuffled_bytes: int):
     number is only a floor. Actions must run inside; the old number is put back.
     """
     before = spark.conf.get(_PARTITIONS)
-    spark.conf.set(_PARTITIONS, str(max(int(before), shuffled_bytes // SHUFFLE_BYTES)))
+    wanted = min(shuffled_bytes // SHUFFLE_BYTES, MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set(_PARTITIONS, str(max(int(before), wanted)))
     try:
         yield
     finally:

@@ -34,6 +34,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(name for name in found if not name.startswith((".", "_")))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data."""
+    fs, target = _open(spark, path)
+    fs.delete(target, True)
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a folder."""
     fs, target = _open(spark, path)

@@ -61,6 +61,17 @@ def test_flagship(spark, duck):
     assert contract.entry(spark).columns == ["event_date", "event_type", "events", "amount"]
 
 
+# Spark type -> the SQL type it is compared as.
+TYPES = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _plain(value):
     return round(value, 6) if isinstance(value, float) else value
 
@@ -71,6 +82,7 @@ def test_query_equals_sql(spark, duck, name):
     want = duck.sql(contract.oracle_sql()[name])
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
+    assert {c: TYPES[t] for c, t in got.dtypes} == {c: str(t) for c, t in zip(want.columns, want.types)}
     at = [want.columns.index(c) for c in columns]
     left = sorted((tuple(_plain(r[c]) for c in columns) for r in got.collect()), key=repr)
     right = sorted((tuple(_plain(r[i]) for i in at) for r in want.fetchall()), key=repr)

@@ -10,7 +10,7 @@ from eventmart.operators import checks, models, reports
 from eventmart.operators.merge import upsert
 from eventmart.operators.windows import DateWindow
 from eventmart.plans.refresh import refresh_from_files
-from eventmart.session import SHUFFLE_BYTES, sized_shuffles
+from eventmart.session import MAX_SHUFFLE_PARTITIONS, SHUFFLE_BYTES, sized_shuffles
 from eventmart.sources import generate
 
 WINDOW = DateWindow.parse({"start": "2024-01-02", "end": "2024-01-02"})
@@ -105,6 +105,8 @@ def test_shuffles_grow_with_the_data_and_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with sized_shuffles(spark, 100 << 30):
         assert spark.conf.get("spark.sql.shuffle.partitions") == str((100 << 30) // SHUFFLE_BYTES)
+    with sized_shuffles(spark, 100 << 40):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(MAX_SHUFFLE_PARTITIONS)
     with sized_shuffles(spark, 1):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert spark.conf.get("spark.sql.shuffle.partitions") == before

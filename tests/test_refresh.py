@@ -10,6 +10,7 @@ from eventmart.plans.lake import Lake
 from eventmart.plans.publication import PublicationRefused
 from eventmart.plans.refresh import GateFailed, refresh, refresh_from_files
 from eventmart.sources import generate, raw
+from eventmart.storage import files
 
 GOOD = {"total": 18, "passed": 18, "failed": 0, "errors": 0}
 DAY1 = {"start": "2024-01-01", "end": "2024-01-01"}
@@ -58,6 +59,7 @@ def test_full_run_on_the_sample(published):
     assert document["quality"] == GOOD and document["window"] is None
     assert document["revision"] == publication.revision_of("base")
     assert publication.resolve(lake) == document == publication.resolve(lake, document["revision"])
+    assert files.names(lake.spark, f"{lake.root}/staging") == []
     assert lake.fct_events.read().schema.names[:5] == [
         "event_id",
         "user_id",
