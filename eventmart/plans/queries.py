@@ -56,11 +56,13 @@ def _refresh(lake: Lake, sf: str, run_id: str, kind: str = "clean", **options) -
 
 
 def stg_raw_events(spark, sf):
-    return _staged(spark, sf)[0]
+    models.register_view(_staged(spark, sf)[0], "stg_raw_events")
+    return spark.table("stg_raw_events")
 
 
 def stg_raw_users(spark, sf):
-    return _staged(spark, sf)[1]
+    models.register_view(_staged(spark, sf)[1], "stg_raw_users")
+    return spark.table("stg_raw_users")
 
 
 def raw_events_scan(spark, sf):
