@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # A refresh has more generated stages than the default cache (100) keeps, so a long-lived
+    # session would compile all of them again in every run.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site capture per expression
     "spark.ui.enabled": "false",
 }
