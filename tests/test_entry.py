@@ -38,7 +38,7 @@ WRITES = {
     "snapshot_log",
     "time_travel_read",
 }
-NAMES = sorted(contract.queries())
+NAMES = sorted(contract.QUERIES)  # the training-data operators have tests of their own
 CHOSEN = NAMES if os.environ.get("ALL_QUERIES") else [n for n in NAMES if n not in WRITES]
 
 
@@ -54,7 +54,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.oracle_sql()) == set(NAMES) and WRITES <= set(NAMES)
+    assert set(contract.ORACLE) == set(NAMES) and WRITES <= set(NAMES)
+    assert set(NAMES) <= set(contract.queries())
 
 
 def test_flagship(spark, duck):
