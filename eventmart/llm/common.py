@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +47,8 @@ def written(rows: DataFrame, label: str) -> DataFrame:
 def held_out(doc_id: str, parts: int, part: int) -> Column:
     """Whether a document belongs to the part that no model learns from (a null id does not)."""
     return F.coalesce(F.crc32(field(doc_id).cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def runs_on_executors(module: str) -> None:
+    """Send the module's functions along with the jobs: executors need no copy of the library."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

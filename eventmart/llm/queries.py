@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm.exact_dedup import exact_dedup
+from eventmart.llm.language_id import language_id
 from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix_plan
 from eventmart.llm.url_filter import url_filter
@@ -37,11 +38,17 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE = {
