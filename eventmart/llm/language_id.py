@@ -142,7 +142,8 @@ def language_id(
     texts = docs.where(may_learn).select(
         field(doc_id).alias("key"), field(lang).cast("string").alias("label"), field(text).cast("string").alias("text")
     )
-    rows = texts.join(F.broadcast(chosen), ["key", "label"]).limit(training_rows).select("key", "label", _slots("text").alias("slots"))
+    slots = texts.join(F.broadcast(chosen), ["key", "label"]).select("key", "label", _slots("text").alias("slots"))
+    rows = slots.groupBy("key", "label").agg(F.min("slots").alias("slots"))  # of rows with the same id one is learnt from
     # the landmarks are the first rows of a fixed shuffle
     collected = sorted(rows.collect(), key=lambda r: (zlib.crc32(f"landmark {r['key']}".encode()), r["label"]))
     names, weights = train(collected, landmarks=landmarks)

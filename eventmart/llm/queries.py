@@ -9,6 +9,7 @@ from eventmart.llm.exact_dedup import exact_dedup
 from eventmart.llm.language_id import language_id
 from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix_plan
+from eventmart.llm.quality import quality
 from eventmart.llm.url_filter import url_filter
 
 
@@ -16,6 +17,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality(docs, _table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -44,6 +51,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
