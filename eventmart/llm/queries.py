@@ -10,6 +10,7 @@ from eventmart.llm.language_id import language_id
 from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix_plan
 from eventmart.llm.quality import quality
+from eventmart.llm.toxicity import toxicity
 from eventmart.llm.url_filter import url_filter
 
 
@@ -45,6 +46,12 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity(docs, _table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     return language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -56,6 +63,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
+    "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
 }
 
