@@ -64,21 +64,31 @@ def _pair_names(named: DataFrame) -> DataFrame:
     return written(pairs.join(names, ["first", "second"]).select("rid", "place", "name", "left"), "names")
 
 
-def exact_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+def exact_dedup(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    block_chars: int = BLOCK_CHARS,
+    carry: list[str] | None = None,
+) -> DataFrame:
     """Every row with the row that stays for its text.
 
     Adds ``keep_id`` (id of the row that stays), ``group_size``, ``kept`` and
     ``text_sha256``; columns of these names are replaced, all others stay. Null text counts
     as empty; empty texts equal one another. Of equal texts the smallest id stays, null last;
-    of rows repeated with that id one stays. An empty table gives an empty result.
+    of rows repeated with that id one stays. An empty table gives an empty result. ``carry``
+    names the columns that the result needs besides the id (all by default): texts that nobody
+    reads need not travel along.
     """
     if block_chars < 1:
         raise ValueError("block_chars must be positive")
+    kept = [field(c) for c in docs.columns if carry is None or c in (doc_id, *carry)]
     chars = docs.select(normalised(text).alias("chars"))
     names, salt = _block_names(chars, block_chars)
     digests = F.transform(_blocks(F.col("chars"), block_chars), lambda b: _digest(b, salt))
     rows = written(
-        docs.select(packed(docs).alias("row"), normalised(text).alias("chars"))
+        docs.select(packed(docs.select(*kept)).alias("row"), normalised(text).alias("chars"))
         .withColumn("rid", F.monotonically_increasing_id())
         .select("rid", "row", F.sha2(F.col("chars").cast("binary"), 256).alias("sha"), digests.alias("digests")),
         "documents",

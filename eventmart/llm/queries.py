@@ -26,7 +26,7 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup(docs, carry=[]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
