@@ -9,6 +9,7 @@ from eventmart.llm.exact_dedup import exact_dedup
 from eventmart.llm.language_id import language_id
 from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix_plan
+from eventmart.llm.neighbours import nearest
 from eventmart.llm.quality import quality
 from eventmart.llm.toxicity import toxicity
 from eventmart.llm.url_filter import url_filter
@@ -46,6 +47,10 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     scored = toxicity(docs, _table(spark, folder, "labels"))
@@ -63,6 +68,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
+    "op8_neighbours": op8_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
 }
