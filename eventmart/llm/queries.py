@@ -10,6 +10,7 @@ from eventmart.llm.language_id import language_id
 from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix_plan
 from eventmart.llm.neighbours import nearest
+from eventmart.llm.ngram_join import ngram_join
 from eventmart.llm.quality import quality
 from eventmart.llm.toxicity import toxicity
 from eventmart.llm.url_filter import url_filter
@@ -47,6 +48,10 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
+    "op7_ngram_join": op7_ngram_join,
     "op8_neighbours": op8_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
