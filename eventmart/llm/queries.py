@@ -11,10 +11,14 @@ from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix_plan
 from eventmart.llm.neighbours import nearest
 from eventmart.llm.ngram_join import ngram_join
+from eventmart.llm.pieces import decode, encode
 from eventmart.llm.quality import quality
 from eventmart.llm.toxicity import toxicity
 from eventmart.llm.url_filter import url_filter
 
+#: The vocabulary of the piece queries.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -26,6 +30,14 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    both = decode(encode(docs, PIECE_MODEL), PIECE_MODEL, text="decoded")
+    ids = F.sha2(F.array_join("ids", " ").cast("binary"), 256)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), ids.alias("pieces_sha256"), same.alias("round_trip"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return exact_dedup(docs, carry=[]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -69,6 +81,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_pieces": op2_pieces,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
