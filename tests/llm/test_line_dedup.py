@@ -1,0 +1,50 @@
+import random
+from collections import Counter
+
+from plain import CLASHES, awkward, none_of
+
+from eventmart.llm.common import BLANKS
+from eventmart.llm.line_dedup import line_dedup
+
+
+def _key(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(BLANKS))
+
+
+def expected(texts, min_docs, min_chars=1):
+    split = [(t or "").split("\n") for t in texts]
+    counts = Counter(k for lines in split for k in {_key(x) for x in lines} if len(k) >= min_chars)
+    out = []
+    for lines in split:
+        kept = [x for x in lines if counts[_key(x)] < min_docs]
+        out.append(("\n".join(kept), len(lines), len(lines) - len(kept)))
+    return out
+
+
+def found(result):
+    return [(r["text"], r["n_lines"], r["n_dropped"]) for r in result.orderBy("doc_id").collect()]
+
+
+def test_same_as_plain_counting(spark):
+    rng = random.Random(1)
+    lines = ["Menu", " menu\t", "MENU", "É", "é", "", "  ", "x", "yy", "a b", *(f"own {k}" for k in range(400))]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(12))) for _ in range(120)]
+    texts += ["menu\nmenu\nmenu", None, "", "\n\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for n, chars in ((10, 1), (3, 2), (1, 1)):
+        assert found(line_dedup(docs, min_docs=n, min_chars=chars)) == expected(texts, n, chars)
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    result = line_dedup(docs, min_docs=3)
+    rows = sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in result.collect()), key=repr)
+    table = docs.collect()
+    want = [(r["doc_id"], *w) for r, w in zip(table, expected([r["text"] for r in table], 3), strict=True)]
+    assert rows == sorted(want, key=repr)  # "nobody" and "knows this" are in three rows
+    assert result.columns == [*docs.columns, "n_lines", "n_dropped"]
+    assert all(r[c] == r["n_chars"] for r in result.collect() for c in CLASHES)
+
+
+def test_empty_table(spark):
+    assert line_dedup(none_of(spark)).collect() == []
