@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.llm.common import field, held_out, packed, runs_on_executors, unpacked
 from eventmart.llm.learning import labelled_sample
@@ -61,7 +62,7 @@ def grams(text: str | None) -> np.ndarray | None:
     return mixed >> np.uint32(32 - SLOT_BITS)
 
 
-@F.arrow_udf("array<int>")
+@F.arrow_udf(T.ArrayType(T.IntegerType()))  # no session is needed yet
 def _slots(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
         rows = [grams(x) for x in batch.to_pylist()]

@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.llm.common import field, packed, runs_on_executors, written
 
@@ -84,7 +85,7 @@ def signature(shingled: np.ndarray) -> np.ndarray:
     return least
 
 
-@F.arrow_udf("struct<set: binary, signature: binary>")
+@F.arrow_udf(T.StructType().add("set", T.BinaryType()).add("signature", T.BinaryType()))  # no session is needed yet
 def _signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         sets = [s for start in range(0, len(batch), 500) for s in shingles(batch.slice(start, 500).to_pylist())]
