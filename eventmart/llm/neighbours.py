@@ -38,6 +38,8 @@ SAMPLE_ROWS = 8192
 MOST_CELLS = 1024
 LEAF_ROWS = 64
 SEED = 11
+#: Share of the squared length that rounding may add to a squared distance.
+SLACK = 1e-9
 
 
 def chi_square(certainty: float, degrees: int) -> float:
@@ -139,8 +141,9 @@ def search(x, ids, projected, queries, query_ids, query_projected, worst, longes
     found = np.full((len(queries), k), -np.inf)
     base = (queries * queries).sum(1) + longest**2
     going = np.arange(len(queries))
+    slack = SLACK * longest**2
     for step in range(len(leaves)):
-        going = going[away[going, order[going, step]] <= limit * worst[going]]  # the stopping test
+        going = going[away[going, order[going, step]] <= limit * worst[going] + slack]  # the stopping test
         if not len(going):
             break
         next_leaf = order[going, step]
@@ -243,7 +246,7 @@ def nearest(
         away = squared_distance(at, low, high)
         own = worst.to_numpy(zero_copy_only=False)
         # nothing known yet: the nearest cell only
-        near = np.where(np.isnan(own)[:, None], away == away.min(1, keepdims=True), away <= limit * own[:, None])
+        near = np.where(np.isnan(own)[:, None], away == away.min(1, keepdims=True), away <= limit * own[:, None] + SLACK * longest**2)
         return pa.array([numbers[r] for r in near], pa.list_(pa.int64()))
 
     queries = usable.where("asked").groupBy("id").agg(F.min("x").alias("x")).select(F.col("id").alias("query_id"), F.col("x").alias("q"))
@@ -289,7 +292,7 @@ def nearest(
         first.groupBy("query_id").agg(F.max(F.when(F.size("best") >= k, F.get("best", F.lit(k - 1))["score"])).alias("kth")), "bounds"
     )
     bounded = queries.join(known, "query_id", "left").withColumn(
-        "worst", F.coalesce(F.greatest(F.lit(0.0), base - 2 * F.col("kth")), F.lit(float("inf")))
+        "worst", F.when(F.col("kth").isNull(), float("inf")).otherwise(F.greatest(F.lit(0.0), base - 2 * F.col("kth")))
     )
     every = visit(bounded, False).groupBy("query_id").agg(F.flatten(F.collect_list("best")).alias("best"))
     order = F.transform("best", lambda b: F.struct((-b["score"]).alias("away"), b["id"].alias("id"), b["score"].alias("score")))

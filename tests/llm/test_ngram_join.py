@@ -1,0 +1,112 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from plain import CLASHES, awkward, jaccard, none_of, shingle_set
+from pyspark.sql import functions as F
+
+from eventmart.llm import ngram_join as module
+from eventmart.llm.ngram_join import components, found_with, ngram_join, one_of_each, shingles, shortest_prefix, signature, similar
+
+
+def expected(rows, least=0.8):
+    """By row: (class_id, copy_id, n_links), by comparing all rows."""
+    sets = [shingle_set(t) for _, t in rows]
+    order = [(i is None, i or 0) for i, _ in rows]
+    links = [[b for b in range(len(rows)) if a != b and jaccard(sets[a], sets[b]) >= least] for a in range(len(rows))]
+    out = []
+    for a in range(len(rows)):
+        group, left = {a}, [a]
+        while left:
+            new = set(links[left.pop()]) - group
+            group |= new
+            left += new
+        copies = [b for b in range(len(rows)) if sets[b] == sets[a]]
+        out.append((rows[min(group, key=order.__getitem__)][0], rows[min(copies, key=order.__getitem__)][0], len(links[a])))
+    return out
+
+
+def near_copies(rng, words=60, versions=14):
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    out = []
+    for _ in range(versions):
+        own = list(base)
+        for _ in range(rng.randrange(3)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(9999)}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_same_as_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(module, "BLOCK", block)  # small blocks: groups are cut, pairs cross them
+    rng = random.Random(4)
+    texts = [t for _ in range(8) for t in near_copies(rng)]
+    texts += ["a b", "a  b", "a b c", "", None, " \n", "one", *texts[:5]]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["class_id"], r["copy_id"], r["n_links"]) for r in ngram_join(docs).collect()}
+    want = expected(rows)
+    assert sum(w[2] for w in want) > 300
+    assert got == {i: w for (i, _), w in zip(rows, want, strict=True)}
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = sorted((tuple(r) for r in ngram_join(docs).collect()), key=repr)
+    assert got == sorted(((i, *w) for (i, _), w in zip(rows, expected(rows), strict=True)), key=repr)
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    # of the repeated row 7 one stays; the rows without id are copies of row 10
+    assert Counter(ids) == Counter([1, 2, 4, 7, 8, 9, 10]) or Counter(ids) == Counter({w[0] for w in expected(rows)})
+    assert len(ids) == len({w[0] for w in expected(rows)})
+    assert all(r[c] == r["n_chars"] for r in kept.collect() for c in CLASHES)
+
+
+def test_empty_table(spark):
+    assert ngram_join(none_of(spark)).collect() == [] and one_of_each(none_of(spark)).collect() == []
+
+
+def test_similarity_is_exact_and_pairs_do_not_depend_on_the_way():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(12)]
+    x, y = np.triu_indices(12, 1)
+    plain = [len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b])) >= 0.4 for a, b in zip(x, y, strict=True)]
+    assert similar(sets, x, y, 0.4).tolist() == plain  # as one matrix product
+    assert [bool(similar(sets, x[k : k + 1], y[k : k + 1], 0.4)[0]) for k in range(len(x))] == plain
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(2)
+    both = rng.integers(0, 1 << 63, 900).astype(np.uint64)
+    a, b = np.unique(both[:700]), np.unique(both[200:])
+    assert abs((signature(a) == signature(b)).mean() - 500 / 900) < 0.2
+    assert np.array_equal(signature(a), signature(a[::-1]))
+
+
+def test_shingles_are_whole_texts_and_words():
+    a, b = shingles(["a b c d e f", "a\tb c d  e\nf"])
+    assert np.array_equal(a, b) and len(a) == 2
+    assert [len(s) for s in shingles(["", None, "a", "a b c d", "a a a a a a a"])] == [0, 0, 1, 1, 1]
+
+
+def test_prefix_meets_the_target():
+    d = shortest_prefix(0.8, 0.9999)
+    assert found_with(0.8, d) >= 0.9999 > found_with(0.8, d + 1)
+
+
+def test_components_of_paths_stars_and_circles(spark):
+    edges = [(k + 1, k) for k in range(40)] + [(k, 100) for k in range(101, 160)] + [(202, 201), (203, 202), (203, 201)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "node long, root long")).collect()}
+    assert got == {k: 0 for k in range(1, 41)} | {k: 100 for k in range(101, 160)} | {202: 201, 203: 201}
+
+
+def test_no_more_pairs_come_out_than_members(spark):
+    """A group of many different near copies gives rows in proportion to its members."""
+    rng = random.Random(9)
+    docs = spark.createDataFrame(list(enumerate(near_copies(rng, 200, 150))), "doc_id long, text string")
+    result = ngram_join(docs).agg(F.count("*"), F.min("n_links"), F.countDistinct("class_id")).first()
+    assert tuple(result) == (150, 149, 1)

@@ -1,0 +1,99 @@
+import os
+
+import pytest
+from plain import CLASHES, awkward, none_of
+
+from eventmart.llm.pieces import SPACE, decode, encode, pieces_of, units, vocabulary
+
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+needs_model = pytest.mark.skipif(not os.path.exists(MODEL), reason="no vocabulary file")
+
+TEXTS = [
+    "The cat sat on the mat.", "  two  spaces\n\nlines\tand tabs  ", "Straße, señor, déjà vu, 漢字 🙂 ĸ", "aaaaaaaaaaaaaaaaaaaaaaaa", "x" * 3000,
+    "<s> </s> <unk> <0x41>", "don't stop--now!!! (really?) 1234567890", "", "word " * 5000, " nbsp​zero", "ALLCAPS!! THE!! THE!!",
+]
+
+
+@pytest.fixture(scope="module")
+def unigram_model(tmp_path_factory):
+    """A hand-made unigram vocabulary; nothing is trained."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    kinds = pb.ModelProto.SentencePiece
+    model.pieces.add(piece="<unk>", score=0, type=kinds.UNKNOWN)
+    for b in range(256):
+        model.pieces.add(piece=f"<0x{b:02X}>", score=0, type=kinds.BYTE)
+    for k, piece in enumerate(f"{SPACE}the {SPACE}th {SPACE} the e t h a c s at cat {SPACE}c sat {SPACE}sat n o on m ma {SPACE}ma d i ti ion tion . in".split()):
+        model.pieces.add(piece=piece, score=-1.0 - 0.37 * k % 5, type=kinds.NORMAL)
+    model.trainer_spec.model_type = model.trainer_spec.UNIGRAM
+    model.trainer_spec.byte_fallback = True
+    model.normalizer_spec.add_dummy_prefix = True
+    model.normalizer_spec.remove_extra_whitespaces = False
+    model.normalizer_spec.escape_whitespaces = True
+    path = tmp_path_factory.mktemp("model") / "unigram.model"
+    path.write_bytes(model.SerializeToString())
+    return str(path)
+
+
+def by_library(path, texts):
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=path).encode(texts)
+
+
+def encoded(spark, texts, path, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["ids"] for r in encode(docs, path, **options).orderBy("doc_id").collect()]
+
+
+@needs_model
+@pytest.mark.parametrize("entries", [1 << 19, 8, 0])
+def test_merge_model_same_as_library(spark, entries):
+    """With everything, a little and nothing in the dictionary."""
+    assert encoded(spark, TEXTS * 2, MODEL, entries=entries) == by_library(MODEL, TEXTS * 2)
+
+
+@pytest.mark.parametrize("entries", [1 << 19, 0])
+def test_viterbi_same_as_library(spark, unigram_model, entries):
+    texts = ["the cat sat on the mat", "that tin nation ", "then the cations", "é ü the", "tititi onion", "  the  "] * 3
+    assert encoded(spark, texts, unigram_model, entries=entries) == by_library(unigram_model, texts)
+
+
+def test_viterbi_is_the_best_of_all_paths(unigram_model):
+    known = vocabulary(unigram_model)
+    scores = {k: s for k, s in known.pieces.values()}
+
+    def best(unit):
+        if not unit:
+            return 0.0
+        cut = [(known.pieces[unit[:n]][1], n) for n in range(1, len(unit) + 1) if unit[:n] in known.pieces]
+        return max(s + best(unit[n:]) for s, n in cut)
+
+    for unit in ("▁thecations", "▁sationin", "cationtion"):
+        assert sum(scores[k] for k in pieces_of(unit, known)) == pytest.approx(best(unit))
+
+
+@needs_model
+def test_units_put_the_text_together_again():
+    known = vocabulary(MODEL)
+    for text in TEXTS:
+        assert "".join(units(text, known, known.table())) == (SPACE + text.replace(" ", SPACE) if text else "")
+
+
+@needs_model
+def test_round_trip_and_awkward_rows(spark):
+    docs = awkward(spark)
+    both = decode(encode(docs, MODEL), MODEL, text="decoded")
+    assert both.columns == [*docs.columns, "ids", "decoded"]
+    for r in both.collect():
+        assert r["decoded"] == (r["text"] or "").replace(SPACE, " ")
+        assert all(r[c] == r["n_chars"] for c in CLASHES)
+    assert encode(none_of(spark), MODEL).collect() == []
+
+
+@needs_model
+def test_decoding_odd_lists(spark):
+    rows = [(None,), ([],), ([None, 99_999_999, -1],), ([1, 2],), ([3 + 0xE6],)]
+    got = decode(spark.createDataFrame(rows, "ids array<int>"), MODEL).collect()
+    assert [r["text"] for r in got] == [None, "", "", "", "�"]
