@@ -333,7 +333,8 @@ def _joined(docs: DataFrame, doc_id: str, text: str, similarity: float, target:
     needed = written(looked, "verified")
     texts = docs.select(_ident(doc_id, text).alias("ident"), field(text).cast("string").alias("text"))
     # rows repeated with id and text are one text here
-    own = texts.join(needed.select("ident").distinct(), "ident", "left_semi").dropDuplicates(["ident"])
+    # what is needed grows with the table, so it is never broadcast, however small it is at first
+    own = texts.join(needed.select("ident").distinct().hint("merge"), "ident", "left_semi").dropDuplicates(["ident"])
     compared = needed.join(own, "ident").repartition(*GROUP).sortWithinPartitions(*GROUP)
     links = written(compared.mapInArrow(_verify(floor, depth, similarity), "node long, links long, root long"), "links")
     roots = components(links.where("root < node").select("node", "root"))
