@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +35,12 @@ SPACE = "▁"
 DICTIONARY = 1 << 19
 #: Longer units are not in the dictionary: the borders of one are bits of a long.
 UNIT_CHARS = 60
-FLUSH = 500_000
-PART_CHARS = 4_000_000
+#: A task of the lattice has about so many units.
+TASK_UNITS = 8192
+#: Different units that a task counts before it passes the counts on.
+FLUSH = 200_000
+#: Texts are put together in parts of about so many characters, to bound memory.
+PART_CHARS = 2_000_000
 
 
 @dataclass
@@ -181,13 +186,13 @@ def _count(send) -> object:
     return count
 
 
-def lattice(words: DataFrame, pieces: DataFrame, known: Vocabulary) -> DataFrame:
+def lattice(words: DataFrame, pieces: DataFrame, known: Vocabulary, tasks: int) -> DataFrame:
     """``unit`` with its pieces' ``ids`` (-1 for a character without piece) and ``ends``.
 
     Rows are dealt by unit once; exploding and joining to the small piece table keep that, so
     the edges are grouped where they are.
     """
-    at = words.select("unit").repartition("unit").withColumn("size", F.char_length("unit"))
+    at = words.select("unit").repartition(tasks, "unit").withColumn("size", F.char_length("unit"))
     starts = at.withColumn("start", F.explode(F.sequence(F.lit(1), "size")))
     reach = F.least(F.lit(known.longest), F.col("size") - F.col("start") + 1)
     parts = starts.withColumn("long", F.explode(F.sequence(F.lit(1), reach)))
@@ -256,7 +261,33 @@ def _merge_fold(edges: DataFrame) -> DataFrame:
     return folded.select("unit", F.transform(path, lambda p: p["id"]).alias("ids"), F.transform(path, lambda p: p["end"]).alias("ends"))
 
 
-def dictionary(spark: SparkSession, texts: DataFrame, known: Vocabulary, entries: int) -> dict[str, np.ndarray]:
+@dataclass
+class Dictionary:
+    """Units in order of their hashes, with their pieces one after the other."""
+
+    hashes: np.ndarray
+    units: pa.LargeStringArray
+    starts: np.ndarray
+    ids: np.ndarray
+
+    def plain(self) -> tuple:
+        return self.hashes, self.units, self.starts, self.ids
+
+    def places(self, wanted: list[str]) -> np.ndarray:
+        """The number of each wanted unit, -1 if it is not there."""
+        out = np.full(len(wanted), -1, np.int64)
+        if len(self.hashes) and wanted:
+            at = np.searchsorted(self.hashes, _hashes(wanted)).clip(max=len(self.hashes) - 1)
+            same = pc.equal(self.units.take(pa.array(at)), pa.array(wanted, pa.large_string()))
+            out = np.where(same.to_numpy(zero_copy_only=False), at, -1)
+        return out
+
+
+def _hashes(own: list[str]) -> np.ndarray:
+    return pd.util.hash_array(np.array(own, object), categorize=False)
+
+
+def dictionary(spark: SparkSession, texts: DataFrame, known: Vocabulary, entries: int) -> Dictionary:
     """The pieces of the commonest units: all of at least some count, ``entries`` at most."""
     send = spark.sparkContext.broadcast(known.plain())
     counts = texts.mapInArrow(_count(send), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
@@ -269,15 +300,26 @@ def dictionary(spark: SparkSession, texts: DataFrame, known: Vocabulary, entries
         least, total = r["level"], total + r["count"]
     rows = [(p, k, s) for p, (k, s) in known.pieces.items()]
     table = spark.createDataFrame(pd.DataFrame(rows, columns=["piece", "id", "score"]), "piece string, id int, score double")
-    common = counts.where(level >= least)
-    encoded = written(lattice(common, table, known), "unit-pieces").toArrow()
-    out = {}
-    for u, ids, ends in zip(*(encoded.column(c).to_pylist() for c in ("unit", "ids", "ends")), strict=True):
-        if -1 in ids:
-            own = [[k] if k >= 0 else [known.bytes[b] for b in u[e - 1 : e].encode()] for k, e in zip(ids, ends, strict=True)]
-            ids = [k for part in own for k in part]
-        out[u] = np.array(ids, np.int32)
-    return out
+    tasks = 1 + total // TASK_UNITS
+    encoded = written(lattice(counts.where(level >= least), table, known, tasks), "unit-pieces")
+    found = encoded.toArrow().combine_chunks()
+    own, parts, ends = (found.column(c).combine_chunks() for c in ("unit", "ids", "ends"))
+    ids, sizes = parts.flatten().to_numpy(), pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    spelt = np.flatnonzero(ids < 0)  # characters that become bytes
+    if len(spelt):
+        unit_of, end = np.repeat(np.arange(len(own)), sizes)[spelt], ends.flatten().to_numpy()[spelt]
+        as_bytes = [[known.bytes[b] for b in own[int(u)].as_py()[e - 1 : e].encode()] for u, e in zip(unit_of, end, strict=True)]
+        more = np.array([len(x) - 1 for x in as_bytes])
+        sizes = sizes + np.bincount(unit_of, more, len(own)).astype(np.int64)
+        repeats = np.ones(len(ids), np.int64)
+        repeats[spelt] += more
+        ids = np.repeat(ids, repeats)
+        ids[ids < 0] = [k for x in as_bytes for k in x]
+    hashes = _hashes(own.to_pylist()) if len(own) else np.zeros(0, np.uint64)
+    order = hashes.argsort(kind="stable")
+    starts = np.concatenate(([0], np.cumsum(sizes[order]))).astype(np.int64)
+    moved = np.repeat((np.cumsum(sizes) - sizes)[order] - starts[:-1], sizes[order]) + np.arange(len(ids))
+    return Dictionary(hashes[order], own.cast(pa.large_string()).take(pa.array(order)), starts, ids[moved.astype(np.int64)].astype(np.int32))
 
 
 def encode(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids", entries: int = DICTIONARY) -> DataFrame:
@@ -291,12 +333,12 @@ def encode(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids",
     spark = docs.sparkSession
     known = vocabulary(model)
     texts = docs.select(field(text).cast("string").alias("text"))
-    send = spark.sparkContext.broadcast((known.plain(), dictionary(spark, texts, known, entries)))
+    send = spark.sparkContext.broadcast((known.plain(), dictionary(spark, texts, known, entries).plain()))
 
     @F.arrow_udf("array<int>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        plain, common = send.value
-        known = Vocabulary(*plain)
+        plain, own = send.value
+        known, common = Vocabulary(*plain), Dictionary(*own)
         table = known.table()
         for batch in batches:
             out, seen, lists, size = [], {}, [], 0
@@ -314,28 +356,23 @@ def encode(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids",
     return unpacked(whole, "row", {ids: F.col("coded")})
 
 
-def _lists(seen: dict[str, int], lists: list[np.ndarray], common: dict, known: Vocabulary) -> pa.Array:
+def _lists(seen: dict[str, int], lists: list[np.ndarray], common: Dictionary, known: Vocabulary) -> pa.Array:
     """Piece lists of texts given as lists of numbers of distinct units."""
-    own = []
-    for u in seen:
-        found = common.get(u)
-        own.append(np.array(pieces_of(u, known), np.int32) if found is None else found)
-    sizes = np.array([len(x) for x in own], np.int64)
-    flat = np.concatenate([*own, np.zeros(0, np.int32)])
-    starts = np.cumsum(sizes) - sizes
+    distinct = list(seen)
+    at = common.places(distinct)
+    rare = [np.array(pieces_of(distinct[k], known), np.int32) for k in np.flatnonzero(at < 0)]
+    begin = np.cumsum([0, *map(len, rare)])
+    flat = np.concatenate([common.ids, *rare])
+    starts, sizes = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    starts[at >= 0], sizes[at >= 0] = common.starts[at[at >= 0]], np.diff(common.starts)[at[at >= 0]]
+    starts[at < 0], sizes[at < 0] = len(common.ids) + begin[:-1], np.diff(begin)
     numbers = np.concatenate([*lists, np.zeros(0, np.int64)])
-    counts = sizes[numbers] if len(numbers) else numbers
-    shift = np.repeat(starts[numbers] - (np.cumsum(counts) - counts), counts) if len(numbers) else numbers
-    values = flat[shift + np.arange(len(shift))]
-    ends = np.concatenate(([0], np.cumsum([counts_ for counts_ in _per_text(lists, counts)]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-
-
-def _per_text(lists: list[np.ndarray], counts: np.ndarray) -> Iterator[int]:
-    at = 0
-    for own in lists:
-        yield int(counts[at : at + len(own)].sum())
-        at += len(own)
+    counts = sizes[numbers]
+    ends = np.cumsum(counts)
+    values = flat[np.repeat(starts[numbers] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
+    per_text = np.cumsum([0, *map(len, lists)])
+    borders = np.concatenate(([0], ends))[per_text]
+    return pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(values, pa.int32()))
 
 
 def decode(rows: DataFrame, model: str, *, ids: str = "ids", text: str = "text") -> DataFrame:
