@@ -17,6 +17,7 @@ Characters without a piece become their UTF-8 bytes, so that decoding gives the
 from __future__ import annotations
 
 import heapq
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,8 @@ UNIT_CHARS = 60
 TASK_UNITS = 8192
 #: Different units that a task counts before it passes the counts on.
 FLUSH = 200_000
+#: Texts that are decoded at once.
+DECODED_ROWS = 500
 #: Texts are put together in parts of about so many characters, to bound memory.
 PART_CHARS = 2_000_000
 
@@ -168,16 +171,14 @@ def units(text: str | None, known: Vocabulary, table: np.ndarray) -> list[str]:
 def _count(send) -> object:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(*send.value)
-        table, counts = known.table(), {}
-        get = counts.get
+        table, counts = known.table(), Counter()
 
         def rows():
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["unit", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for u in units(text, known, table):
-                    counts[u] = get(u, 0) + 1
+                counts.update(units(text, known, table))
                 if len(counts) > FLUSH:
                     yield rows()
                     counts.clear()
@@ -341,14 +342,15 @@ def encode(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids",
         known, common = Vocabulary(*plain), Dictionary(*own)
         table = known.table()
         for batch in batches:
-            out, seen, lists, size = [], {}, [], 0
-            for x in batch.to_pylist():
+            out, seen, lists, size = [], _numbers(), [], 0
+            for x in batch:
+                text = x.as_py()
                 if size > PART_CHARS:
                     out.append(_lists(seen, lists, common, known))
-                    seen, lists, size = {}, [], 0
-                number = seen.setdefault
-                lists.append(np.array([number(u, len(seen)) for u in units(x, known, table)], np.int64))
-                size += len(x or "")
+                    seen, lists, size = _numbers(), [], 0
+                own = units(text, known, table)
+                lists.append(np.fromiter(map(seen.__getitem__, own), np.int64, len(own)))
+                size += len(text or "")
             out.append(_lists(seen, lists, common, known))
             yield pa.concat_arrays(out)
 
@@ -356,6 +358,13 @@ def encode(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids",
     return unpacked(whole, "row", {ids: F.col("coded")})
 
 
+def _numbers() -> defaultdict:
+    """Gives every new key the next number."""
+    out: defaultdict = defaultdict()
+    out.default_factory = out.__len__
+    return out
+
+
 def _lists(seen: dict[str, int], lists: list[np.ndarray], common: Dictionary, known: Vocabulary) -> pa.Array:
     """Piece lists of texts given as lists of numbers of distinct units."""
     distinct = list(seen)
@@ -385,13 +394,18 @@ def decode(rows: DataFrame, model: str, *, ids: str = "ids", text: str = "text")
 
     @F.arrow_udf("string")
     def spelt(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        texts = send.value
-        n = len(texts)
+        texts = pa.array([*send.value, b""], pa.binary())
+        nothing = len(texts) - 1
         for batch in batches:
             out = []
-            for own in batch.to_pylist():
-                joined = None if own is None else b"".join([texts[k] for k in own if k is not None and 0 <= k < n])
-                out.append(joined if joined is None else joined.decode("utf-8", "replace").removeprefix(" "))
+            for start in range(0, len(batch), DECODED_ROWS):
+                part = batch.slice(start, DECODED_ROWS)
+                own = pc.fill_null(part.flatten(), nothing).to_numpy(zero_copy_only=False)
+                own = np.where((own >= 0) & (own < nothing), own, nothing)
+                ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False))))
+                pieces = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), texts.take(pa.array(own)))
+                joined = pc.if_else(part.is_null(), None, pc.binary_join(pieces, b""))
+                out += [x if x is None else x.decode("utf-8", "replace").removeprefix(" ") for x in joined.to_pylist()]
             yield pa.array(out, pa.string())
 
     whole = rows.select(packed(rows).alias("row"), spelt(field(ids).cast("array<int>")).alias("spelt"))
