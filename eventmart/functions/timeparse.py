@@ -44,11 +44,6 @@ def utc_millis(column: str) -> Column:
     )
 
 
-def utc_date(column: str) -> Column:
-    """UTC calendar date of an ISO 8601 text."""
-    return utc_millis(column).cast("date")
-
-
 # The rule for SQL text, always through the instant: a function Catalyst inlines.
 SQL_FUNCTION = f"""
 CREATE OR REPLACE TEMPORARY FUNCTION utc_millis(s STRING) RETURNS TIMESTAMP_NTZ RETURN

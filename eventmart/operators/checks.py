@@ -75,8 +75,10 @@ class Check:
     """One check. Its failures are the sum of its parts' values, or 0/1 by ``verdict``.
 
     ``shared`` holds (table, SQL aggregate) pairs evaluated in that table's one scan;
-    ``own`` builds a DataFrame with a single ``value``. ``needs`` are the columns
-    read, used to tell which checks a missing column breaks.
+    ``own`` builds a DataFrame with a single ``value``. ``joint`` names a function whose one
+    row also has this value beside those of other checks, and the column; it is used if all
+    of them can run. ``needs`` are the columns read, used to tell which checks a missing
+    column breaks.
     """
 
     name: str
@@ -85,6 +87,7 @@ class Check:
     kind: str
     shared: tuple[tuple[str, str], ...] = ()
     own: Callable[[Tables], DataFrame] | None = None
+    joint: tuple[Callable[[Tables], DataFrame], str] | None = None
     verdict: str = "sum"  # sum | zero (fails if 0) | differs (fails unless 0)
     needs: tuple[tuple[str, str], ...] = ()
 
@@ -111,7 +114,7 @@ def checks_for(layer: str, window: DateWindow | None = None) -> list[Check]:
             checks += [_key_date_stable(window), _profiles_unchanged()]
     else:
         checks += [_event_counts(window), _user_counts()]
-        checks += [_relationship("fct_events", "dim_users"), _nonnegative("fct_events")]
+        checks += [_relationship("fct_events", "dim_users", _facts_against_users), _nonnegative("fct_events")]
         checks.append(_attributes_match())
     return checks
 
@@ -161,14 +164,31 @@ def _nonnegative(model: str) -> Check:
     return _row_check(name, model, "amount", "nonnegative", "amount < 0")
 
 
-def _relationship(events: str, users: str) -> Check:
+def _facts_against_users(tables: Tables) -> DataFrame:
+    """Facts without a user and facts with attributes of another time, in one row.
+
+    A user's events carry few attribute combinations: these are counted, then joined.
+    """
+    stored = ("user_id", "username", "user_email", "user_country")
+    combinations = tables.fct_events.groupBy(*stored).agg(_rows("n"))
+    dim = tables.dim_users.select("user_id", F.struct("username", "email", "country").alias("_profile"))
+    own = F.struct("username", F.col("user_email").alias("email"), F.col("user_country").alias("country"))
+    known = F.col("_profile").isNotNull()
+    return combinations.join(dim, "user_id", "left").agg(
+        F.sum(F.when(~known, F.col("n"))).alias("orphaned"),
+        F.sum(F.when(known & ~own.eqNullSafe(F.col("_profile")), F.col("n"))).alias("mismatched"),
+    )
+
+
+def _relationship(events: str, users: str, joint: Callable | None = None) -> Check:
     def orphaned_rows(tables: Tables) -> DataFrame:
         found = reports.orphans(getattr(tables, events), getattr(tables, users))
         return found.selectExpr("sum(events) AS value")
 
     needs = ((events, "user_id"), (users, "user_id"))
     name = f"relationships_{events}"
-    return Check(name, events, "user_id", "relationships", own=orphaned_rows, needs=needs)
+    together = (joint, "orphaned") if joint else None
+    return Check(name, events, "user_id", "relationships", own=orphaned_rows, joint=together, needs=needs)
 
 
 def _event_counts(window: DateWindow | None) -> Check:
@@ -180,13 +200,13 @@ def _event_counts(window: DateWindow | None) -> Check:
         needs = (("fct_events", "event_date"), ("stg_raw_events", "event_timestamp"))
     shared = (("fct_events", fact), ("stg_raw_events", staged))
     name = "event_count_reconciliation"
-    return Check(name, "fct_events", "event_id", "reconciliation", shared, None, "differs", needs)
+    return Check(name, "fct_events", "event_id", "reconciliation", shared, verdict="differs", needs=needs)
 
 
 def _user_counts() -> Check:
     shared = (("dim_users", "count(*)"), ("stg_raw_users", "-count(*)"))
     name = "user_count_reconciliation"
-    return Check(name, "dim_users", "user_id", "reconciliation", shared, None, "differs")
+    return Check(name, "dim_users", "user_id", "reconciliation", shared, verdict="differs")
 
 
 def _key_date_stable(window: DateWindow) -> Check:
@@ -231,7 +251,8 @@ def _attributes_match() -> Check:
     dims = ("user_id", "username", "email", "country")
     needs = tuple(("fct_events", c) for c in facts) + tuple(("dim_users", c) for c in dims)
     name = "event_attributes_match_users"
-    return Check(name, "fct_events", "user_id", "enrichment", own=differing, needs=needs)
+    together = (_facts_against_users, "mismatched")
+    return Check(name, "fct_events", "user_id", "enrichment", own=differing, joint=together, needs=needs)
 
 
 # -- evaluation ------------------------------------------------------------------
@@ -268,10 +289,18 @@ def _values(tables: Tables, numbered: list[tuple[int, Check]]) -> DataFrame | No
     """(position, value) rows of all given checks."""
     shared: dict[str, list[tuple[int, str]]] = {}
     parts: list[DataFrame] = []
+    joint: dict[Callable, list[tuple[int, str]]] = {}
+    for position, check in numbered:
+        if check.joint:
+            joint.setdefault(check.joint[0], []).append((position, check.joint[1]))
+    joint = {build: found for build, found in joint.items() if len(found) > 1}
+    for build, found in joint.items():
+        rows = ", ".join(f"{position}, {column}" for position, column in found)
+        parts.append(build(tables).selectExpr(f"stack({len(found)}, {rows}) AS (position, value)"))
     for position, check in numbered:
         for model, value in check.shared:
             shared.setdefault(model, []).append((position, value))
-        if check.own:
+        if check.own and not (check.joint and check.joint[0] in joint):
             parts.append(check.own(tables).selectExpr(f"{position} AS position", "value"))
     parts += [_shared_values(tables, model, found) for model, found in shared.items()]
     return reduce(DataFrame.unionAll, parts) if parts else None

@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.operators.windows import DateWindow
+from eventmart.storage import files
 from eventmart.storage.snapshots import BATCH, NULL_DAY, Mart, Snapshot
 
+# Files below this size on average are worth packing.
+FILE_BYTES = 64 << 20
+
 
 class DuplicateKeys(ValueError):
     """The source of an upsert holds a key more than once."""
@@ -19,7 +23,6 @@ def upsert(
     *,
     unique: bool = False,
     stable_in: DateWindow | None = None,
-    clustered: bool = False,
 ) -> Snapshot:
     """Replace rows with a matching key, insert the others, keep unmatched target rows.
 
@@ -31,11 +34,10 @@ def upsert(
     ``unique``: a gate has already shown that the source holds no key twice.
     ``stable_in``: a gate has shown that no source key lies in the target outside
     this window, so other target dates need not be scanned for matches.
-    ``clustered``: the source's tasks hold few dates each, so it need not be shuffled.
     """
     key = mart.spec.key
     base = mart.ensure()
-    incoming = mart.write(source, clustered)
+    incoming = mart.write(source)
     keys = mart.scan([d for d in incoming if d.rows]).select(key)
     if not unique:
         _require_unique(keys, key, mart.spec.name)
@@ -77,15 +79,22 @@ def _replaced_rows(mart: Mart, directories, keys: DataFrame) -> dict[str, int]:
     }
 
 
-def compact(mart: Mart, window: DateWindow | None = None) -> Snapshot:
-    """Rewrite dates spread over several directories (or all in ``window``) as one batch."""
+def compact(mart: Mart, window: DateWindow | None = None, file_bytes: int = FILE_BYTES) -> Snapshot:
+    """Rewrite dates (of ``window``) that lie in several files of less than ``file_bytes`` on average.
+
+    Sizes come from one listing call per directory; the rewrite packs a date's rows into as few
+    files as the session's advisory partition size allows.
+    """
     base = mart.ensure()
-    chosen = list(base.within(window))
-    if window is None:
-        per_day: dict[str | None, int] = {}
-        for d in base.directories:
-            per_day[d.day] = per_day.get(d.day, 0) + 1
-        chosen = [d for d in chosen if per_day[d.day] > 1]
+    per_day: dict[str | None, list] = {}
+    for d in base.within(window):
+        per_day.setdefault(d.day, []).append(d)
+    chosen = []
+    for found in per_day.values():
+        sizes = [files.count_and_size(mart.spark, f"{mart.data}/{d.path}") for d in found]
+        count, size = map(sum, zip(*sizes, strict=True))
+        if count > 1 and size < count * file_bytes:
+            chosen += found
     if not chosen:
         return base
     merged = mart.write(mart.scan(chosen))

@@ -13,8 +13,17 @@ from eventmart.operators.windows import DateWindow
 from eventmart.schemas import RUN_LOG
 
 
+# Amounts are added up as decimals: a total depends neither on the order of its rows nor on
+# how they were grouped before. An amount of 1e32 or more does not fit and is an error.
+EXACT = "decimal(38, 6)"
+
+
+def exact_total(column: str) -> Column:
+    return F.sum(F.col(column).cast(EXACT))
+
+
 def _events_and_amount() -> list[Column]:
-    return [F.count(F.lit(1)).alias("events"), F.round(F.sum("amount"), 2).alias("amount")]
+    return [F.count(F.lit(1)).alias("events"), F.round(exact_total("amount"), 2).cast("double").alias("amount")]
 
 
 def summary_by_type(facts: DataFrame) -> DataFrame:
@@ -27,24 +36,20 @@ def daily_by_type(facts: DataFrame, window: DateWindow | None = None) -> DataFra
     return rows.groupBy(*by).agg(*_events_and_amount()).orderBy(*by)
 
 
-def daily_by_country(facts: DataFrame, users: DataFrame, users_are_small: bool) -> DataFrame:
+def daily_by_country(facts: DataFrame, users: DataFrame) -> DataFrame:
     """Events per date and country of the user's dimension row (inner join).
 
-    With users below the broadcast threshold the facts are joined where they are.
-    Otherwise they are first reduced to one row per date and user, so the join
-    shuffles neither every event nor a single busy user's events to one task.
+    Facts are first reduced to one row per date and user, so the join shuffles
+    neither every event nor a single busy user's events to one task.
     """
     countries = users.select("user_id", "country")
     by = ("event_date", "country")
-    if users_are_small:
-        rows = facts.join(countries, "user_id").groupBy(*by).agg(*_events_and_amount())
-    else:
-        per_user = facts.groupBy("event_date", "user_id").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total")
-        )
-        rows = per_user.join(countries, "user_id").groupBy(*by).agg(
-            F.sum("n").alias("events"), F.round(F.sum("total"), 2).alias("amount")
-        )
+    per_user = facts.groupBy("event_date", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), exact_total("amount").alias("total")
+    )
+    rows = per_user.join(countries, "user_id").groupBy(*by).agg(
+        F.sum("n").alias("events"), F.round(F.sum("total"), 2).cast("double").alias("amount")
+    )
     return rows.orderBy(*by)
 
 
@@ -164,43 +169,52 @@ def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 # -- run logs --------------------------------------------------------------------
 
 
+def run_queries(lines: DataFrame, run_id: str | None = None) -> DataFrame:
+    """One row per run and query from log lines (column ``value``, one message per line).
+
+    A run's submissions name its queries; the statistics of a query belong to it by its id
+    alone, whichever run their lines name. A query without statistics has state null. Text
+    that is no JSON object is skipped.
+    """
+    message = lines.select(F.from_json("value", RUN_LOG).alias("m")).select("m.*").where("query_id <> ''")
+    # One pass over the log: one row per query and run, where statistics lines that name no
+    # run form a row of their own, then the statistics of a query are given to its runs.
+    per_query = message.groupBy("query_id", "execution_id").agg(
+        F.max("bytes_scanned").alias("bytes_scanned"),
+        F.max("engine_ms").alias("engine_ms"),
+        F.max("state").alias("state"),
+        F.max(F.col("state") == "SUCCEEDED").alias("succeeded"),
+        F.max(F.col("phase").isNotNull()).alias("submitted"),
+    )
+    query = Window.partitionBy("query_id")
+    statistics = [F.max(c).over(query).alias(c) for c in ("bytes_scanned", "engine_ms", "state", "succeeded")]
+    rows = per_query.select("execution_id", "query_id", "submitted", *statistics)
+    rows = rows.where("execution_id IS NOT NULL AND submitted")
+    if run_id is not None:
+        rows = rows.where(F.col("execution_id") == run_id)
+    state = F.when(F.col("succeeded"), "SUCCEEDED").otherwise(F.col("state"))
+    return rows.select("execution_id", "query_id", state.alias("state"), "bytes_scanned", "engine_ms")
+
+
 def run_scan_metrics(
     lines: DataFrame,
     runs: DataFrame,
     run_id: str | None = None,
     usd_per_tb: float = 5.0,
 ) -> DataFrame:
-    """Scan totals per run from log lines (column ``value``, one message per line).
+    """Scan totals per run: its distinct queries, failed ones included, and their statistics.
 
-    Counts the distinct queries a run's messages name, failed ones included, and
-    adds up the statistics logged for them; text that is no JSON object and
-    messages of other runs are skipped. ``runs`` holds execution_id,
-    duration_seconds and input_events. Raises if a run named none.
+    ``runs`` holds execution_id, duration_seconds and input_events. Raises if a run named
+    no query. Cost and rate are not rounded.
     """
     if usd_per_tb < 0:
         raise ValueError("rate must not be negative")
-    message = lines.select(F.from_json("value", RUN_LOG).alias("m")).select("m.*")
-    message, wanted = message.where("query_id <> ''"), runs
-    if run_id is not None:
-        message = message.where(F.col("execution_id").isNull() | (F.col("execution_id") == run_id))
-        wanted = runs.where(F.col("execution_id") == run_id)
-    # One pass over the log: first one row per query and run, where the statistics
-    # lines (which name no run) form a row of their own, then the statistics of a
-    # query are given to its run.
-    per_query = message.groupBy("query_id", "execution_id").agg(
-        F.max("bytes_scanned").alias("bytes"),
-        F.max("engine_ms").alias("ms"),
-        F.max(F.col("state") == "SUCCEEDED").alias("succeeded"),
-    )
-    query = Window.partitionBy("query_id")
-    queries = per_query.select(
-        "execution_id", *[F.max(c).over(query).alias(c) for c in ("bytes", "ms", "succeeded")]
-    ).where("execution_id IS NOT NULL")
-    totals = queries.groupBy("execution_id").agg(
+    wanted = runs if run_id is None else runs.where(F.col("execution_id") == run_id)
+    totals = run_queries(lines, run_id).groupBy("execution_id").agg(
         F.count(F.lit(1)).alias("query_count"),
-        F.count_if(~F.coalesce("succeeded", F.lit(False))).alias("failed_queries"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes_scanned"),
-        F.coalesce(F.sum("ms"), F.lit(0)).alias("engine_ms"),
+        F.count_if(F.coalesce(F.col("state") != "SUCCEEDED", F.lit(True))).alias("failed_queries"),
+        F.coalesce(F.sum("bytes_scanned"), F.lit(0)).alias("bytes_scanned"),
+        F.coalesce(F.sum("engine_ms"), F.lit(0)).alias("engine_ms"),
     )
     checked = F.when(F.col("query_count").isNull(), F.raise_error(F.lit("a run has no queries")))
     rate = F.try_divide(F.col("input_events"), F.col("duration_seconds"))
@@ -210,6 +224,6 @@ def run_scan_metrics(
         "failed_queries",
         "bytes_scanned",
         "engine_ms",
-        F.round(F.col("bytes_scanned") / 1e12 * usd_per_tb, 6).alias("scan_usd"),
-        F.round(rate, 3).alias("events_per_second"),
+        (F.col("bytes_scanned") / 1e12 * usd_per_tb).alias("scan_usd"),
+        rate.alias("events_per_second"),
     )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.operators import models, reports
 from eventmart.plans import publication
 from eventmart.plans.lake import Lake
-from eventmart.plans.refresh import GateFailed, refresh, refresh_from_files
+from eventmart.plans.refresh import GateFailed, refresh
 from eventmart.schemas import RAW_EVENTS
 from eventmart.sources import manifest
 
@@ -37,13 +39,18 @@ def model_parity(raw_events: DataFrame, raw_users: DataFrame) -> DataFrame:
     return found
 
 
+def new_run(name: str) -> str:
+    """A run id that no lake has seen."""
+    return f"{name}-{uuid.uuid4().hex}"
+
+
 def replay(lake: Lake, dataset: str, runs: tuple[str, ...] = ("replay-1", "replay-2")) -> dict:
-    """Run a data set twice; pinned counts must equal its manifest both times."""
+    """Run a verified data set as often as ``runs`` names runs; counts must equal its manifest."""
     head = manifest.totals(lake.spark, dataset)
     expected = {kind: head[kind] for kind in manifest.KINDS}
-    manifest.load_verified(lake.spark, dataset)
-    for run_id in runs:
-        document = refresh_from_files(lake, f"{dataset}/raw/events", f"{dataset}/raw/users", run_id)
+    data = manifest.load_verified(lake.spark, dataset)
+    for name in runs:
+        document = refresh(lake, data["events"], data["users"], new_run(name))
         publication.verify_counts(lake, expected, document["revision"])
     return expected
 

@@ -61,6 +61,33 @@ def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(table(spark, sf_dir, "events"))
 
 
+def mills_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events with amounts of three decimals."""
+    amount = (F.col("value").cast("decimal(18, 2)") + F.lit(0.005).cast("decimal(4, 3)")).cast("double")
+    return _events(table(spark, sf_dir, "events"), amount=amount)
+
+
+def doubled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events, but clicks with twice the amount."""
+    amount = F.when(F.col("event_type") == "click", F.col("value") * 2).otherwise(F.col("value"))
+    return _events(table(spark, sf_dir, "events"), amount=amount)
+
+
+def unloadable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON text; some values of ``props.k`` have amounts that are no finite number, or no JSON."""
+    rows = table(spark, sf_dir, "events")
+    k = _k()
+    odd = {"1": '"NaN"', "2": '"Infinity"', "3": "-1e400", "4": '"-Infinity"', "5": "NaN"}
+    amount = F.col("value").cast("string")
+    for value, text in odd.items():
+        amount = F.when(k == value, F.lit(text)).otherwise(amount)
+    shaped = _events(rows, amount=amount)
+    others = F.to_json(F.struct(*[c for c in RAW_EVENTS.names if c != "amount"]))
+    line = F.concat(F.regexp_replace(others, r"\}$", ""), F.lit(',"amount":'), F.col("amount"), F.lit("}"))
+    broken = F.col("page") == "/products/6"
+    return shaped.select(F.when(broken, F.lit('{"event_id": ')).otherwise(line).alias("value"))
+
+
 def clean_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _users(spark, sf_dir, table(spark, sf_dir, "customer"))
 

@@ -28,11 +28,11 @@ class Lake:
 
     def snapshot_log(self) -> DataFrame:
         """All snapshots on the current history of both marts (one row per commit)."""
-        rows = [
-            (name, s.id, s.parent, s.committed_at.replace(tzinfo=None), s.rows, s.id == mart.current_id())
-            for name, mart in self.marts.items()
-            for s in mart.history()
-        ]
+        rows = []
+        for name, mart in self.marts.items():
+            chain = mart.history()
+            for s in chain:
+                rows.append((name, s.id, s.parent, s.committed_at.replace(tzinfo=None), s.rows, s is chain[-1]))
         return small_frame(
             self.spark,
             rows,

@@ -82,6 +82,9 @@ CHANGED_US = _users(
     country="CASE WHEN c_mktsegment <> 'BUILDING' THEN n_name END",
 )
 
+MILLS_EV = _events("mills_ev", amount="CAST(CAST(value AS DECIMAL(18, 2)) + CAST(0.005 AS DECIMAL(4, 3)) AS DOUBLE)")
+DOUBLED_EV = _events("doubled_ev", amount="CASE WHEN event_type = 'click' THEN value * 2 ELSE value END")
+
 _FACT_COLUMNS = (
     "e.event_id, e.user_id, e.event_type, e.at AS event_timestamp, CAST(e.at AS DATE) AS event_date, "
     "e.session_id, e.page, e.amount, u.username, u.email AS user_email, u.country AS user_country"
@@ -99,7 +102,8 @@ FACT = _fact("fact", "ev", "us")
 CHANGED_FACT = _fact("changed_fact", "changed_ev", "changed_us")
 _STAGED_EVENT = "event_id, user_id, event_type, page, event_timestamp, session_id, amount"
 _DIM = "user_id, username, email, created_at, country"
-_TOTALS = "CAST(count(*) AS BIGINT) AS events, round(sum(amount), 2) AS amount"
+_EXACT = "CAST(round(sum(CAST(amount AS DECIMAL(38, 6))), 2) AS DOUBLE)"
+_TOTALS = f"CAST(count(*) AS BIGINT) AS events, {_EXACT} AS amount"
 
 
 def _with(*ctes: str) -> str:
@@ -249,35 +253,18 @@ _MART_CTES = _with(
     _fact("bad_fact", "dirty_ev", "us", "e.event_type <> 'error' OR e.event_type IS NULL"),
 )
 _BAD_MARTS = _MART_CTES + _results(_mart_checks("ev", "us", "bad_fact", "dirty_us"))
-_BY_COUNTRY = (
-    _with(EV, US)
-    + f'SELECT CAST(e."at" AS DATE) AS event_date, u.country, {_TOTALS} '
-    + "FROM ev e JOIN us u ON e.user_id = u.user_id GROUP BY 1, 2"
-)
-
 
-# -- generated data --------------------------------------------------------------
 
-
-def _generated(start: str, count: str = "(SELECT count(*) FROM events)") -> str:
-    """Generated events whose numbers start at ``start``."""
-    return f"""
-    SELECT 'e' || lpad(CAST(n AS VARCHAR), 14, '0') AS event_id,
-           'u' || lpad(CAST(n % users + 1 AS VARCHAR), 10, '0') AS user_id,
-           ['page_view', 'click', 'purchase', 'signup', 'login', 'logout'][n % 6 + 1] AS event_type,
-           '/products/' || (n % 1000) AS page,
-           TIMESTAMP '2024-01-01 00:00:00' + to_seconds(n % 7776000) AS "at",
-           's' || lpad(CAST(n // 8 AS VARCHAR), 14, '0') AS session_id,
-           CASE WHEN n % 6 = 2 THEN round(CAST(n % 10000 AS DOUBLE) / 100, 2) ELSE 0.0 END AS amount
-    FROM (SELECT unnest(generate_series({start}, {start} + {count} - 1)) AS n,
-                 (SELECT count(*) FROM customer) AS users)"""
+def _by_country(events: str, *ctes: str) -> str:
+    return (
+        _with(US, *ctes)
+        + f'SELECT CAST(e."at" AS DATE) AS event_date, u.country, {_TOTALS} '
+        + f"FROM {events} e JOIN us u ON e.user_id = u.user_id GROUP BY 1, 2"
+    )
 
 
-_GENERATED_USERS = """
-    SELECT 'u' || lpad(CAST(i + 1 AS VARCHAR), 10, '0') AS user_id, 'User ' || (i + 1) AS name,
-           'user' || (i + 1) || '@example.com' AS email, '2024-01-01T00:00:00+00:00' AS created_at,
-           ['US', 'IN', 'GB', 'CA', 'DE'][i % 5 + 1] AS country
-    FROM (SELECT unnest(generate_series(0, (SELECT count(*) FROM customer) - 1)) AS i)"""
+_BY_COUNTRY = _by_country("ev", EV)
+_BY_COUNTRY_MILLS = _by_country("mills_ev", MILLS_EV)
 _N = "(SELECT count(*) FROM events)"
 _M = "(SELECT count(*) FROM customer)"
 
@@ -290,10 +277,27 @@ ORACLE = {
     "events_pruned_scan": _with(EV)
     + f"SELECT {_STAGED_EVENT}, strftime(\"at\", '%Y-%m-%d') AS event_date FROM ev "
     + f'WHERE CAST("at" AS DATE) {WINDOW}',
-    "manifest_audit": f"""
-        SELECT kind, declared, declared AS listed_rows, declared AS found_rows, CAST(0 AS BIGINT) AS bad_files
-        FROM (SELECT 'events' AS kind, CAST({_N} AS BIGINT) AS declared
-              UNION ALL SELECT 'users', CAST({_M} AS BIGINT))""",
+    "raw_load_defects": f"""
+        SELECT 'events' AS source, 'corrupt' AS defect, CAST(count(*) AS BIGINT) AS rows FROM events WHERE {_K} = '6'
+        UNION ALL SELECT 'events', 'not_a_number', count(*) FROM events WHERE {_K} IN ('1', '5')
+        UNION ALL SELECT 'events', 'infinite', count(*) FROM events WHERE {_K} IN ('2', '3', '4')
+        UNION ALL SELECT 'users', 'corrupt', count(*) FROM customer WHERE c_name IS NULL AND c_name IS NOT NULL""",
+    "manifest_audit": """
+        SELECT 'events' AS kind, CAST(count(event_id) AS BIGINT) AS declared,
+               CAST(count(ts) AS BIGINT) AS listed_rows, CAST(count(event_type) AS BIGINT) AS found_rows,
+               CAST(0 AS BIGINT) AS bad_files, CAST(0 AS BIGINT) AS unlisted_files FROM events
+        UNION ALL SELECT 'users', count(c_custkey), count(c_name), count(c_nationkey), 0, 0 FROM customer""",
+    "manifest_findings": """
+        WITH days AS (
+            SELECT 'events' AS kind, strftime(ts, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 2
+            UNION ALL SELECT 'users', NULL, count(*) FROM customer
+        )
+        SELECT kind, day, CASE day WHEN '2024-01-10' THEN 'rows' WHEN '2024-01-11' THEN 'checksum'
+                                   WHEN '2024-01-12' THEN 'missing' ELSE 'ok' END AS status,
+               CASE day WHEN '2024-01-10' THEN 2 * n ELSE n END AS listed_rows,
+               CASE WHEN day IS DISTINCT FROM '2024-01-12' THEN n END AS found_rows
+        FROM days
+        UNION ALL SELECT kind, day, 'unlisted', NULL, n FROM days WHERE day = '2024-01-12'""",
     "schema_contract": """
         SELECT * FROM (VALUES
           ('events', 'amount', 'double', 'double', 'ok'),
@@ -309,19 +313,23 @@ ORACLE = {
           ('users', 'name', 'string', 'string', 'ok'),
           ('users', 'user_id', 'string', 'string', 'ok')
         ) AS v(source, field, declared, inferred, status)""",
-    "generated_events": f"""
-        SELECT event_id, user_id, event_type, page,
-               strftime("at", '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp", session_id, amount
-        FROM ({_generated('1')})""",
-    "generated_users": _GENERATED_USERS,
-    "generated_by_date": f"""
-        SELECT event_id, strftime("at", '%Y-%m-%dT%H:%M:%S') || '+00:00' AS event_timestamp,
-               strftime("at", '%Y-%m-%d') AS event_date
-        FROM ({_generated('86396')})""",
-    "batch_append": "\nUNION ALL ".join(
-        f"SELECT event_id, user_id, event_type, page, amount FROM ({_generated(start)})"
-        for start in ("1", f"{_N} + 1", f"2 * {_N} + 1")
-    ),
+    "schema_drift": """
+        SELECT * FROM (VALUES
+          ('events', 'amount', 'double', 'string', 'drift'),
+          ('events', 'channel', NULL, 'string', 'extra'),
+          ('events', 'event_id', 'string', 'string', 'ok'),
+          ('events', 'event_type', 'string', 'string', 'ok'),
+          ('events', 'page', 'string', NULL, 'missing'),
+          ('events', 'session_id', 'string', 'string', 'ok'),
+          ('events', 'timestamp', 'string', 'string', 'ok'),
+          ('events', 'user_id', 'string', 'string', 'ok'),
+          ('users', 'country', 'string', 'string', 'ok'),
+          ('users', 'created_at', 'string', 'bigint', 'drift'),
+          ('users', 'email', 'string', 'string', 'ok'),
+          ('users', 'name', 'string', 'string', 'ok'),
+          ('users', 'user_id', 'string', 'string', 'ok')
+        ) AS v(source, field, declared, inferred, status)""",
+    "batch_append": _with(EV) + "SELECT event_id, user_id, event_type, page, amount FROM ev",
     "dim_users": _with(US) + f"SELECT {_DIM} FROM us",
     "fct_events": _with(EV, US, FACT) + "SELECT * FROM fact",
     "fct_events_window": _with(EV, US, FACT) + f"SELECT * FROM fact WHERE event_date {WINDOW}",
@@ -378,7 +386,9 @@ ORACLE = {
     + f'SELECT CAST("at" AS DATE) AS event_date, event_type, {_TOTALS} FROM ev '
     + f'WHERE CAST("at" AS DATE) {WINDOW} GROUP BY 1, 2',
     "daily_by_country": _BY_COUNTRY,
+    "daily_by_country_mills": _BY_COUNTRY_MILLS,
     "published_daily_by_country": _BY_COUNTRY,
+    "published_daily_by_country_mills": _BY_COUNTRY_MILLS,
     "orphan_users": _with(DIRTY_EV, US)
     + "SELECT e.user_id, CAST(count(*) AS BIGINT) AS events FROM dirty_ev e "
     + "LEFT JOIN us u ON e.user_id = u.user_id WHERE u.user_id IS NULL GROUP BY 1",
@@ -422,13 +432,23 @@ ORACLE = {
                CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS failed_queries,
                CAST(coalesce(sum(bytes) FILTER (event_type <> 'error'), 0) AS BIGINT) AS bytes_scanned,
                CAST(coalesce(sum(ms) FILTER (event_type <> 'error'), 0) AS BIGINT) AS engine_ms,
-               round(coalesce(sum(bytes) FILTER (event_type <> 'error'), 0) / 1e12 * 5.0, 6) AS scan_usd,
+               round(coalesce(sum(bytes) FILTER (event_type <> 'error'), 0) / 1e12 * 5.0, 12) AS scan_usd,
                round(CASE WHEN date_sub('second', min(ts), max(ts)) <> 0
                      THEN CAST(count(*) AS DOUBLE) / date_sub('second', min(ts), max(ts)) END, 3)
                  AS events_per_second
         FROM (SELECT *, CAST(round(value * 1000000) AS BIGINT) AS bytes, CAST({_K} AS BIGINT) AS ms FROM events)
         GROUP BY user_id""",
+    "run_queries": f"""
+        SELECT 'run-' || user_id AS execution_id, 'q-' || event_id AS query_id,
+               CASE WHEN event_type <> 'error' THEN 'SUCCEEDED' END AS state,
+               CASE WHEN event_type <> 'error' THEN CAST(round(value * 1000000) AS BIGINT) END AS bytes_scanned,
+               CASE WHEN event_type <> 'error' THEN CAST({_K} AS BIGINT) END AS engine_ms
+        FROM events""",
     "quality_staging": _DIRTY_STAGING,
+    "quality_staging_empty": _with(
+        "no_ev AS (SELECT * FROM ev WHERE event_type = 'never')", "no_us AS (SELECT * FROM us WHERE length(user_id) = 0)"
+    ).replace("WITH ", f"WITH {EV}, {US}, ", 1)
+    + _results(_staging_checks("no_ev", "no_us")),
     "quality_marts": _BAD_MARTS,
     "quality_staging_window": _with(EV, US, CHANGED_EV, CHANGED_US, FACT)
     + _results(_staging_window_checks("changed_ev", "changed_us", "fact", "us")),
@@ -459,13 +479,17 @@ ORACLE = {
                CAST(18 AS BIGINT) AS checks, CAST(18 AS BIGINT) AS passed,
                CAST({_M} AS BIGINT) AS users, CAST({_N} AS BIGINT) AS events
         FROM (VALUES ('full', NULL), ('replay', '2024-01-10')) r(run, start)""",
-    "published_count_check": f"""
-        SELECT kind, n AS expected, n AS found, true AS matches
-        FROM (SELECT 'events' AS kind, CAST({_N} AS BIGINT) AS n
-              UNION ALL SELECT 'users', CAST({_M} AS BIGINT))""",
-    "partitioned_refresh": f"""
-        SELECT CAST("at" AS DATE) AS event_date, u.country, {_TOTALS}
-        FROM ({_generated('1')}) e JOIN ({_GENERATED_USERS}) u ON e.user_id = u.user_id GROUP BY 1, 2""",
+    "published_count_check": """
+        SELECT 'events' AS kind, CAST(count(event_id) AS BIGINT) AS expected,
+               CAST(count(DISTINCT event_id) AS BIGINT) AS found, true AS matches FROM events
+        UNION ALL SELECT 'users', count(c_custkey), count(DISTINCT c_custkey), true FROM customer""",
+    "partitioned_refresh": _by_country(
+        "both_ev",
+        EV,
+        DOUBLED_EV,
+        f'both_ev AS (SELECT * FROM ev WHERE NOT (CAST("at" AS DATE) {WINDOW}) '
+        f'UNION ALL SELECT * FROM doubled_ev WHERE CAST("at" AS DATE) {WINDOW})',
+    ),
     "failure_drill_audit": f"""
         SELECT 'staging' AS layer, CAST(2 AS BIGINT) AS failed_checks, true AS publication_unchanged,
                true AS marts_unchanged, CAST({_N} AS BIGINT) AS recovered_events""",

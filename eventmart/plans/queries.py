@@ -5,6 +5,8 @@ Queries that write use a new folder below the cluster's shared folder.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from eventmart.plans.lake import Lake
 from eventmart.plans.refresh import GateFailed, refresh, refresh_from_files
 from eventmart.schemas import RAW_EVENTS
 from eventmart.session import small_frame, workspace
-from eventmart.sources import generate, manifest, raw
+from eventmart.sources import manifest, raw
+from eventmart.storage import files
 
 WINDOW = DateWindow.parse({"start": "2024-01-10", "end": "2024-01-19"})
 NEXT_WINDOW = DateWindow.parse({"start": "2024-01-20", "end": "2024-01-25"})
@@ -30,7 +33,7 @@ def _lake(spark: SparkSession, name: str) -> Lake:
 
 def _staged(spark, sf, kind: str = "clean") -> tuple[DataFrame, DataFrame]:
     events = getattr(d, f"{kind}_events")(spark, sf)
-    users = getattr(d, f"{kind}_users")(spark, sf)
+    users = getattr(d, f"{kind}_users", d.clean_users)(spark, sf)
     return models.stage_events(events), models.stage_users(users)
 
 
@@ -42,8 +45,19 @@ def _dims(spark, sf, kind: str = "clean") -> DataFrame:
     return models.dim_users(_staged(spark, sf, kind)[1])
 
 
-def _counts(spark, sf) -> tuple[int, int]:
-    return d.table(spark, sf, "events").count(), d.table(spark, sf, "customer").count()
+def _dataset(spark, sf, kind: str = "clean", by_date: bool = False) -> str:
+    """The driver's events and customers as a raw data set with its manifest."""
+    root = workspace(spark, "dataset")
+    events, users = getattr(d, f"{kind}_events")(spark, sf), d.clean_users(spark, sf)
+    raw.replace_users(users, f"{root}/raw/users")
+    if by_date:
+        dated = events.withColumn("event_date", F.left("timestamp", F.lit(10)))
+        dated.hint("rebalance", "event_date").write.partitionBy("event_date").json(f"{root}/raw/events")
+    else:
+        raw.append_events(events, f"{root}/raw/events")
+    counts = d.table(spark, sf, "events").count(), d.table(spark, sf, "customer").count()
+    manifest.write(spark, root, *counts, 1, ["event_date"] if by_date else [])
+    return root
 
 
 def _refresh(lake: Lake, sf: str, run_id: str, kind: str = "clean", **options) -> dict:
@@ -85,10 +99,34 @@ def events_pruned_scan(spark, sf):
     return models.stage_events(raw.scan_events_window(spark, path, WINDOW), "event_date")
 
 
+def raw_load_defects(spark, sf):
+    """What would be refused when loading events with odd amounts and broken lines."""
+    path = workspace(spark, "odd-events")
+    d.unloadable_lines(spark, sf).write.text(path)
+    users = workspace(spark, "users")
+    raw.replace_users(d.clean_users(spark, sf), users)
+    events = raw.load_defects(raw.scan_events(spark, path), "events")
+    return events.unionByName(raw.load_defects(raw.scan_users(spark, users), "users"))
+
+
 def manifest_audit(spark, sf):
-    root = workspace(spark, "dataset")
-    generate.generate(spark, root, *_counts(spark, sf), partition_by_date=True)
-    return manifest.audit_totals(spark, root)
+    return manifest.audit_totals(spark, _dataset(spark, sf, by_date=True))
+
+
+def manifest_findings(spark, sf):
+    """One day's rows are listed wrongly, one day's digests, and one day's files under other names."""
+    root = _dataset(spark, sf, by_date=True)
+    day = F.regexp_extract("path", "event_date=([0-9-]+)", 1)
+    altered = manifest.listed(spark, root).select(
+        F.when(day == "2024-01-12", F.concat("path", F.lit(".gone"))).otherwise(F.col("path")).alias("path"),
+        F.when(day == "2024-01-10", F.col("rows") * 2).otherwise(F.col("rows")).alias("rows"),
+        F.when(day == "2024-01-11", F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"),
+    )
+    altered.write.json(f"{root}/altered")
+    head = manifest.totals(spark, root) | {"files_in": "altered"}
+    files.replace_text(spark, f"{root}/manifest.json", json.dumps(head))
+    per_day = manifest.audit(spark, root).groupBy("kind", F.nullif(day, F.lit("")).alias("day"), "status")
+    return per_day.agg(F.sum("listed_rows").alias("listed_rows"), F.sum("found_rows").alias("found_rows"))
 
 
 def schema_contract(spark, sf):
@@ -98,29 +136,25 @@ def schema_contract(spark, sf):
     return raw.schema_contract(spark, {k: f"{root}/{k}" for k in ("events", "users")})
 
 
-def generated_events(spark, sf):
-    return generate.events_frame(spark, *_counts(spark, sf))
-
-
-def generated_users(spark, sf):
-    return generate.users_frame(spark, _counts(spark, sf)[1])
-
-
-def generated_by_date(spark, sf):
-    root = workspace(spark, "generated")
-    events, users = _counts(spark, sf)
-    generate.generate(spark, root, events, users, start_id=86_396, partition_by_date=True)
-    rows = spark.read.json(f"{root}/raw/events", schema="event_id string, timestamp string, event_date string")
-    return rows.select("event_id", F.col("timestamp").alias("event_timestamp"), "event_date")
+def schema_drift(spark, sf):
+    """Amounts as text, no page, and a field that nobody declared."""
+    root = workspace(spark, "drift")
+    events = d.clean_events(spark, sf)
+    amount = F.concat(F.col("amount").cast("string"), F.lit(" EUR"))
+    events.withColumns({"amount": amount, "channel": F.col("event_type")}).drop("page").write.json(f"{root}/events")
+    d.clean_users(spark, sf).withColumn("created_at", F.lit(20240101)).write.json(f"{root}/users")
+    return raw.schema_contract(spark, {k: f"{root}/{k}" for k in ("events", "users")})
 
 
 def batch_append(spark, sf):
-    """The base data and two follow-on batches, appended without touching users."""
+    """Events before, in and after a window as three batches, appended without touching users."""
     root = workspace(spark, "batches")
-    events, users = _counts(spark, sf)
-    raw.replace_users(generate.users_frame(spark, users), f"{root}/users")
-    for start in (1, events + 1, 2 * events + 1):
-        raw.append_events(generate.events_frame(spark, events, users, start), f"{root}/events")
+    events = d.clean_events(spark, sf)
+    raw.replace_users(d.clean_users(spark, sf), f"{root}/users")
+    day = F.left("timestamp", F.lit(10))
+    first, last = WINDOW.start.isoformat(), WINDOW.end.isoformat()
+    for batch in (day < first, day.between(first, last), day > last):
+        raw.append_events(events.where(batch), f"{root}/events")
     return raw.scan_events(spark, f"{root}/events").select(*RAW_EVENTS.names[:4], "amount")
 
 
@@ -265,9 +299,14 @@ def daily_by_type(spark, sf):
 
 
 def daily_by_country(spark, sf):
-    """The report's form for users beyond any broadcast, on unpublished models."""
+    """The report on unpublished models."""
     events, users = _staged(spark, sf)
-    return reports.daily_by_country(models.typed_events(events), models.dim_users(users), False)
+    return reports.daily_by_country(models.typed_events(events), models.dim_users(users))
+
+
+def daily_by_country_mills(spark, sf):
+    events, users = _staged(spark, sf, "mills")
+    return reports.daily_by_country(models.typed_events(events), models.dim_users(users))
 
 
 def published_daily_by_country(spark, sf):
@@ -276,6 +315,12 @@ def published_daily_by_country(spark, sf):
     return publication.published_daily_by_country(lake)
 
 
+def published_daily_by_country_mills(spark, sf):
+    lake = _lake(spark, "published-mills")
+    refresh(lake, d.mills_events(spark, sf), d.clean_users(spark, sf), "run-1")
+    return publication.published_daily_by_country(lake)
+
+
 def orphan_users(spark, sf):
     return reports.orphans(_staged(spark, sf, "dirty")[0], _staged(spark, sf)[1])
 
@@ -323,7 +368,13 @@ def source_freshness(spark, sf):
 
 
 def run_scan_metrics(spark, sf):
-    return reports.run_scan_metrics(d.log_lines(spark, sf), d.log_runs(spark, sf))
+    found = reports.run_scan_metrics(d.log_lines(spark, sf), d.log_runs(spark, sf))
+    rounded = {"scan_usd": F.round("scan_usd", 12), "events_per_second": F.round("events_per_second", 3)}
+    return found.withColumns(rounded)
+
+
+def run_queries(spark, sf):
+    return reports.run_queries(d.log_lines(spark, sf))
 
 
 # -- quality gates ---------------------------------------------------------------
@@ -349,6 +400,13 @@ def quality_staging(spark, sf):
     return checks.check_results(tables, "staging").select(*_SHOWN)
 
 
+def quality_staging_empty(spark, sf):
+    """Sources without a row."""
+    events, users = _staged(spark, sf)
+    tables = checks.Tables(events.where("event_type = 'never'"), users.where("length(user_id) = 0"))
+    return checks.check_results(tables, "staging").select(*_SHOWN)
+
+
 def quality_marts(spark, sf):
     return checks.check_results(_mart_tables(spark, sf), "marts").select(*_SHOWN)
 
@@ -426,22 +484,18 @@ def publish_cycle(spark, sf):
 
 
 def published_count_check(spark, sf):
-    """Two full runs over a generated data set; pinned counts equal its manifest."""
-    lake, root = _lake(spark, "acceptance"), workspace(spark, "dataset")
-    generate.generate(spark, root, *_counts(spark, sf))
-    expected = acceptance.replay(lake, root)
-    return publication.published_counts(lake, expected)
+    """Two full runs over a verified data set; pinned counts equal its manifest."""
+    lake, root = _lake(spark, "acceptance"), _dataset(spark, sf)
+    return publication.published_counts(lake, acceptance.replay(lake, root))
 
 
 def partitioned_refresh(spark, sf):
-    """A full run, then a window replay that reads only the window's raw folders."""
-    lake, root = _lake(spark, "partitioned"), workspace(spark, "dataset")
-    events, users = _counts(spark, sf)
-    generate.generate(spark, root, events, users, partition_by_date=True)
-    paths = (f"{root}/raw/events", f"{root}/raw/users")
-    refresh_from_files(lake, *paths, "full")
-    day = {"start": "2024-01-01", "end": "2024-01-01"}
-    refresh_from_files(lake, *paths, "replay", window=day, partitioned_source=True)
+    """A full run, then a window replay of other amounts that reads only the window's raw folders."""
+    lake = _lake(spark, "partitioned")
+    before, after = _dataset(spark, sf, by_date=True), _dataset(spark, sf, "doubled", by_date=True)
+    refresh_from_files(lake, f"{before}/raw/events", f"{before}/raw/users", "full")
+    paths = (f"{after}/raw/events", f"{after}/raw/users")
+    refresh_from_files(lake, *paths, "replay", window=WINDOW, partitioned_source=True)
     return publication.published_daily_by_country(lake)
 
 
@@ -473,11 +527,11 @@ QUERIES = {
         raw_events_scan,
         raw_users_scan,
         events_pruned_scan,
+        raw_load_defects,
         manifest_audit,
+        manifest_findings,
         schema_contract,
-        generated_events,
-        generated_users,
-        generated_by_date,
+        schema_drift,
         batch_append,
         dim_users,
         fct_events,
@@ -496,7 +550,9 @@ QUERIES = {
         summary_by_type,
         daily_by_type,
         daily_by_country,
+        daily_by_country_mills,
         published_daily_by_country,
+        published_daily_by_country_mills,
         orphan_users,
         negative_amounts,
         duplicate_keys,
@@ -506,7 +562,9 @@ QUERIES = {
         nonempty_sources,
         source_freshness,
         run_scan_metrics,
+        run_queries,
         quality_staging,
+        quality_staging_empty,
         quality_marts,
         quality_staging_window,
         quality_marts_window,

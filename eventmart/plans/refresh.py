@@ -11,7 +11,7 @@ from eventmart.operators.merge import upsert
 from eventmart.operators.windows import DateWindow
 from eventmart.plans import publication
 from eventmart.plans.lake import Lake
-from eventmart.session import fits_broadcast, sized_shuffles
+from eventmart.session import SHUFFLE_BYTES, sized_shuffles
 from eventmart.sources import raw
 from eventmart.storage import files
 
@@ -47,32 +47,33 @@ def refresh(
     raw_users: DataFrame,
     run_id: str,
     window=None,
-    clustered: bool = False,
     before_facts: Callable[[], None] | None = None,
+    partition_bytes: int = SHUFFLE_BYTES,
 ) -> dict:
     """One full run, or a run that replays a date window of events.
 
     A failure leaves earlier commits in place but the publication unchanged, so
     readers of the publication never see a half-done run; the rerun reconciles.
-    ``clustered``: the raw events lie in folders by date, so as long as the user
-    join does not shuffle them the facts are written without a shuffle.
-    ``before_facts`` runs between the two mart commits (failure drills).
+    A run id that has been published is refused before anything is written.
+    ``before_facts`` runs between the two mart commits (failure drills). Shuffles are dealt
+    into partitions of about ``partition_bytes``; a larger value makes fewer of them.
     """
     window = DateWindow.parse(window)
+    publication.require_unpublished(lake, run_id)
     staged = f"{lake.root}/staging/run={publication.revision_of(run_id)}"
     events = raw.land(raw_events, "events", f"{staged}/events")
     users = raw.land(raw_users, "users", f"{staged}/users")
 
-    with sized_shuffles(lake.spark, _shuffled_bytes(lake, staged)):
+    with sized_shuffles(lake.spark, _shuffled_bytes(lake, staged), partition_bytes):
         gate(lake, "staging", tables_of(lake, events, users), run_id, window)
         upsert(lake.dim_users, models.dim_users(users), unique=True)
         if before_facts:
             before_facts()
         facts = models.fct_events(events, users, window)
-        in_place = clustered and fits_broadcast(models.user_attributes(users))
-        upsert(lake.fct_events, facts, unique=True, stable_in=window, clustered=in_place)
-        summary = gate(lake, "marts", tables_of(lake, events, users), run_id, window)
-    publication.attest(lake, run_id, summary)
+        upsert(lake.fct_events, facts, unique=True, stable_in=window)
+        checked = lake.snapshot_ids()
+        summary = gate(lake, "marts", tables_of(lake, events, users, checked), run_id, window)
+    publication.attest(lake, run_id, summary, checked)
     document = publication.publish(lake, run_id, window)
     files.remove(lake.spark, staged)  # a failed run's copy stays, to look into its rows
     return document
@@ -98,11 +99,10 @@ def refresh_from_files(
 ) -> dict:
     """Refresh from NDJSON folders; with a window a partitioned source is pruned."""
     if not isinstance(partitioned_source, bool):
-        raise ValueError("partitioned_source must be a boolean")
+        raise ValueError("partitioned_source is neither True nor False")
     window, spark = DateWindow.parse(window), lake.spark
     if window and partitioned_source:
         events = raw.scan_events_window(spark, events_path, window)
     else:
         events = raw.scan_events(spark, events_path)
-    clustered = raw.is_partitioned(spark, events_path)
-    return refresh(lake, events, raw.scan_users(spark, users_path), run_id, window, clustered)
+    return refresh(lake, events, raw.scan_users(spark, users_path), run_id, window)

@@ -58,20 +58,20 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 # Aim for shuffle partitions of about this size; AQE merges smaller ones.
 SHUFFLE_BYTES = 128 << 20
-# Map outputs hold an entry per shuffle partition; beyond this, larger partitions spill.
-MAX_SHUFFLE_PARTITIONS = 32_768
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, shuffled_bytes: int):
+def sized_shuffles(spark: SparkSession, shuffled_bytes: int, partition_bytes: int = SHUFFLE_BYTES):
     """Raise the number of shuffle partitions to fit the data while jobs run inside.
 
     AQE merges partitions that turn out small but cannot add any, so the session's
-    number is only a floor. Actions must run inside; the old number is put back.
+    number is only a floor. Actions must run inside; the old number is put back. It is a
+    setting of the session, so jobs that run beside each other need sessions of their own
+    (``spark.newSession()``).
     """
     before = spark.conf.get(_PARTITIONS)
-    wanted = min(shuffled_bytes // SHUFFLE_BYTES, MAX_SHUFFLE_PARTITIONS)
+    wanted = shuffled_bytes // partition_bytes
     spark.conf.set(_PARTITIONS, str(max(int(before), wanted)))
     try:
         yield
@@ -79,14 +79,6 @@ def sized_shuffles(spark: SparkSession, shuffled_bytes: int):
         spark.conf.set(_PARTITIONS, before)
 
 
-def fits_broadcast(rows: DataFrame) -> bool:
-    """Whether Catalyst's size estimate of ``rows`` is below the session's broadcast limit."""
-    spark = rows.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(str(size)) <= limit
-
-
 _ARROW = {
     T.StringType(): pa.string(),
     T.LongType(): pa.int64(),

@@ -1,8 +1,8 @@
 """Manifests of NDJSON data sets: writing them and verifying files against them.
 
-``manifest.json`` holds the totals and, up to ``INLINE_FILES`` entries, the file
-list itself. Beyond that the entries stay where Spark computed them, as NDJSON in
-``manifest-files/``, so neither writing nor verifying gathers them on the driver.
+``manifest.json`` holds the totals and names the folder with the file entries, which stay
+where Spark computed them, as NDJSON, so neither writing nor verifying gathers them on the
+driver. Manifests of other writers, with the entries in an array ``files``, are read as well.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from eventmart.session import small_frame
 from eventmart.sources.raw import SourceRejected, scan_events, scan_users
 from eventmart.storage import files
 
-INLINE_FILES = 10_000
 ENTRIES = "manifest-files"
 KINDS = ("events", "users")
+MOST_FILE_BYTES = (1 << 31) - 1024
 
 
 def _relative(spark: SparkSession, root: str) -> Column:
@@ -35,7 +35,7 @@ def measure(spark: SparkSession, root: str) -> DataFrame:
     """Path, row count and SHA-256 of every data file below ``root/raw``.
 
     Rows are counted from a splittable text scan with one partial count per task.
-    A digest needs its whole file, which shard size bounds.
+    A digest needs its whole file in one row, so a file of 2 GiB or more is refused.
     """
     folders = [f"{root}/raw/{kind}" for kind in KINDS if files.exists(spark, f"{root}/raw/{kind}")]
     text = spark.read.option("recursiveFileLookup", True).text(folders)
@@ -45,6 +45,8 @@ def measure(spark: SparkSession, root: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     binary = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
+    too_long = F.col("length") > MOST_FILE_BYTES
+    binary = binary.where(F.when(too_long, F.raise_error(F.lit("a file is too long for its digest"))).otherwise(True))
     digests = binary.select(
         F.col("_metadata.file_path").alias("uri"),
         _relative(spark, root).alias("path"),
@@ -59,15 +61,10 @@ def write(
 ) -> dict:
     target = f"{root}/{ENTRIES}"
     measure(spark, root).write.json(target)
-    entries = spark.read.schema(MANIFEST_FILE).json(target)
     head = {"format": "ndjson", "events": events, "users": users, "start_id": start_id}
     if partitioned_by:
         head["partitioned_by"] = partitioned_by
-    if entries.count() <= INLINE_FILES:
-        rows = entries.orderBy("path").collect()
-        head["files"] = [r.asDict() for r in rows]
-    else:
-        head["files_in"] = ENTRIES
+    head["files_in"] = ENTRIES
     files.create_text(spark, f"{root}/manifest.json", json.dumps(head, indent=2) + "\n")
     return head
 
@@ -81,8 +78,9 @@ def totals(spark: SparkSession, root: str) -> dict:
 
 def listed(spark: SparkSession, root: str) -> DataFrame:
     """File entries of a data set's manifest."""
-    if "files_in" in totals(spark, root):
-        return spark.read.schema(MANIFEST_FILE).json(f"{root}/{ENTRIES}")
+    folder = totals(spark, root).get("files_in")
+    if folder:
+        return spark.read.schema(MANIFEST_FILE).json(f"{root}/{folder}")
     document = spark.read.schema(MANIFEST).option("multiLine", True).json(f"{root}/manifest.json")
     return document.select(F.inline("files"))
 
@@ -119,27 +117,25 @@ def audit_totals(spark: SparkSession, root: str) -> DataFrame:
     """Per kind: declared total, listed and found rows, and files by outcome."""
     head = totals(spark, root)
     declared = small_frame(spark, [(k, head[k]) for k in KINDS], "kind string, declared long")
-    checked = audit(spark, root).where("status <> 'unlisted'").groupBy("kind")
+    checked = audit(spark, root).groupBy("kind")
+    listed_only = F.col("status") != "unlisted"
     summed = checked.agg(
         F.sum("listed_rows").alias("listed_rows"),
-        F.sum("found_rows").alias("found_rows"),
-        F.count_if(F.col("status") != "ok").alias("bad_files"),
+        F.sum(F.when(listed_only, F.col("found_rows"))).alias("found_rows"),
+        F.count_if((F.col("status") != "ok") & listed_only).alias("bad_files"),
+        F.count_if(~listed_only).alias("unlisted_files"),
     )
     return declared.join(summed, "kind", "left")
 
 
 def load_verified(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Scans of a data set's listed files, after all of them passed the audit."""
-    listed_kinds = audit_totals(spark, root).collect()  # one row per kind
-    for row in listed_kinds:
-        if row.bad_files or row.listed_rows != row.declared or row.found_rows != row.declared:
+    """Plain scans of a data set, after every file passed the audit and none is unlisted.
+
+    All is decided per file, so no row is joined with the list of files.
+    """
+    for row in audit_totals(spark, root).collect():  # one row per kind
+        wrong = row.bad_files or row.unlisted_files
+        if wrong or row.listed_rows != row.declared or row.found_rows != row.declared:
             raise SourceRejected(f"{root}: {row.asDict()}")
-    entries = listed(spark, root).select(F.col("path").alias("_listed"))
     scans = {"events": scan_events, "users": scan_users}
-    loaded = {}
-    for kind, scan in scans.items():
-        rows = scan(spark, f"{root}/raw/{kind}")
-        names = rows.columns
-        located = rows.withColumn("_listed", _relative(spark, root))
-        loaded[kind] = located.join(entries, "_listed", "left_semi").select(*names)
-    return loaded
+    return {kind: scan(spark, f"{root}/raw/{kind}") for kind, scan in scans.items()}

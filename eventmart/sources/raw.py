@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,27 +65,42 @@ def replace_users(users: DataFrame, path: str) -> None:
     users.select(*RAW_USERS.names).write.mode("overwrite").json(path)
 
 
+def _defects(kind: str) -> dict[str, Column]:
+    """What makes a raw row impossible to load, as conditions."""
+    # a scan that asks for the corrupt text alone is refused, so the key is looked at as well
+    key = F.coalesce(F.length("event_id" if kind == "events" else "user_id"), F.lit(0)) >= 0
+    found = {"corrupt": F.col(CORRUPT).isNotNull() & key}
+    if kind == "events":
+        found["not_a_number"] = F.isnan("amount")
+        found["infinite"] = F.abs("amount") == float("inf")
+    return found
+
+
+def load_defects(raw: DataFrame, kind: str) -> DataFrame:
+    """Rows by defect that keep a raw source from being loaded (zero counts included)."""
+    seen = raw.agg(*[F.count_if(c).alias(name) for name, c in _defects(kind).items()])
+    names = ", ".join(f"'{name}', {name}" for name in _defects(kind))
+    stacked = seen.selectExpr(f"stack({len(_defects(kind))}, {names}) AS (defect, rows)")
+    return stacked.select(F.lit(kind).alias("source"), "defect", "rows")
+
+
 def land(raw: DataFrame, kind: str, target: str) -> DataFrame:
     """Parse raw rows once into a columnar staging copy and return its scan.
 
     JSON text is neither splittable by column nor vectorized, and the gates and the
     merge read staging several times; they read this copy. Rejects text that is no
-    record of the schema and amounts that are no number.
+    record of the schema and amounts that are no finite number.
     """
     stage, text = _STAGES[kind]
     corrupt = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
     staged = stage(raw.withColumn(CORRUPT, corrupt), CORRUPT)
-    not_a_number = F.isnan("amount") if kind == "events" else F.lit(False)
     seen = Observation()
-    checked = staged.withColumn(PARSED, utc_millis(text)).observe(
-        seen,
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"),
-        F.count_if(not_a_number).alias("not_a_number"),
-    )
+    counted = [F.count_if(c).alias(name) for name, c in _defects(kind).items()]
+    checked = staged.withColumn(PARSED, utc_millis(text)).observe(seen, *counted)
     landed = checked.drop(CORRUPT)
     landed.write.mode("overwrite").parquet(target)
     found = seen.get
-    if found["corrupt"] or found["not_a_number"]:
+    if any(found.values()):
         raise SourceRejected(f"{kind}: {found}")
     return raw.sparkSession.read.schema(landed.schema).parquet(target)
 

@@ -1,4 +1,8 @@
-"""Small control documents (manifests, refs, publications) on any Hadoop file system.
+"""Small control documents (manifests, refs, publications) on a Hadoop file system.
+
+A document is created by an atomic rename that does not overwrite, as HDFS and local disks
+have it. Object stores whose rename copies need a committer or a table service of their own:
+there two writers may both believe that they created a document.
 
 Only documents whose size does not grow with the row count pass through here; all
 table data is read and written by Spark.
@@ -46,6 +50,13 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def count_and_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of the data files in a folder."""
+    fs, target = _open(spark, path)
+    found = [s for s in fs.listStatus(target) if s.isFile() and not s.getPath().getName().startswith((".", "_"))]
+    return len(found), sum(s.getLen() for s in found)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Absolute, URL-encoded form with scheme, as Spark reports it in ``_metadata.file_path``."""
     fs, target = _open(spark, path)

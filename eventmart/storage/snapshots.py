@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -113,22 +114,26 @@ class Mart:
         found = files.names(self.spark, f"{self.root}/snapshots")
         return sorted(int(n.removesuffix(".json")) for n in found if n.endswith(".json"))
 
+    def ancestors(self) -> Iterator[Snapshot]:
+        """The current snapshot and what it came from, newest first, read one by one."""
+        number = self.current_id()
+        while number is not None:
+            found = self.snapshot(number)
+            yield found
+            number = found.parent
+
     def history(self) -> list[Snapshot]:
         """The current snapshot and its ancestors, oldest first."""
-        chain, number = [], self.current_id()
-        while number is not None:
-            chain.append(self.snapshot(number))
-            number = chain[-1].parent
-        return chain[::-1]
+        return [*self.ancestors()][::-1]
 
     def as_of(self, instant: datetime) -> Snapshot:
         """Newest snapshot of the history committed at or before ``instant``."""
         if instant.tzinfo is None:
             instant = instant.replace(tzinfo=timezone.utc)
-        kept = [s for s in self.history() if s.committed_at <= instant]
-        if not kept:
+        found = next((s for s in self.ancestors() if s.committed_at <= instant), None)
+        if found is None:
             raise LookupError(f"{self.spec.name}: {instant} is before the retained history")
-        return kept[-1]
+        return found
 
     def rollback(self, number: int) -> None:
         """Point ref ``main`` at an existing snapshot."""
@@ -163,24 +168,26 @@ class Mart:
         return reader.parquet(*paths).select(*wanted)
 
     def read(self, number: int | None = None, window: DateWindow | None = None) -> DataFrame:
-        """A pinned snapshot (default: the current one), optionally only a date window."""
-        snapshot = self.ensure() if number is None else self.snapshot(number)
-        rows = self.scan(snapshot.within(window))
+        """A pinned snapshot (default: the current one), optionally only a date window.
+
+        A mart without a snapshot reads as empty; reading never writes.
+        """
+        snapshot = self.current() if number is None else self.snapshot(number)
+        rows = self.scan(snapshot.within(window) if snapshot else ())
         return rows.where(window.covers(self.spec.partition)) if window else rows
 
-    def write(self, df: DataFrame, clustered: bool = False) -> list[Directory]:
+    def write(self, df: DataFrame) -> list[Directory]:
         """Write rows as a new batch. Nothing refers to it until a commit does.
 
-        For a partitioned mart ``rebalance`` shuffles by date and lets AQE merge
-        small dates and split a date too large for one task, so neither many dates
-        nor one huge date yields tiny files or a single long task. Rows that arrive
-        ``clustered`` (few dates per task) are written where they are.
+        ``rebalance`` shuffles (by date, for a partitioned mart) and lets AQE merge
+        what is small and split a date too large for one task, so neither many dates
+        nor one huge date yields tiny files or a single long task.
         """
         require(df, self.spec.schema, self.spec.name)
         batch = uuid.uuid4().hex
         target = f"{self.data}/{BATCH}={batch}"
         day = self.spec.partition
-        shaped = df.hint("rebalance", day) if day and not clustered else df
+        shaped = df.hint("rebalance", day) if day else df.hint("rebalance")
         writer = shaped.write.option("compression", "snappy")
         (writer.partitionBy(day) if day else writer).parquet(target)
         return self._measure(batch)

@@ -3,6 +3,7 @@ import json
 import pytest
 
 from eventmart.__main__ import main
+from eventmart.sources import generate
 
 
 def _run(capsys, *argv):
@@ -13,7 +14,7 @@ def _run(capsys, *argv):
 def test_sample_from_generation_to_report(spark, tmp_path, capsys):
     data, lake = tmp_path / "data", tmp_path / "lake"
     head = _run(capsys, "generate", "--output", data, "--events", 24, "--users", 6)
-    assert head["events"] == 24 and len(head["files"]) == 2
+    assert head["events"] == 24 and head["files_in"]
     assert {r["kind"]: r["found_rows"] for r in _run(capsys, "verify", data)} == {"events": 24, "users": 6}
     paths = ("--events", data / "raw/events", "--users", data / "raw/users")
     assert _run(capsys, "refresh", "--lake", lake, *paths, "--run-id", "one")["quality"]["passed"] == 18
@@ -27,6 +28,16 @@ def test_sample_from_generation_to_report(spark, tmp_path, capsys):
     assert len(old) == 6
 
 
+def test_follow_on_batch_and_rollback(spark, tmp_path, capsys):
+    data, lake = tmp_path / "data", tmp_path / "lake"
+    head = _run(capsys, "generate", "--output", tmp_path / "batch", "--events", 5, "--follow-on", 3)
+    assert head["events"] == 5 and head["start_id"] == generate.BATCH3_START
+    _run(capsys, "generate", "--output", data, "--events", 6, "--users", 6)
+    paths = ("--events", data / "raw/events", "--users", data / "raw/users")
+    _run(capsys, "refresh", "--lake", lake, *paths, "--run-id", "one")
+    assert _run(capsys, "rollback", "--lake", lake, "dim_users", 1) == {"dim_users": 1, "fct_events": 2}
+
+
 def test_acceptance_with_drill(spark, tmp_path, capsys):
     data = tmp_path / "data"
     _run(capsys, "generate", "--output", data, "--events", 24, "--users", 6, "--partition-by-date")
@@ -44,6 +55,7 @@ def test_metrics(spark, tmp_path, capsys):
     args = ("metrics", "--logs", tmp_path / "log", "--run-id", "run", "--seconds", 2, "--input-events", 10)
     row = _run(capsys, *args)
     assert (row["query_count"], row["scan_usd"], row["events_per_second"]) == (1, 5.0, 5.0)
+    assert [(q["query_id"], q["bytes_scanned"]) for q in row["queries"]] == [("q", 10**12)]
 
 
 @pytest.mark.parametrize("count", ["0", "-1"])

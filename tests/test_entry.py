@@ -20,9 +20,9 @@ WRITES = {
     "fact_window_scan",
     "failure_drill_audit",
     "gated_refresh",
-    "generated_by_date",
     "late_arrival_replay",
     "manifest_audit",
+    "manifest_findings",
     "merge_dim_users",
     "merge_fct_full",
     "merge_fct_window",
@@ -31,10 +31,13 @@ WRITES = {
     "publish_cycle",
     "published_count_check",
     "published_daily_by_country",
+    "published_daily_by_country_mills",
     "raw_events_scan",
+    "raw_load_defects",
     "raw_users_scan",
     "replay_diff",
     "schema_contract",
+    "schema_drift",
     "snapshot_log",
     "time_travel_read",
 }

@@ -5,9 +5,11 @@ from conftest import rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from eventmart.operators import models, reports
 from eventmart.operators.merge import DuplicateKeys, compact, upsert
 from eventmart.operators.windows import DateWindow
 from eventmart.schemas import DIM_USERS, FCT_EVENTS, MARTS, SchemaDrift
+from eventmart.sources import generate
 from eventmart.storage import files
 from eventmart.storage.snapshots import Mart
 
@@ -239,3 +241,22 @@ def test_hot_date_is_written_by_several_tasks(spark, lake, conf):
     assert snapshot.rows == 60_000
     hot = [f for f in lake.fct_events.read().inputFiles() if "event_date=2024-01-01" in f]
     assert len(hot) > 4
+
+
+def test_small_files_of_a_date_are_packed(spark, lake):
+    """Forty files in one directory become one; the rows stay."""
+    mart = lake.fct_events
+    events = models.stage_events(generate.events_frame(spark, 400, 6))
+    rows = models.fct_events(events, models.stage_users(generate.users_frame(spark, 6)))
+    rows.repartition(40).write.partitionBy("event_date").parquet(f"{mart.data}/batch=many")
+    mart.commit(mart._measure("many"), None)
+    day = mart.current().directories[0]
+    assert files.count_and_size(spark, f"{mart.data}/{day.path}")[0] == 40
+    packed = compact(mart)
+    assert [files.count_and_size(spark, f"{mart.data}/{d.path}")[0] for d in packed.directories] == [1]
+    assert reports.table_diff(rows, mart.read()).isEmpty()
+    assert compact(mart).id == packed.id  # nothing left to pack
+
+
+def test_reading_a_missing_mart_writes_nothing(spark, lake):
+    assert lake.dim_users.read().count() == 0 and lake.dim_users.current_id() is None

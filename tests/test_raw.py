@@ -58,7 +58,15 @@ def test_optional_fields_may_be_absent(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "bad", ["{not json", dict(EVENT, amount="abc"), json.dumps(EVENT).replace('"amount": 1', '"amount": NaN')]
+    "bad",
+    [
+        "{not json",
+        dict(EVENT, amount="abc"),
+        *(
+            json.dumps(EVENT).replace('"amount": 1', f'"amount": {amount}')
+            for amount in ("NaN", '"NaN"', "Infinity", '"Infinity"', '"-Infinity"', "-Infinity", "1e400", "-1e400")
+        ),
+    ],
 )
 def test_unreadable_records_stop_the_load(spark, tmp_path, bad):
     path = _write(tmp_path / "bad", EVENT, bad)

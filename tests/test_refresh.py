@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventmart.operators import reports
 from eventmart.plans import acceptance, publication
+from eventmart.plans import refresh as refresh_module
 from eventmart.plans.lake import Lake
 from eventmart.plans.publication import PublicationRefused
 from eventmart.plans.refresh import GateFailed, refresh, refresh_from_files
@@ -201,6 +202,37 @@ def test_appended_batch_is_merged(spark, lake, tmp_path):
     assert lake.fct_events.read().select("event_id").distinct().count() == 48
 
 
+def test_published_run_id_is_refused_before_any_write(base, sample_events, sample_users):
+    before, staged = base.snapshot_ids(), files.names(base.spark, f"{base.root}/staging")
+    with pytest.raises(PublicationRefused):
+        refresh(base, _plus(sample_events, event_id="extra"), sample_users, "base")
+    assert base.snapshot_ids() == before and files.names(base.spark, f"{base.root}/staging") == staged
+
+
+def test_acceptance_works_again_and_again(spark, lake, tmp_path):
+    root = str(tmp_path / "set")
+    generate.generate(spark, root, 24, 6)
+    for _ in range(2):
+        assert acceptance.replay(lake, root, ("once",)) == {"events": 24, "users": 6}
+
+
+def test_commit_between_gate_and_publication_is_refused(base, sample_events, sample_users, monkeypatch):
+    """The attested snapshots are those that the gate has read."""
+    whole = refresh_module.gate
+
+    def meddled(lake, layer, *args, **kwargs):
+        summary = whole(lake, layer, *args, **kwargs)
+        if layer == "marts":
+            lake.dim_users.commit(lake.dim_users.current().directories, lake.dim_users.current())
+        return summary
+
+    monkeypatch.setattr(refresh_module, "gate", meddled)
+    document = publication.resolve(base)
+    with pytest.raises(PublicationRefused):
+        refresh(base, sample_events, sample_users, "meddled")
+    assert publication.resolve(base) == document
+
+
 # -- publication -----------------------------------------------------------------
 
 
@@ -221,20 +253,20 @@ def test_nothing_published(lake):
 def test_failed_checks_are_never_attested(published, quality):
     lake, _ = published
     with pytest.raises(PublicationRefused):
-        publication.attest(lake, "other", quality)
+        publication.attest(lake, "other", quality, lake.snapshot_ids())
     with pytest.raises(PublicationRefused):
         publication.publish(lake, "other")
 
 
 def test_changed_snapshots_are_refused(base, sample_users):
-    publication.attest(base, "late", GOOD)
+    publication.attest(base, "late", GOOD, base.snapshot_ids())
     base.dim_users.rollback(1)
     with pytest.raises(PublicationRefused):
         publication.publish(base, "late")
 
 
 def test_retry_is_identical_and_other_content_is_refused(base):
-    publication.attest(base, "again", GOOD)
+    publication.attest(base, "again", GOOD, base.snapshot_ids())
     first = publication.publish(base, "again", DAY1)
     assert publication.publish(base, "again", DAY1) == first
     with pytest.raises(PublicationRefused):

@@ -1,5 +1,6 @@
 import json
 from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from conftest import rows_of
@@ -9,7 +10,6 @@ from pyspark.sql.utils import CapturedException
 from eventmart.operators import models, reports
 from eventmart.operators.windows import DateWindow
 from eventmart.plans import acceptance
-from eventmart.session import fits_broadcast
 from eventmart.sources import generate
 
 
@@ -20,22 +20,25 @@ def marts(spark):
     return models.typed_events(events), models.dim_users(users)
 
 
-def test_country_report_is_the_same_for_small_and_large_users(marts):
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_country_report_does_not_depend_on_broadcasts(marts, conf, limit):
+    """Amounts of three decimals: totals are exact, however the rows are joined and grouped."""
+    conf(spark__sql__autoBroadcastJoinThreshold=limit)
     facts, users = marts
     # One user holds a third of all events.
-    hot = F.when(F.col("event_id") % 3 == 0, "u0000000001").otherwise(F.col("user_id"))
-    skewed = facts.withColumn("event_id", F.substring("event_id", 2, 20).cast("long")).withColumn("user_id", hot)
-    small = reports.daily_by_country(skewed, users, True).collect()
-    large = reports.daily_by_country(skewed, users, False).collect()
-    assert small == large and sum(r.events for r in small) == 200_000
-    assert [(r.event_date, r.country) for r in small] == sorted((r.event_date, r.country) for r in small)
-
-
-def test_size_check_follows_the_session(marts, conf):
-    _, users = marts
-    assert fits_broadcast(users)
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    assert not fits_broadcast(users)
+    number = F.substring("event_id", 2, 20).cast("long")
+    hot = F.when(number % 3 == 0, "u0000000001").otherwise(F.col("user_id"))
+    mills = (number % 100_000).cast("decimal(18, 3)") / 1000 + F.lit(0.005).cast("decimal(4, 3)")
+    skewed = facts.withColumns({"user_id": hot, "amount": mills.cast("double")})
+    rows = reports.daily_by_country(skewed, users).collect()
+    assert sum(r.events for r in rows) == 200_000
+    assert [(r.event_date, r.country) for r in rows] == sorted((r.event_date, r.country) for r in rows)
+    plain = skewed.join(users.select("user_id", "country"), "user_id").select("event_date", "country", "amount")
+    want: dict = {}
+    for day, country, amount in plain.collect():
+        want[day, country] = want.get((day, country), 0) + Decimal(repr(amount))
+    cents = {key: float(total.quantize(Decimal("0.01"), ROUND_HALF_UP)) for key, total in want.items()}
+    assert {(r.event_date, r.country): r.amount for r in rows} == cents
 
 
 def test_daily_by_type_window(marts):
@@ -147,3 +150,19 @@ def test_run_without_queries_is_an_error(logs):
         reports.run_scan_metrics(lines, runs, "quiet").collect()
     with pytest.raises(ValueError):
         reports.run_scan_metrics(lines, runs, "mine", -1.0)
+
+
+def test_statistics_belong_to_a_query_by_its_id(spark):
+    lines = [
+        {"query_id": "a", "execution_id": "one", "phase": "submitted"},
+        {"query_id": "a", "execution_id": "other", "state": "SUCCEEDED", "bytes_scanned": 50_000, "engine_ms": 7},
+        {"query_id": "b", "execution_id": "one", "phase": "submitted"},
+    ]
+    text = spark.createDataFrame([(json.dumps(x),) for x in lines], "value string")
+    runs = spark.createDataFrame([("one", 10, 5)], "execution_id string, duration_seconds long, input_events long")
+    for run_id in ("one", None):
+        row = reports.run_scan_metrics(text, runs, run_id).first()
+        assert (row.query_count, row.failed_queries, row.bytes_scanned, row.engine_ms) == (2, 1, 50_000, 7)
+        assert row.scan_usd == 50_000 / 1e12 * 5.0 and row.events_per_second == 0.5
+    found = rows_of(reports.run_queries(text, "one"))
+    assert found == [("one", "a", "SUCCEEDED", 50_000, 7), ("one", "b", None, None, None)]
