@@ -19,11 +19,11 @@ def labelled_sample(labelled: DataFrame, rows: int) -> DataFrame:
     Labels come about equally often, as far as there are rows; ``weight`` is how many rows a
     row stands for. Which ones are taken depends on nothing but the keys.
     """
-    counts = labelled.groupBy("label").count()
-    ranked = labelled.join(F.broadcast(counts), "label").withColumn("rank", draw(F.col("key")) * F.col("count"))
+    counts = written(labelled.groupBy("label").count(), "label-counts")
+    ranked = labelled.join(counts, "label").withColumn("rank", draw(F.col("key")) * F.col("count"))
     taken = ranked.orderBy("rank", "key", "label").limit(rows)
     taken = written(taken.select("key", "label", "count"), "sample")
-    own = taken.groupBy("label").agg(F.count(F.lit(1)).alias("taken"))
+    own = taken.groupBy("label").agg(F.count(F.lit(1)).alias("taken"))  # of at most ``rows`` rows
     return taken.join(F.broadcast(own), "label").select("key", "label", (F.col("count") / F.col("taken")).alias("weight"))
 
 
