@@ -14,7 +14,7 @@ from eventmart.llm.language_id import accepted, language_id
 from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix
 from eventmart.llm.ngram_join import one_of_each
-from eventmart.llm.pieces import decode, encode
+from eventmart.llm.pieces import encode
 from eventmart.llm.queries import PIECE_MODEL
 
 
@@ -42,9 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the pieces of their text, and whether these give the text back."""
-    both = decode(encode(docs, PIECE_MODEL), PIECE_MODEL, text="decoded")
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return both.select("doc_id", "lang", "source", "n_chars", F.size("ids").alias("n_pieces"), "ids", same.alias("round_trip"))
+    coded = encode(docs, PIECE_MODEL, round_trip="round_trip")
+    return coded.select("doc_id", "lang", "source", "n_chars", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
 STAGES = [

@@ -41,9 +41,9 @@ TASK_UNITS = 8192
 #: Different units that a task counts before it passes the counts on.
 FLUSH = 200_000
 #: Texts that are decoded at once.
-DECODED_ROWS = 500
+DECODED_ROWS = 200
 #: Texts are put together in parts of about so many characters, to bound memory.
-PART_CHARS = 2_000_000
+PART_CHARS = 1_000_000
 
 
 @dataclass
@@ -323,39 +323,57 @@ def dictionary(spark: SparkSession, texts: DataFrame, known: Vocabulary, entries
     return Dictionary(hashes[order], own.cast(pa.large_string()).take(pa.array(order)), starts, ids[moved.astype(np.int64)].astype(np.int32))
 
 
-def encode(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids", entries: int = DICTIONARY) -> DataFrame:
+def encode(
+    docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids", round_trip: str | None = None, entries: int = DICTIONARY
+) -> DataFrame:
     """Every row with the piece ids of its whole text, as a list of integers in column ``ids``.
 
     ``model`` is the path of a model file on the driver. ``entries`` bounds the dictionary that is
     sent to all tasks. Null and empty texts have no pieces. Control, unknown and unused pieces
-    are never used; a text that spells one is ordinary text. A column of the added name is
-    replaced; an empty table gives an empty result.
+    are never used; a text that spells one is ordinary text. With ``round_trip`` a column of that
+    name tells whether decoding gives the text back (null counting as empty); the task that
+    encodes a text decodes it as well. Columns of the added names are replaced; an empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     known = vocabulary(model)
     texts = docs.select(field(text).cast("string").alias("text"))
     send = spark.sparkContext.broadcast((known.plain(), dictionary(spark, texts, known, entries).plain()))
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<ids: array<int>, same: boolean>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         plain, own = send.value
         known, common = Vocabulary(*plain), Dictionary(*own)
-        table = known.table()
+        table, spelt = known.table(), _spelling(known.texts)
         for batch in batches:
-            out, seen, lists, size = [], _numbers(), [], 0
-            for x in batch:
-                text = x.as_py()
-                if size > PART_CHARS:
-                    out.append(_lists(seen, lists, common, known))
-                    seen, lists, size = _numbers(), [], 0
-                own = units(text, known, table)
-                lists.append(np.fromiter(map(seen.__getitem__, own), np.int64, len(own)))
-                size += len(text or "")
-            out.append(_lists(seen, lists, common, known))
-            yield pa.concat_arrays(out)
-
-    whole = docs.select(packed(docs).alias("row"), coded(field(text).cast("string")).alias("coded"))
-    return unpacked(whole, "row", {ids: F.col("coded")})
+            out, same = [], []
+            for part in _parts(batch):
+                seen, lists = _numbers(), []
+                for x in part:
+                    own = units(x, known, table)
+                    lists.append(np.fromiter(map(seen.__getitem__, own), np.int64, len(own)))
+                out.append(_lists(seen, lists, common, known))
+                if round_trip:
+                    same += [a == (b or "") for a, b in zip(_decoded(out[-1], spelt), part, strict=True)]
+            whole = pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+            yield pa.StructArray.from_arrays([whole, pa.array(same or [None] * len(batch), pa.bool_())], ["ids", "same"])
+
+    rows = docs.select(packed(docs).alias("row"), coded(field(text).cast("string")).alias("coded"))
+    added = {ids: F.col("coded.ids")} | ({round_trip: F.col("coded.same")} if round_trip else {})
+    return unpacked(rows, "row", added)
+
+
+def _parts(batch: pa.Array) -> Iterator[list]:
+    """The texts of a batch in order, in lists of about ``PART_CHARS`` characters."""
+    part, size = [], 0
+    for x in batch:
+        part.append(x.as_py())
+        size += len(part[-1] or "")
+        if size > PART_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def _numbers() -> defaultdict:
@@ -393,20 +411,29 @@ def decode(rows: DataFrame, model: str, *, ids: str = "ids", text: str = "text")
     send = rows.sparkSession.sparkContext.broadcast(vocabulary(model).texts)
 
     @F.arrow_udf("string")
-    def spelt(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        texts = pa.array([*send.value, b""], pa.binary())
-        nothing = len(texts) - 1
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        spelt = _spelling(send.value)
         for batch in batches:
-            out = []
-            for start in range(0, len(batch), DECODED_ROWS):
-                part = batch.slice(start, DECODED_ROWS)
-                own = pc.fill_null(part.flatten(), nothing).to_numpy(zero_copy_only=False)
-                own = np.where((own >= 0) & (own < nothing), own, nothing)
-                ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False))))
-                pieces = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), texts.take(pa.array(own)))
-                joined = pc.if_else(part.is_null(), None, pc.binary_join(pieces, b""))
-                out += [x if x is None else x.decode("utf-8", "replace").removeprefix(" ") for x in joined.to_pylist()]
-            yield pa.array(out, pa.string())
-
-    whole = rows.select(packed(rows).alias("row"), spelt(field(ids).cast("array<int>")).alias("spelt"))
+            yield pa.array(_decoded(batch, spelt), pa.string())
+
+    whole = rows.select(packed(rows).alias("row"), decoded(field(ids).cast("array<int>")).alias("spelt"))
     return unpacked(whole, "row", {text: F.col("spelt")})
+
+
+def _spelling(texts: list[bytes]) -> pa.Array:
+    """What each id spells, and at the end what spells nothing."""
+    return pa.array([*texts, b""], pa.binary())
+
+
+def _decoded(lists: pa.Array, spelt: pa.Array) -> list:
+    """The texts of lists of piece ids."""
+    out, nothing = [], len(spelt) - 1
+    for start in range(0, len(lists), DECODED_ROWS):
+        part = lists.slice(start, DECODED_ROWS)
+        own = pc.fill_null(part.flatten(), nothing).to_numpy(zero_copy_only=False)
+        own = np.where((own >= 0) & (own < nothing), own, nothing)
+        ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False))))
+        pieces = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), spelt.take(pa.array(own)))
+        joined = pc.if_else(part.is_null(), None, pc.binary_join(pieces, b""))
+        out += [x if x is None else x.decode("utf-8", "replace").removeprefix(" ") for x in joined.to_pylist()]
+    return out

@@ -11,7 +11,7 @@ from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix_plan
 from eventmart.llm.neighbours import nearest
 from eventmart.llm.ngram_join import ngram_join
-from eventmart.llm.pieces import decode, encode
+from eventmart.llm.pieces import encode
 from eventmart.llm.quality import quality
 from eventmart.llm.toxicity import toxicity
 from eventmart.llm.url_filter import url_filter
@@ -32,10 +32,9 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    both = decode(encode(docs, PIECE_MODEL), PIECE_MODEL, text="decoded")
     ids = F.sha2(F.array_join("ids", " ").cast("binary"), 256)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), ids.alias("pieces_sha256"), same.alias("round_trip"))
+    coded = encode(docs, PIECE_MODEL, round_trip="round_trip")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), ids.alias("pieces_sha256"), "round_trip")
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
