@@ -177,8 +177,8 @@ def _count(send) -> object:
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["unit", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(units(text, known, table))
+            for text in batch.column(0):
+                counts.update(units(text.as_py(), known, table))
                 if len(counts) > FLUSH:
                     yield rows()
                     counts.clear()
@@ -346,17 +346,22 @@ def encode(
         known, common = Vocabulary(*plain), Dictionary(*own)
         table, spelt = known.table(), _spelling(known.texts)
         for batch in batches:
-            out, same = [], []
+            # a text has no more pieces than bytes and one; memory that is not needed is never touched
+            most = pc.sum(pc.binary_length(batch)).as_py() or 0
+            values, borders, same = np.empty(most + len(batch), np.int32), [0], []
             for part in _parts(batch):
                 seen, lists = _numbers(), []
                 for x in part:
                     own = units(x, known, table)
                     lists.append(np.fromiter(map(seen.__getitem__, own), np.int64, len(own)))
-                out.append(_lists(seen, lists, common, known))
+                found = _lists(seen, lists, common, known)
+                values[borders[-1] : borders[-1] + len(found.values)] = found.values.to_numpy()
+                borders += (found.offsets.to_numpy()[1:] + borders[-1]).tolist()
                 if round_trip:
-                    same += [a == (b or "") for a, b in zip(_decoded(out[-1], spelt), part, strict=True)]
-            whole = pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+                    same += [a == (b or "") for a, b in zip(_decoded(found, spelt), part, strict=True)]
+            whole = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(values[: borders[-1]]))
             yield pa.StructArray.from_arrays([whole, pa.array(same or [None] * len(batch), pa.bool_())], ["ids", "same"])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(packed(docs).alias("row"), coded(field(text).cast("string")).alias("coded"))
     added = {ids: F.col("coded.ids")} | ({round_trip: F.col("coded.same")} if round_trip else {})
