@@ -4,9 +4,10 @@ A text is the set of its five-word shingles. Texts of the same set form a class
 go on as one node. A node's MinHash signature gives one label per tree; the trees are prefix
 tries of these labels. Two nodes of similarity s share a prefix of d values in some of t trees with
 probability 1 - (1 - s^d)^t. Nodes are brought together where they share the shortest prefix that
-could ever be needed; from the pairs' signatures the recall of every longer prefix is estimated, and
-the prefix is shortened from the longest one until the target recall is met. All pairs that
-share as much are verified with the shingles of their whole texts.
+could ever be needed; from the pairs' signatures the least similar pair that may be a link is
+sought, and the prefix is shortened from the longest one until the target recall is met for such
+pairs. So it does not matter how many links some group has. All pairs that share as much are
+verified with the shingles of their whole texts.
 
 A pair is looked at in the first tree where it meets and nowhere else, so links can be counted
 without listing them. A trie node of many members is cut into blocks, and each pair of
@@ -37,6 +38,8 @@ TARGET = 0.9999
 BLOCK = 256
 #: Pairs whose signatures agree this much less than wanted (seven deviations) are not verified.
 SLACK = 0.3
+#: A similarity estimated from signatures may be so far from the true one (three deviations).
+DOUBT = 0.12
 SEED = 5
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -103,6 +106,11 @@ def shortest_prefix(similarity: float, target: float) -> int:
     return max([d for d in range(1, DEPTH + 1) if found_with(similarity, d) >= target], default=1)
 
 
+def prefix_for(least: float | None, similarity: float, target: float) -> int:
+    """The longest prefix that meets the target for pairs of the least estimate that may be a link."""
+    return DEPTH if least is None else shortest_prefix(max(similarity, least - DOUBT), target)
+
+
 def pairs_of(signatures: np.ndarray, tree: int, blocks: np.ndarray, across: bool, floor: int, similarity: float):
     """The pairs that a group is in charge of: rows, shared prefix, estimated similarity."""
     if across:
@@ -150,11 +158,11 @@ def _batches(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> p
 
 
 def _meet(floor: int, similarity: float) -> Callable:
-    """Per group, the nodes with a pair to look at, and sums for the recall of each prefix."""
+    """Per group, the nodes with a pair to look at, and the least estimate of a pair that may be a link."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*GROUP, "tree", "block", "node", "shared", *(f"found{d}" for d in range(1, DEPTH + 1)), *(f"missed{d}" for d in range(1, DEPTH + 1))]
-        types = [pa.int64()] * 7 + [pa.int64()] * DEPTH + [pa.float64()] * DEPTH
+        names = [*GROUP, "tree", "block", "node", "shared", "estimate"]
+        types = [pa.int64()] * 7 + [pa.float64()]
         out = []
         for own in runs(batches, GROUP):
             if len(own) > 1:
@@ -166,15 +174,13 @@ def _meet(floor: int, similarity: float) -> Callable:
                 longest = np.zeros(len(own), np.int64)
                 np.maximum.at(longest, x, shared)
                 np.maximum.at(longest, y, shared)
-                sums = np.zeros((len(own), 2 * DEPTH))
-                for d in range(1, DEPTH + 1):
-                    links = (shared >= d) & (guess >= similarity)
-                    np.add.at(sums[:, d - 1], x[links], 1)
-                    np.add.at(sums[:, DEPTH + d - 1], x[links], 1 / found_with(guess[links], d) - 1)
+                least = np.full(len(own), np.inf)
+                maybe = guess >= similarity - DOUBT
+                np.minimum.at(least, x[maybe], guess[maybe])
                 for k in np.flatnonzero(longest):
                     row = own.iloc[k]
-                    counts = [int(v) for v in sums[k, :DEPTH]]
-                    out.append((*(int(row[c]) for c in (*GROUP, "tree", "block", "node")), int(longest[k]), *counts, *sums[k, DEPTH:].tolist()))
+                    estimate = float(least[k]) if least[k] < np.inf else None
+                    out.append((*(int(row[c]) for c in (*GROUP, "tree", "block", "node")), int(longest[k]), estimate))
             if len(out) >= 5000:
                 yield _batches(out, names, types)
                 out = []
@@ -320,14 +326,10 @@ def _joined(docs: DataFrame, doc_id: str, text: str, similarity: float, target:
         .select("bucket", "tree", "node", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
         .join(classes.select("node", "signature"), "node")
     )
-    sums = ", ".join(f"{k}{d} {t}" for k, t in (("found", "long"), ("missed", "double")) for d in range(1, DEPTH + 1))
     grouped = members.repartition(*GROUP).sortWithinPartitions(*GROUP)
-    schema = f"bucket long, low long, high long, tree long, block long, node long, shared long, {sums}"
+    schema = "bucket long, low long, high long, tree long, block long, node long, shared long, estimate double"
     meetings = written(grouped.mapInArrow(_meet(floor, similarity), schema), "meetings")
-    totals = meetings.agg(*[F.sum(f"{k}{d}").alias(f"{k}{d}") for k in ("found", "missed") for d in range(1, DEPTH + 1)]).first()
-    depth = DEPTH
-    while depth > floor and (totals[f"found{depth}"] or 0) < target * ((totals[f"found{depth}"] or 0) + (totals[f"missed{depth}"] or 0)):
-        depth -= 1
+    depth = prefix_for(meetings.agg(F.min("estimate")).first()[0], similarity, target)
     looked = meetings.where(F.col("shared") >= depth).select(*GROUP, "tree", "block", "node")
     looked = looked.join(classes.select("node", "size", F.col("least.ident").alias("ident")), "node")
     needed = written(looked, "verified")

@@ -110,3 +110,22 @@ def test_no_more_pairs_come_out_than_members(spark):
     docs = spark.createDataFrame(list(enumerate(near_copies(rng, 200, 150))), "doc_id long, text string")
     result = ngram_join(docs).agg(F.count("*"), F.min("n_links"), F.countDistinct("class_id")).first()
     assert tuple(result) == (150, 149, 1)
+
+
+def test_hot_group_does_not_lose_a_pair_elsewhere(spark):
+    """A pair that meets at a short prefix only is linked, however many links one group has."""
+    rng = random.Random(12)
+    hot = near_copies(rng, 1200, 150)
+    while True:
+        words = [f"v{rng.randrange(9999)}" for _ in range(120)]
+        other = [*words[:108], *(f"y{rng.randrange(9999)}" for _ in range(12))]
+        sets = shingles([" ".join(words), " ".join(other)])
+        a, b = (signature(s).reshape(module.TREES, module.DEPTH) for s in sets)
+        shared = np.logical_and.accumulate(a == b, 1).sum(1).max()
+        if similar(sets, np.array([0]), np.array([1]), 0.8)[0] and shortest_prefix(0.8, 0.9999) <= shared < module.DEPTH:
+            break
+    pair = [" ".join(words), " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate([*hot, *pair])), "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join(docs).collect()}
+    assert got[150] == (150, 1) and got[151] == (150, 1)
+    assert all(got[k] == (0, 149) for k in range(150))
