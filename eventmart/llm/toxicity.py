@@ -4,7 +4,8 @@ A clause is read by a chain of finite-state transducers, each of which passes th
 with a weight: the lexicon marks insults and threats with weights learnt from labelled
 clauses, negation weakens what it governs, a target near by strengthens it, reported speech
 weakens what follows. The chain is composed into one machine whose states are made when first
-needed. A document's score comes from its matched clauses, not from single words.
+needed. A document's score comes from its matched clauses, not from single words: those with a
+learnt word, and those in which a threat is aimed at a target and not negated, learnt or not.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ TARGETS = "you your yours yourself u ur they them their he him his she her du di
 REPORTS = "said says say called calls wrote claims claimed told quoted sagte sagt schrieb dit disait dijo dice llamó".split()
 THREATS = "kill hurt beat destroy murder shoot stab burn töten umbringen tuer frapper matar golpear".split()
 
+VERBS = frozenset(THREATS)
+
 CLAUSE = re.compile(r"[.!?;:\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -94,6 +97,14 @@ def target(reach: int = 4, weight: float = 1.5) -> Transducer:
     return Transducer(arcs)
 
 
+def aim(reach: int = 4, weight: float = 1.5) -> Transducer:
+    """A target up to ``reach`` words after a threat that is not negated is what it is aimed at."""
+    arcs = {(s, "threat"): (reach, None, 1.0) for s in range(reach + 1)}
+    for s in range(1, reach + 1):
+        arcs |= {(s, "*"): (s - 1, None, 1.0), (s, "target"): (0, "aimed threat", weight)}
+    return Transducer(arcs)
+
+
 def reported(weight: float = 0.6) -> Transducer:
     """Weakens insults and threats that follow a verb of speech in the same clause."""
     hits = [*HIT, *(f"{how} {hit}" for how in ("weakened", "aimed") for hit in HIT)]
@@ -101,7 +112,7 @@ def reported(weight: float = 0.6) -> Transducer:
 
 
 def grammar() -> Composed:
-    return Composed(negation(), target(), reported())
+    return Composed(negation(), target(), aim(), reported())
 
 
 CLASSES = (
@@ -121,7 +132,17 @@ def clause_score(tokens: list[str], weights: dict[str, float], machine: Composed
     return total
 
 
-#: Threats count little by themselves: only labelled clauses can show that a word is used as one.
+def clause_threat(tokens: list[str], machine: Composed) -> float:
+    """Sum of the weights of the threats of one clause that are aimed at a target and not negated."""
+    state, total = machine.start, 0.0
+    for word in tokens:
+        state, passed, weight = machine.step(state, CLASSES.get(word, "other"))
+        if passed.endswith("aimed threat"):
+            total += weight
+    return total
+
+
+#: Threats count little beside insults; what those without one count is learnt, as a feature of their own.
 THREAT_WEIGHT = 0.5
 
 
@@ -133,7 +154,7 @@ def _weight(word: str, weights: dict[str, float]) -> float:
 
 
 def matches(text: str | None, weights: dict[str, float], machine: Composed) -> list[float]:
-    """Scores of all clauses of a whole text in which an insult matches."""
+    """Scores of all clauses of a whole text in which a learnt word matches."""
     lower = (text or "").lower()
     distinct = set(WORD.findall(lower))
     if not any(_weight(w, weights) for w in distinct):
@@ -146,11 +167,20 @@ def matches(text: str | None, weights: dict[str, float], machine: Composed) -> l
     return found
 
 
+def threats(text: str | None, machine: Composed) -> list[float]:
+    """Scores of all clauses of a whole text in which an aimed threat matches, learnt words or not."""
+    lower = (text or "").lower()
+    if not any(verb in lower for verb in THREATS):
+        return []
+    found = [WORD.findall(clause) for clause in CLAUSE.split(lower)]
+    scores = [clause_threat(tokens, machine) for tokens in found if not VERBS.isdisjoint(tokens)]
+    return [x for x in scores if x]
+
+
 def features(text: str | None, weights: dict[str, float], machine: Composed) -> list[float]:
-    found = matches(text, weights, machine)
-    if not found:
-        return [0.0, 0.0, 0.0, 0.0]
-    return [1.0, max(found), math.log1p(sum(found)), len(found) / (1 + len(CLAUSE.findall(text)))]
+    found, aimed = matches(text, weights, machine), threats(text, machine)
+    own = [1.0, max(found), math.log1p(sum(found)), len(found) / (1 + len(CLAUSE.findall(text)))] if found else [0.0] * 4
+    return [*own, math.log1p(sum(aimed))]
 
 
 def lexicon(sample: DataFrame) -> dict[str, float]:

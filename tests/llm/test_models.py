@@ -138,6 +138,30 @@ def test_grammar_weighs_clauses():
     assert tox.matches("Calm. You idiot! Not an idiot; fine", weights, tox.grammar()) == [score("you idiot"), score("not an idiot")]
 
 
+def test_aimed_threats_match_without_learnt_words():
+    def score(text):
+        return sum(tox.threats(text, tox.grammar()))
+
+    plain = score("I will kill you")
+    assert plain == score("Je vais te tuer") > 0
+    assert 0 < score("she said I will kill you") < plain < score("I will kill you. You! I beat them")
+    assert score("the frost will kill crops") == score("I will never kill you") == score("you are skilled") == score(None) == 0
+    assert score("kill one two three four you") == 0  # out of reach
+    assert tox.features("I will kill you", {}, tox.grammar()) != tox.features("frost will kill crops", {}, tox.grammar())
+
+
+def test_threats_of_held_out_documents_without_learnt_words(spark):
+    """Verbs that are as usual in clean texts are no learnt words; only their target tells."""
+    kinds = [("tonight I will {} you", 1), ("tonight frost will {} crops", 0), ("I will see you tonight", 0), ("I will never {} you tonight", 0)]
+    verbs = tox.THREATS[:8]
+    rows = [(k, kinds[k % 4][0].format(verbs[k // 4 % 8]), kinds[k % 4][1]) for k in range(480)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    held = [(rows[r["doc_id"]][2], r["score"], r["predicted"]) for r in tox.toxicity(docs, labels).collect() if r["held_out"]]
+    assert len(held) > 100 and auc([h[:2] for h in held]) > 0.99
+    assert all(y == predicted for y, _, predicted in held)
+
+
 def test_word_vectors_add_up_over_tasks(spark):
     docs = spark.createDataFrame([(k, f"a b c{k % 3} d e {k}") for k in range(60)], "doc_id long, text string")
     one, many = qual.word_vectors(docs.coalesce(1), "text"), qual.word_vectors(docs.repartition(6), "text")
