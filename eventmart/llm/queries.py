@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventmart.llm.exact_dedup import exact_dedup
 from eventmart.llm.language_id import language_id
 from eventmart.llm.line_dedup import line_dedup
+from eventmart.llm.metric_tree import top_k
 from eventmart.llm.mixing import mix_plan
 from eventmart.llm.neighbours import nearest
 from eventmart.llm.ngram_join import ngram_join
@@ -78,6 +79,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pieces": op2_pieces,
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
+    "op11_top_k": op11_top_k,
 }
 
 ORACLE = {
@@ -150,4 +156,19 @@ ORACLE = {
                CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM drawn
     """,
+    "op11_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }

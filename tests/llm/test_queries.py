@@ -23,7 +23,7 @@ def _plain(value):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
     assert "pipeline" not in contract.oracle_sql()
 
@@ -32,7 +32,7 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "labels"):
+    for table in ("documents", "pages", "embeddings", "labels", "conversations"):
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMOKE}/{table}.parquet'")
     got, want = QUERIES[name](spark, SMOKE), db.sql(ORACLE[name])
     at = [want.columns.index(c) for c in got.columns]
@@ -50,6 +50,7 @@ def test_columns_of_the_contract(spark):
         "op6_url_filter": "page_id bigint, host string, path string, rule string, verdict string",
         "op8_neighbours": "query_id bigint, rank int, vec_id bigint, score double",
         "op9_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+        "op11_top_k": "query_id bigint, rank int, vec_id bigint, score bigint",
         "op10_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
     }
     for name, columns in wanted.items():
