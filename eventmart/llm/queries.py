@@ -13,6 +13,7 @@ from eventmart.llm.mixing import mix_plan
 from eventmart.llm.neighbours import nearest
 from eventmart.llm.ngram_join import ngram_join
 from eventmart.llm.pieces import encode
+from eventmart.llm.prefix_trie import prefix_trie
 from eventmart.llm.quality import quality
 from eventmart.llm.toxicity import toxicity
 from eventmart.llm.url_filter import url_filter
@@ -83,6 +84,10 @@ def op11_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(_table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pieces": op2_pieces,
@@ -95,6 +100,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
     "op11_top_k": op11_top_k,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLE = {
@@ -171,4 +177,48 @@ ORACLE = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_prefix_trie": r"""
+        WITH numbered AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 20 AS base,
+                   xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+                           string_split(CAST(conv_id AS VARCHAR), ''),
+                           lambda x: list_transform(range(8), lambda i: (ascii(x) >> i) & 1)))),
+                       lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 4 AS h
+            FROM (SELECT DISTINCT conv_id FROM numbered)
+        ), turns AS (
+            SELECT c.conv_id, 0 AS part, n.place, concat(len(n.role), ':', n.role, n.text) AS turn,
+                   len(regexp_extract_all(n.text, '[^\x20\x09-\x0D]+')) AS words
+            FROM convs c JOIN numbered n ON n.conv_id = c.base AND n.place < c.h
+            UNION ALL
+            SELECT c.conv_id, 1, n.place, concat(len(n.role), ':', n.role, n.text), len(regexp_extract_all(n.text, '[^\x20\x09-\x0D]+'))
+            FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.place >= c.h
+        ), whole AS (
+            SELECT conv_id, coalesce(list(turn ORDER BY part, place) FILTER (WHERE turn IS NOT NULL), []) AS seq,
+                   coalesce(list(words ORDER BY part, place) FILTER (WHERE turn IS NOT NULL), []) AS words
+            FROM convs LEFT JOIN turns USING (conv_id) GROUP BY conv_id
+        ), prefixes AS (
+            SELECT conv_id, unnest(range(len(seq) + 1)) AS d, seq, words FROM whole
+        ), nodes AS (
+            SELECT seq[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n,
+                   CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * any_value(words[d]) END AS own,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = len(seq)), '')) AS ends
+            FROM prefixes GROUP BY seq[1:d], d
+        ), children AS (
+            SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY p[1:d - 1]
+        ), marked AS (
+            SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON nodes.p = children.p
+        ), above AS (
+            SELECT p, unnest(range(d + 1)) AS k, own, n_children FROM marked
+        ), sums AS (
+            SELECT p[1:k] AS p, CAST(sum(own) AS BIGINT) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+            FROM above GROUP BY p[1:k]
+        )
+        SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, m.n AS n_convs, m.n_children,
+               s.leaves AS n_leaves, s.saved AS saved_tokens, m.ends AS ends_sha256
+        FROM marked m JOIN sums s ON m.p = s.p LEFT JOIN nodes up ON m.d > 0 AND up.p = m.p[1:m.d - 1]
+    """,
 }

@@ -1,0 +1,90 @@
+"""Prefix trie against a plain trie of lists."""
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from eventmart.llm import prefix_trie as module
+from eventmart.llm.prefix_trie import prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string, prefix long, parent long, weight long"
+
+
+def expected(rows, rebuild=True):
+    convs = defaultdict(list)
+    for conv, turn, role, text in (r[:4] for r in rows):
+        if conv is not None:
+            role, text = role or "", text or ""
+            said = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+            convs[conv].append((turn is not None, turn or 0, said, role, text))
+    own = {c: [(r, t) for *_, r, t in sorted(turns)] for c, turns in convs.items()}
+    whole = {}
+    for c, turns in own.items():
+        base = c - (abs(c) % 20 if c >= 0 else -(abs(c) % 20))
+        h = zlib.crc32(str(c).encode()) % 4
+        whole[c] = own.get(base, [])[:h] + turns[h:] if rebuild else turns
+    nodes = defaultdict(list)
+    for c, turns in whole.items():
+        for d in range(len(turns) + 1):
+            nodes[tuple(turns[:d])].append(c)
+    out = []
+    for node, members in nodes.items():
+        below = [n for n in nodes if n[: len(node)] == node]
+        parents = {n[:-1] for n in nodes if n}
+        words = [len(re.findall(r"[^\x20\x09-\x0D]+", n[-1][1])) if n else 0 for n in below]
+        saved = sum((len(nodes[n]) - 1) * w for n, w in zip(below, words, strict=True))
+        ends = ",".join(str(c) for c in sorted(members) if len(whole[c]) == len(node))
+        out.append((
+            min(members), len(node), min(nodes[node[:-1]]) if node else None, len(members),
+            sum(len(n) == len(node) + 1 for n in below), sum(n not in parents for n in below), saved,
+            hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(out, key=repr)
+
+
+def rows_of(spark, rows, **how):
+    wide = [(*r, 1, None, 2) for r in rows]
+    return sorted((tuple(r) for r in prefix_trie(spark.createDataFrame(wide, SCHEMA), **how).collect()), key=repr)
+
+
+SAID = ["hello there", "what is it", "  two\twords ", "", None, "a b c d"]
+
+
+def mixed(n, depth=4):
+    """Conversations that share beginnings, some of them whole."""
+    return [(c, t, "user" if t % 2 else None, SAID[(c // 3 + t * (c % 4)) % 6]) for c in range(-25, n) for t in range((c * 7) % depth)]
+
+
+@pytest.mark.parametrize("rebuild", [True, False])
+def test_equals_a_plain_trie(spark, rebuild):
+    rows = mixed(150)
+    assert rows_of(spark, rows, rebuild=rebuild) == expected(rows, rebuild)
+
+
+def test_hot_parents_and_long_end_lists(spark, monkeypatch):
+    monkeypatch.setattr(module, "ENDS_ROWS", 3)
+    monkeypatch.setattr(module, "HOT_SHARE", 5)
+    rows = [(c, 0, "user", "the same words") for c in range(400)]  # one sequence of many conversations
+    rows += [(c, 0, "user", f"{c} differs") for c in range(1000, 1060)] + mixed(60)
+    assert rows_of(spark, rows) == expected(rows)
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (1, None, "a", "x"), (1, 2, None, None), (1, 2, "b", "tie"), (1, 2, "b", "tie"), (None, 1, "a", "lost"), (7, None, None, None),
+        (20, 1, "a:b", "c"), (20, 2, "a", "b:c"), (23, 0, "", "only turn"), (25, 0, "u", "word " * 50_000), (25, 1, "u", ""),
+        (26, 0, "u", "word " * 50_000), (-3, 1, "a", "x"), (9, -5, "a", " \n"),
+    ]
+    assert rows_of(spark, rows) == expected(rows)
+    assert rows_of(spark, []) == []
+    assert rows_of(spark, [(None, 1, "a", "b")]) == []
+
+
+def test_a_long_conversation(spark):
+    rows = [(c, t, "u", f"turn {t // (1 + c // 40)}") for c in (40, 80) for t in range(3000)]
+    got = rows_of(spark, rows, rebuild=False)
+    assert len(got) == 5999 and max(r[1] for r in got) == 3000
+    assert next(r for r in got if r[1] == 0)[3:6] == (2, 1, 2)

@@ -51,6 +51,8 @@ def test_columns_of_the_contract(spark):
         "op8_neighbours": "query_id bigint, rank int, vec_id bigint, score double",
         "op9_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
         "op11_top_k": "query_id bigint, rank int, vec_id bigint, score bigint",
+        "op12_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, "
+        "n_leaves bigint, saved_tokens bigint, ends_sha256 string",
         "op10_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
     }
     for name, columns in wanted.items():
