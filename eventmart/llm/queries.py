@@ -12,6 +12,7 @@ from eventmart.llm.metric_tree import top_k
 from eventmart.llm.mixing import mix_plan
 from eventmart.llm.neighbours import nearest
 from eventmart.llm.ngram_join import ngram_join
+from eventmart.llm.periodic_runs import periodic_runs
 from eventmart.llm.pieces import encode
 from eventmart.llm.prefix_trie import prefix_trie
 from eventmart.llm.quality import quality
@@ -88,6 +89,13 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(_table(spark, folder, "conversations"))
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs(docs, plant=True)
+    digest = F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", digest)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pieces": op2_pieces,
@@ -101,6 +109,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_top_k": op11_top_k,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE = {

@@ -53,6 +53,8 @@ def test_columns_of_the_contract(spark):
         "op11_top_k": "query_id bigint, rank int, vec_id bigint, score bigint",
         "op12_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, "
         "n_leaves bigint, saved_tokens bigint, ends_sha256 string",
+        "op13_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, "
+        "runs_sha256 string, collapsed_sha256 string",
         "op10_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
     }
     for name, columns in wanted.items():
