@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,12 +62,17 @@ LAYERS = {
 
 @dataclass(frozen=True)
 class Tables:
-    """Inputs of the checks; the two marts may be absent for a full staging gate."""
+    """Inputs of the checks; the two marts may be absent for a full staging gate.
+
+    ``fct_hashes`` (key_hash and event_date of every fact), if known, spare reading the
+    keys of all facts.
+    """
 
     stg_raw_events: DataFrame
     stg_raw_users: DataFrame
     dim_users: DataFrame | None = None
     fct_events: DataFrame | None = None
+    fct_hashes: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -136,13 +141,42 @@ def _not_null(model: str, column: str) -> Check:
     return _row_check(name, model, column, "not_null", f"{column} IS NULL")
 
 
+def _key_hash(column: str) -> Column:
+    """The hash that a mart keeps of a key (see ``Mart.key_hashes``)."""
+    return F.when(F.col(column).isNotNull(), F.xxhash64(column))
+
+
+def _nothing(tables: Tables) -> DataFrame:
+    return small_frame(tables.stg_raw_events.sparkSession, [(0,)], "value long")
+
+
+@cache
+def _repeated_keys(model: str) -> Callable[[Tables], DataFrame]:
+    """One row with the repeated values of every unique column: the table is read and shuffled once."""
+    columns = [column for column, kind in COLUMN_CHECKS[model] if kind == "unique"]
+
+    def repeated(tables: Tables) -> DataFrame:
+        keys = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns]))
+        per_key = getattr(tables, model).select(keys.alias("key")).groupBy("key.name", "key.value").count()
+        return per_key.agg(*[F.count_if((F.col("name") == c) & (F.col("count") > 1)).alias(c) for c in columns])
+
+    return repeated
+
+
 def _unique(model: str, column: str) -> Check:
     def repeated_groups(tables: Tables) -> DataFrame:
-        per_key = getattr(tables, model).groupBy(column).count()
-        return per_key.selectExpr("count_if(count > 1) AS value")
+        rows = getattr(tables, model)
+        if model == "fct_events" and tables.fct_hashes is not None:
+            # A key that occurs twice has a hash that does; keys are read only if there is one.
+            twice = tables.fct_hashes.groupBy("key_hash").count().where("count > 1").select("key_hash")
+            if twice.isEmpty():
+                return _nothing(tables)
+            rows = rows.join(twice, _key_hash(column).eqNullSafe(F.col("key_hash")), "left_semi")
+        return rows.groupBy(column).count().selectExpr("count_if(count > 1) AS value")
 
     name = f"unique_{model}_{column}"
-    return Check(name, model, column, "unique", own=repeated_groups, needs=((model, column),))
+    together = (_repeated_keys(model), column)
+    return Check(name, model, column, "unique", own=repeated_groups, joint=together, needs=((model, column),))
 
 
 def _accepted_types(model: str) -> Check:
@@ -215,6 +249,11 @@ def _key_date_stable(window: DateWindow) -> Check:
         # and the fact history is then joined without a shuffle when it is broadcast.
         staged = models.in_window(tables.stg_raw_events, window)
         per_key = staged.groupBy("event_id").agg(_rows("n"))
+        if tables.fct_hashes is not None:
+            # Facts outside are read only if the hash of one of their keys is staged.
+            hashes = per_key.select(_key_hash("event_id").alias("key_hash"))
+            if tables.fct_hashes.where(~window.covers("event_date")).join(hashes, "key_hash", "left_semi").isEmpty():
+                return _nothing(tables)
         outside = tables.fct_events.where(~window.covers("event_date")).select("event_id")
         return outside.join(per_key, "event_id").selectExpr("sum(n) AS value")
 

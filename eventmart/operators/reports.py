@@ -9,48 +9,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventmart.functions import totals
 from eventmart.operators.windows import DateWindow
 from eventmart.schemas import RUN_LOG
 
 
-# Amounts are added up as decimals: a total depends neither on the order of its rows nor on
-# how they were grouped before. An amount of 1e32 or more does not fit and is an error.
-EXACT = "decimal(38, 6)"
+# Amounts are added up exactly (see ``functions.totals``): a total depends neither on the order
+# of its rows nor on how they were grouped before.
 
 
-def exact_total(column: str) -> Column:
-    return F.sum(F.col(column).cast(EXACT))
-
-
-def _events_and_amount() -> list[Column]:
-    return [F.count(F.lit(1)).alias("events"), F.round(exact_total("amount"), 2).cast("double").alias("amount")]
-
-
-def summary_by_type(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("event_type").agg(*_events_and_amount()).orderBy("event_type")
+def summary_by_type(facts: DataFrame, scale: int = 2) -> DataFrame:
+    """Events and total amount, rounded half up to ``scale`` decimal places, per type."""
+    return totals.totals(facts, "amount", ["event_type"], scale).orderBy("event_type")
 
 
 def daily_by_type(facts: DataFrame, window: DateWindow | None = None) -> DataFrame:
     rows = facts.where(window.covers("event_date")) if window else facts
-    by = ("event_date", "event_type")
-    return rows.groupBy(*by).agg(*_events_and_amount()).orderBy(*by)
+    by = ["event_date", "event_type"]
+    return totals.totals(rows, "amount", by).orderBy(*by)
 
 
 def daily_by_country(facts: DataFrame, users: DataFrame) -> DataFrame:
     """Events per date and country of the user's dimension row (inner join).
 
-    Facts are first reduced to one row per date and user, so the join shuffles
+    Facts are first reduced to a few rows per date and user, so the join shuffles
     neither every event nor a single busy user's events to one task.
     """
     countries = users.select("user_id", "country")
-    by = ("event_date", "country")
-    per_user = facts.groupBy("event_date", "user_id").agg(
-        F.count(F.lit(1)).alias("n"), exact_total("amount").alias("total")
-    )
-    rows = per_user.join(countries, "user_id").groupBy(*by).agg(
-        F.sum("n").alias("events"), F.round(F.sum("total"), 2).cast("double").alias("amount")
-    )
-    return rows.orderBy(*by)
+    by = ["event_date", "country"]
+    per_user = totals.added(totals.digits(facts, "amount", ["event_date", "user_id"]), ["event_date", "user_id"])
+    return totals.put_together(totals.added(per_user.join(countries, "user_id"), by), by).orderBy(*by)
 
 
 # -- audit history ---------------------------------------------------------------
@@ -166,6 +154,40 @@ def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return signed.groupBy(*names).agg(F.sum("_n").alias("copies")).where("copies <> 0")
 
 
+# Fingerprints are kept of so many parts of a table.
+PARTS = 1024
+
+
+def differing_parts(left: DataFrame, right: DataFrame, parts: int = PARTS) -> tuple[Column, list[int]]:
+    """The part of a row as an expression, and the parts whose order-free fingerprints differ.
+
+    A fingerprint is the number of rows and the sums of two 64-bit hashes of them. Each task
+    adds up its own rows, so only ``parts`` rows per task are exchanged. Nulls count by their place.
+    """
+    columns = [F.col(f"`{c}`") for c in left.columns]
+    marked = [*columns, *[c.isNull() for c in columns]]
+    part = F.pmod(F.xxhash64(*marked), F.lit(parts))
+    values = [F.xxhash64(F.lit(seed), *marked).cast("decimal(20, 0)") for seed in (1, 2)]
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        return rows.select(part.alias("part"), F.lit(sign).alias("n"), *[(v * sign).alias(f"h{i}") for i, v in enumerate(values)])
+
+    both = signed(left, 1).unionAll(signed(right.select(*left.columns), -1))
+    sums = both.groupBy("part").agg(F.sum("n").alias("n"), F.sum("h0").alias("h0"), F.sum("h1").alias("h1"))
+    found = sums.where("n <> 0 OR h0 <> 0 OR h1 <> 0").select("part").collect()  # at most ``parts`` rows
+    return part, sorted(r["part"] for r in found)
+
+
+def changed_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``table_diff`` of only those parts of the tables whose fingerprints differ.
+
+    Equal tables exchange no rows. Differing tables are read twice.
+    """
+    part, found = differing_parts(left, right)
+    names = left.columns
+    return table_diff(left.where(part.isin(found)), right.select(*names).where(part.isin(found)))
+
+
 # -- run logs --------------------------------------------------------------------
 
 

@@ -67,6 +67,17 @@ def mills_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(table(spark, sf_dir, "events"), amount=amount)
 
 
+def extreme_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sign-ups of tiny amounts, clicks of huge ones of either sign, and purchases beside huge amounts that cancel out."""
+    rows = table(spark, sf_dir, "events")
+    even = F.col("event_id") % 2 == 0
+    kind = F.col("event_type")
+    amount = F.when(kind == "signup", 4e-7).when(kind == "click", F.when(even, 1e300).otherwise(-1e300)).otherwise(F.col("value"))
+    every = F.array(F.struct(amount.alias("amount")), *[F.struct(F.lit(v).alias("amount")) for v in (1e300, -1e300)])
+    copies = F.explode(F.when(kind == "purchase", every).otherwise(F.slice(every, 1, 1)))
+    return _events(rows.select("*", copies.alias("copy")), amount=F.col("copy.amount"))
+
+
 def doubled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean events, but clicks with twice the amount."""
     amount = F.when(F.col("event_type") == "click", F.col("value") * 2).otherwise(F.col("value"))

@@ -329,6 +329,15 @@ ORACLE = {
           ('users', 'name', 'string', 'string', 'ok'),
           ('users', 'user_id', 'string', 'string', 'ok')
         ) AS v(source, field, declared, inferred, status)""",
+    "schema_drift_by_file": _with(EV)
+    + f"""SELECT 'events' AS source, field, declared, found, status,
+               (SELECT count(DISTINCT CAST("at" AS DATE)) FROM ev WHERE CAST("at" AS DATE) {WINDOW}) AS files
+        FROM (VALUES ('amount', 'number', 'text', 'drift'), ('page', 'text', NULL, 'missing'),
+                     ('channel', NULL, 'text', 'extra')) AS v(field, declared, found, status)
+        UNION ALL SELECT 'users', 'created_at', 'text', 'number', 'drift', 1""",
+    "refused_writes": f"""
+        SELECT change, true AS refused, {_N} AS rows, (SELECT count(DISTINCT event_id) FROM events) AS keys
+        FROM (VALUES ('type changed'), ('column gone'), ('column added')) AS v(change)""",
     "batch_append": _with(EV) + "SELECT event_id, user_id, event_type, page, amount FROM ev",
     "dim_users": _with(US) + f"SELECT {_DIM} FROM us",
     "fct_events": _with(EV, US, FACT) + "SELECT * FROM fact",
@@ -382,6 +391,19 @@ ORACLE = {
         UNION ALL SELECT 'fct_events', {_N}, {_N}, true""",
     "partial_failure_drill": _BY_COUNTRY,
     "summary_by_type": _with(EV) + f"SELECT event_type, {_TOTALS} FROM ev GROUP BY 1",
+    "summary_by_type_extremes": """
+        WITH ev AS (
+            SELECT CASE event_type WHEN 'view' THEN 'page_view' WHEN 'error' THEN 'logout' ELSE event_type END AS event_type,
+                   event_id, value FROM events
+        ), sums AS (
+            SELECT event_type, count(*) AS n, count(*) FILTER (WHERE event_id % 2 = 0) AS evens,
+                   sum(CAST(value AS DECIMAL(38, 9))) AS total FROM ev GROUP BY 1
+        )
+        SELECT event_type, CAST(CASE event_type WHEN 'purchase' THEN 3 * n ELSE n END AS BIGINT) AS events,
+               CASE event_type WHEN 'signup' THEN CAST(n * CAST('0.0000004' AS DECIMAL(10, 9)) AS DOUBLE)
+                               WHEN 'click' THEN CAST((2 * evens - n) || 'e300' AS DOUBLE)
+                               ELSE CAST(total AS DOUBLE) END AS amount
+        FROM sums""",
     "daily_by_type": _with(EV)
     + f'SELECT CAST("at" AS DATE) AS event_date, event_type, {_TOTALS} FROM ev '
     + f'WHERE CAST("at" AS DATE) {WINDOW} GROUP BY 1, 2',

@@ -16,7 +16,7 @@ from eventmart.plans import acceptance, publication
 from eventmart.plans import driver_tables as d
 from eventmart.plans.lake import Lake
 from eventmart.plans.refresh import GateFailed, refresh, refresh_from_files
-from eventmart.schemas import RAW_EVENTS
+from eventmart.schemas import RAW_EVENTS, SchemaDrift
 from eventmart.session import small_frame, workspace
 from eventmart.sources import manifest, raw
 from eventmart.storage import files
@@ -146,6 +146,44 @@ def schema_drift(spark, sf):
     return raw.schema_contract(spark, {k: f"{root}/{k}" for k in ("events", "users")})
 
 
+def schema_drift_by_file(spark, sf):
+    """One file per day; those of a window have amounts as text, no page and a field that nobody declared."""
+    root = workspace(spark, "drift-by-file")
+    events = d.clean_events(spark, sf).withColumn("day", F.left("timestamp", F.lit(10)))
+    inside = WINDOW.covers_text("day")
+    amount = F.concat(F.col("amount").cast("string"), F.lit(" EUR"))
+    changed = events.where(inside).withColumns({"amount": amount, "channel": F.col("event_type")}).drop("page")
+    for name, rows in (("plain", events.where(~inside)), ("changed", changed)):
+        rows.repartition("day").write.partitionBy("day").json(f"{root}/events/{name}")
+    d.clean_users(spark, sf).coalesce(1).withColumn("created_at", F.lit(20240101)).write.json(f"{root}/users")
+    found = raw.drift_by_file(spark, {k: f"{root}/{k}" for k in ("events", "users")})
+    return found.groupBy("source", "field", "declared", "found", "status").agg(F.count_distinct("file_path").alias("files"))
+
+
+def refused_writes(spark, sf):
+    """Facts of another type, without a column and with one more: no write happens, the mart stays."""
+    lake = _lake(spark, "refused")
+    facts = _facts(spark, sf)
+    merge.upsert(lake.fct_events, facts)
+    amount = F.col("amount").cast("decimal(18, 2)")
+    wrong = {
+        "type changed": facts.withColumn("amount", amount),
+        "column gone": facts.drop("page"),
+        "column added": facts.withColumn("channel", F.col("event_type")),
+    }
+    found = None
+    for change, rows in wrong.items():
+        try:
+            merge.upsert(lake.fct_events, rows)
+            refused = False
+        except SchemaDrift:
+            refused = True
+        kept = lake.fct_events.read().agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("keys"))
+        kept = kept.select(F.lit(change).alias("change"), F.lit(refused).alias("refused"), "rows", "keys")
+        found = kept if found is None else found.unionByName(kept)
+    return found
+
+
 def batch_append(spark, sf):
     """Events before, in and after a window as three batches, appended without touching users."""
     root = workspace(spark, "batches")
@@ -293,6 +331,11 @@ def summary_by_type(spark, sf):
     return reports.summary_by_type(models.typed_events(_staged(spark, sf)[0]))
 
 
+def summary_by_type_extremes(spark, sf):
+    """Exact totals of amounts from 4e-7 to 1e300, to nine decimal places."""
+    return reports.summary_by_type(models.typed_events(_staged(spark, sf, "extreme")[0]), 9)
+
+
 def daily_by_type(spark, sf):
     staged = models.in_window(_staged(spark, sf)[0], WINDOW)
     return reports.daily_by_type(models.typed_events(staged))
@@ -532,6 +575,8 @@ QUERIES = {
         manifest_findings,
         schema_contract,
         schema_drift,
+        schema_drift_by_file,
+        refused_writes,
         batch_append,
         dim_users,
         fct_events,
@@ -548,6 +593,7 @@ QUERIES = {
         gated_refresh,
         partial_failure_drill,
         summary_by_type,
+        summary_by_type_extremes,
         daily_by_type,
         daily_by_country,
         daily_by_country_mills,

@@ -28,7 +28,9 @@ def tables_of(lake: Lake, events: DataFrame, users: DataFrame, snapshots=None) -
     """Inputs of a gate; a mart that does not exist yet is absent, not empty."""
     ids = snapshots or lake.snapshot_ids()
     marts = {n: m.read(ids[n]) if ids[n] is not None else None for n, m in lake.marts.items()}
-    return checks.Tables(events, users, **marts)
+    facts = ids["fct_events"]
+    hashes = lake.fct_events.all_key_hashes(facts) if facts is not None else None
+    return checks.Tables(events, users, **marts, fct_hashes=hashes)
 
 
 def gate(lake: Lake, layer: str, tables: checks.Tables, run_id: str, window=None) -> dict[str, int]:

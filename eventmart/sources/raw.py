@@ -124,6 +124,59 @@ def schema_contract(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return small_frame(spark, rows, schema)
 
 
+# What a JSON value is, by the start of its variant schema; numbers come as several types.
+_KINDS = {"STRING": "text", "BOOLEAN": "boolean", "ARRAY": "list", "OBJECT": "record", "VOID": "null"}
+_WANTED = {"string": "text", "double": "number"}
+
+
+def field_types(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, field, kind, lines) of every field that a file's lines hold, null fields included.
+
+    Every line is read as a variant, so no schema is assumed and files may differ. A kind is
+    text, number, boolean, list, record, null or, if a file's lines differ, mixed. Text that is no JSON object
+    counts under the field null.
+    """
+    rows = spark.read.option("recursiveFileLookup", "true").text(path).select("_metadata.file_path", F.try_parse_json("value").alias("v"))
+    record = F.startswith(F.schema_of_variant("v"), F.lit("OBJECT"))
+    whole = rows.where(record).select("file_path", "v").lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()))
+    broken = rows.where(~F.coalesce(record, F.lit(False))).select("file_path", F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value"))
+    seen = whole.select("file_path", "key", "value").unionAll(broken)
+    start = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair]), start), F.lit("number"))
+    kinds = seen.select("file_path", F.col("key").alias("field"), F.when(F.col("key").isNotNull(), F.coalesce(F.when(F.col("value").isNull(), F.lit("null")), kind)).alias("kind"))
+    # one row per file, field and kind, then per file and field
+    counted = kinds.groupBy("file_path", "field", "kind").agg(F.count(F.lit(1)).alias("lines"))
+    typed = F.when(F.col("kind") != "null", F.col("kind"))
+    merged = F.when(F.count_distinct(typed) > 1, "mixed").otherwise(F.coalesce(F.max(typed), F.max("kind")))
+    return counted.groupBy("file_path", "field").agg(merged.alias("kind"), F.sum("lines").alias("lines"))
+
+
+def drift_by_file(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """What differs from the declared fields, by file: source, file_path, field, declared, found, status.
+
+    A file without lines has no field and nothing to differ. A null value fits every field; status is
+    drift (another kind), missing, extra, or broken (lines that are no JSON object).
+    """
+    declared = {"events": RAW_EVENTS, "users": RAW_USERS}
+    found = None
+    for source, path in paths.items():
+        wanted = [(f.name, _WANTED[f.dataType.simpleString()]) for f in declared[source]]
+        types = field_types(spark, path)
+        listed = small_frame(spark, wanted, "field string, declared string")  # the declared fields
+        files_seen = types.select("file_path").distinct().join(F.broadcast(listed))
+        joined = files_seen.join(types, ["file_path", "field"], "full")
+        status = (
+            F.when(F.col("field").isNull(), "broken")
+            .when(F.col("declared").isNull(), "extra")
+            .when(F.col("kind").isNull(), "missing")
+            .when(~F.col("kind").isin("null") & (F.col("kind") != F.col("declared")), "drift")
+        )
+        part = joined.select(F.lit(source).alias("source"), "file_path", "field", "declared", F.col("kind").alias("found"), status.alias("status"))
+        part = part.where("status IS NOT NULL")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def _type(dtype: T.DataType | None) -> str | None:
     return None if dtype is None else dtype.simpleString()
 

@@ -3,12 +3,18 @@
 Layout below a mart's root::
 
     data/batch=<id>/[event_date=D/]part-*.parquet   written once, never changed
+    keys/batch=<id>/[event_date=D/]part-*.parquet   64-bit hash of each row's key
     snapshots/<n>.json                              the directories a snapshot reads
     refs/main                                       number of the current snapshot
 
 A manifest lists directories with their row counts, so its size follows the
-number of (batch, date) directories, not the number of files or rows. One writer
-at a time is the caller's duty; a lost race fails when the manifest is created.
+number of (batch, date) directories, not the number of files or rows. Only what compaction
+leaves of a directory is listed by file. One writer at a time is the caller's duty; a lost
+race fails when the manifest is created.
+
+The key hashes are the filter of a directory: eight bytes a row tell whether it can hold one
+of many keys, in one join for all directories (a Bloom filter would have to be asked for
+every key and directory). A hash may hit by chance, so a hit is looked up in the rows.
 """
 
 from __future__ import annotations
@@ -16,7 +22,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +34,7 @@ from eventmart.schemas import MartSpec, require
 from eventmart.storage import files
 
 BATCH = "batch"
+KEY_HASH = "key_hash"
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a null partition value
 
 
@@ -36,6 +43,8 @@ class Directory:
     batch: str
     rows: int
     day: str | None = None  # partition value as text; None for an unpartitioned mart
+    hashed: bool = False  # whether its key hashes are written
+    files: tuple[str, ...] = ()  # the files that count, if not all do
 
     @property
     def path(self) -> str:
@@ -79,7 +88,7 @@ class Snapshot:
             doc["id"],
             doc["parent"],
             datetime.fromisoformat(doc["committed_at"]),
-            tuple(Directory(**d) for d in doc["directories"]),
+            tuple(Directory(**{**d, "files": tuple(d.get("files", ()))}) for d in doc["directories"]),
         )
 
 
@@ -89,6 +98,7 @@ class Mart:
     def __init__(self, spark: SparkSession, root: str, spec: MartSpec):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.data = f"{self.root}/data"
+        self.keys = f"{self.root}/keys"
 
     # -- snapshots ---------------------------------------------------------
 
@@ -156,16 +166,54 @@ class Mart:
 
     # -- data --------------------------------------------------------------
 
-    def scan(self, directories, keep_batch: bool = False) -> DataFrame:
+    def scan(self, directories, keep_batch: bool = False, keep_file: bool = False) -> DataFrame:
         """One scan over the given directories, with the mart's columns and types."""
         schema = self.spec.schema
-        wanted = schema.names + ([BATCH] if keep_batch else [])
+        wanted = schema.names + ([BATCH] if keep_batch else []) + (["_metadata.file_path"] if keep_file else [])
         stored = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
         if not directories:
             return self.spark.createDataFrame([], stored).select(*wanted)
-        paths = [f"{self.data}/{d.path}" for d in directories]
         reader = self.spark.read.schema(stored).option("basePath", self.data)
-        return reader.parquet(*paths).select(*wanted)
+        return reader.parquet(*self._paths(directories)).select(*wanted)
+
+    def _paths(self, directories) -> list[str]:
+        return [f"{self.data}/{d.path}{name and '/'}{name}" for d in directories for name in d.files or ("",)]
+
+    def listed(self, directories) -> DataFrame:
+        """One row per data file: batch, day, file_name, file_path, length. No file is opened."""
+        rows = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self._paths(directories))
+        found = rows.select("length", "_metadata.file_path", "_metadata.file_name")
+        named = F.regexp_extract("file_path", f"/{BATCH}=([^/]+)/", 1).alias(BATCH)
+        day = F.regexp_extract("file_path", f"/{self.spec.partition}=([^/]+)/", 1) if self.spec.partition else F.lit(None)
+        return found.select(named, day.cast("string").alias("day"), "file_name", "file_path", "length")
+
+    def counted(self, directories) -> list[Directory]:
+        """The directories with the row counts of the files that count, from Parquet footers alone."""
+        if not directories:
+            return []
+        day = F.col(self.spec.partition).cast("string") if self.spec.partition else F.lit(None).cast("string")
+        counts = self.scan(directories, keep_batch=True).groupBy(BATCH, day.alias("day")).count().collect()
+        found = {(r[BATCH], r["day"] or (NULL_DAY if self.spec.partition else None)): r["count"] for r in counts}
+        return [replace(d, rows=found.get((d.batch, d.day), 0)) for d in directories]
+
+    def key_hashes(self, directories) -> DataFrame:
+        """``key_hash`` of each row of the given directories, with its batch and date.
+
+        A null key has a null hash. All directories must be ``hashed``.
+        """
+        parts = [T.StructField(BATCH, T.StringType())]
+        if self.spec.partition:
+            parts.append(self.spec.schema[self.spec.partition])
+        stored = T.StructType([T.StructField(KEY_HASH, T.LongType()), *parts])
+        if not directories:
+            return self.spark.createDataFrame([], stored)
+        reader = self.spark.read.schema(stored).option("basePath", self.keys)
+        return reader.parquet(*[f"{self.keys}/{d.path}" for d in directories])
+
+    def all_key_hashes(self, number: int) -> DataFrame | None:
+        """The key hashes of a snapshot; None if some of its directories have none."""
+        directories = self.snapshot(number).directories
+        return self.key_hashes(directories) if all(d.hashed for d in directories) else None
 
     def read(self, number: int | None = None, window: DateWindow | None = None) -> DataFrame:
         """A pinned snapshot (default: the current one), optionally only a date window.
@@ -176,21 +224,26 @@ class Mart:
         rows = self.scan(snapshot.within(window) if snapshot else ())
         return rows.where(window.covers(self.spec.partition)) if window else rows
 
-    def write(self, df: DataFrame) -> list[Directory]:
-        """Write rows as a new batch. Nothing refers to it until a commit does.
+    def write(self, df: DataFrame, arranged: bool = False) -> list[Directory]:
+        """Write rows and their key hashes as a new batch. Nothing refers to it until a commit does.
 
         ``rebalance`` shuffles (by date, for a partitioned mart) and lets AQE merge
         what is small and split a date too large for one task, so neither many dates
-        nor one huge date yields tiny files or a single long task.
+        nor one huge date yields tiny files or a single long task. ``arranged`` rows are
+        written as they are dealt out already. The hashes are made from the written key column.
         """
         require(df, self.spec.schema, self.spec.name)
         batch = uuid.uuid4().hex
         target = f"{self.data}/{BATCH}={batch}"
         day = self.spec.partition
-        shaped = df.hint("rebalance", day) if day else df.hint("rebalance")
-        writer = shaped.write.option("compression", "snappy")
-        (writer.partitionBy(day) if day else writer).parquet(target)
-        return self._measure(batch)
+        parts = [day] if day else []
+        shaped = df if arranged else df.hint("rebalance", *parts)
+        shaped.write.option("compression", "snappy").partitionBy(*parts).parquet(target)
+        key = F.col(self.spec.key)
+        hashed = F.when(key.isNotNull(), F.xxhash64(key)).alias(KEY_HASH)
+        written = self.spark.read.schema(self.spec.schema).parquet(target).select(hashed, *parts)
+        written.write.option("compression", "snappy").partitionBy(*parts).parquet(f"{self.keys}/{BATCH}={batch}")
+        return [replace(d, hashed=True) for d in self._measure(batch)]
 
     def _measure(self, batch: str) -> list[Directory]:
         """Directories of a batch with row counts, from Parquet footers alone."""

@@ -235,3 +235,53 @@ def test_result_rows_equal_the_driver_results(clean):
 def test_unknown_layer():
     with pytest.raises(ValueError):
         checks.checks_for("raw")
+
+
+# -- uniqueness from one pass and from key hashes ---------------------------------
+
+
+def test_unique_keys_of_a_table_share_one_pass(clean, spark):
+    twice = clean.stg_raw_users.unionAll(clean.stg_raw_users.where(USER))
+    changed = checks.Tables(clean.stg_raw_events, twice.withColumn("email", F.lit("same")))
+    failed = _failed(checks.run_checks(changed, "staging"))
+    assert (failed["unique_stg_raw_users_user_id"], failed["unique_stg_raw_users_email"]) == (1, 1)
+    users = changed.stg_raw_users.repartition(3)
+    one = checks._repeated_keys("stg_raw_users")(checks.Tables(clean.stg_raw_events, users))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and plan.count("Generate explode(") == 1
+    assert one.collect()[0].asDict() == {"user_id": 1, "email": 1}
+
+
+def _hashed(tables, **replaced):
+    facts = replaced.get("facts", tables.fct_events)
+    hashes = facts.select(checks._key_hash("event_id").alias("key_hash"), "event_date")
+    return checks.Tables(tables.stg_raw_events, tables.stg_raw_users, tables.dim_users, facts, hashes)
+
+
+def test_key_hashes_find_the_same_repeated_facts(clean):
+    again = clean.fct_events.unionAll(clean.fct_events.where(TWO))
+    nulls = again.unionAll(clean.fct_events.limit(3).withColumn("event_id", F.lit(None).cast("string")))
+    for facts, repeated in ((clean.fct_events, None), (again, 2), (nulls, 3)):
+        failed = _failed(checks.run_checks(_hashed(clean, facts=facts), "marts"))
+        assert failed.get("unique_fct_events_event_id") == repeated
+
+
+def test_equal_hashes_of_different_keys_are_no_failure(clean, spark):
+    tables = _hashed(clean)
+    same = tables.fct_hashes.withColumn("key_hash", F.lit(7).cast("long"))
+    changed = checks.Tables(*[getattr(tables, n) for n in ("stg_raw_events", "stg_raw_users", "dim_users", "fct_events")], same)
+    assert "unique_fct_events_event_id" not in _failed(checks.run_checks(changed, "marts"))
+
+
+def test_moved_keys_are_found_through_hashes(clean):
+    moved = clean.fct_events.withColumn("event_date", F.when(F.expr(FIRST), F.expr("date_add(event_date, 9)")).otherwise(F.col("event_date")))
+    assert _failed(checks.run_checks(_hashed(clean, facts=moved), "staging", DAY)).get("incremental_key_date_stable") == 1
+    assert "incremental_key_date_stable" not in _failed(checks.run_checks(_hashed(clean), "staging", DAY))
+
+
+def test_facts_without_a_repeated_hash_are_not_read_for_uniqueness(clean, spark):
+    unread = clean.fct_events.withColumn("event_id", F.raise_error(F.lit("read")).cast("string"))
+    tables = _hashed(clean)
+    tables = checks.Tables(tables.stg_raw_events, tables.stg_raw_users, tables.dim_users, unread, tables.fct_hashes)
+    check = next(c for c in checks.checks_for("marts") if c.name == "unique_fct_events_event_id")
+    assert check.own(tables).collect()[0]["value"] == 0

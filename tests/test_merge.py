@@ -1,9 +1,12 @@
+from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
+from hashlib import sha512
 
 import pytest
 from conftest import rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from eventmart.operators import models, reports
 from eventmart.operators.merge import DuplicateKeys, compact, upsert
@@ -260,3 +263,117 @@ def test_small_files_of_a_date_are_packed(spark, lake):
 
 def test_reading_a_missing_mart_writes_nothing(spark, lake):
     assert lake.dim_users.read().count() == 0 and lake.dim_users.current_id() is None
+
+
+# -- key hashes and packing ------------------------------------------------------
+
+
+def scanned_by(mart, monkeypatch):
+    """The directories that are scanned from now on."""
+    seen, scan = [], mart.scan
+
+    def recorded(directories, **how):
+        seen.extend(directories)
+        return scan(directories, **how)
+
+    monkeypatch.setattr(mart, "scan", recorded)
+    return seen
+
+
+def test_few_keys_read_only_directories_whose_hashes_hit(spark, lake, monkeypatch):
+    mart = lake.fct_events
+    base = upsert(mart, facts(spark, [(f"k{i}", i % 20) for i in range(2000)]))
+    seen = scanned_by(mart, monkeypatch)
+    upsert(mart, facts(spark, [("k3", 3, 2.0), ("k23", 3, 2.0), ("k7", 19, 2.0), *((f"new{i}", i) for i in range(17))]))
+    old = {d.batch for d in base.directories}
+    assert {d.day for d in seen if d.batch in old} == {"2024-01-04", "2024-01-08"}
+    got = stored(mart)
+    assert len(got) == 2017 and got["k3"] == (3, 2.0) and got["k7"] == (19, 2.0) and got["k43"] == (3, 1.0)
+
+
+def test_many_keys_do_not_ask_the_hashes(spark, lake, monkeypatch):
+    mart = lake.fct_events
+    upsert(mart, facts(spark, [(f"k{i}", i % 3) for i in range(30)]))
+    monkeypatch.setattr(mart, "key_hashes", lambda directories: pytest.fail("asked"))
+    upsert(mart, facts(spark, [(f"k{i}", i % 3, 2.0) for i in range(20)]))
+    assert len(stored(mart)) == 30
+
+
+def test_a_hash_that_hits_by_chance_replaces_nothing(spark, lake, monkeypatch):
+    mart = lake.fct_events
+    upsert(mart, facts(spark, [(f"k{i}", 0) for i in range(40)]))
+    hashes = mart.key_hashes
+    monkeypatch.setattr(mart, "key_hashes", lambda d: hashes(d).selectExpr("1L AS key_hash", "batch", "event_date"))
+    upsert(mart, facts(spark, [("other", 1)]))
+    assert len(stored(mart)) == 41
+
+
+def test_directories_without_hashes_are_read(spark, lake):
+    """A mart written before there were hashes."""
+    mart = lake.fct_events
+    first = upsert(mart, facts(spark, [(f"k{i}", i % 2) for i in range(20)]))
+    mart.commit([replace(d, hashed=False) for d in first.directories], first)
+    assert mart.all_key_hashes(mart.current_id()) is None
+    upsert(mart, facts(spark, [("k1", 5, 2.0)]))
+    assert len(stored(mart)) == 20 and stored(mart)["k1"] == (5, 2.0)
+    assert mart.all_key_hashes(first.id).count() == 20
+
+
+def test_null_keys_have_null_hashes(spark, lake):
+    mart = lake.fct_events
+    rows = upsert(mart, facts(spark, [(None, 0), (None, 0), ("a", 1)]), unique=True).directories
+    assert mart.key_hashes(rows).where("key_hash IS NULL").count() == 2
+
+
+def file_sizes(mart):
+    found = mart.listed(mart.current().directories).collect()
+    return {r["file_path"]: r["length"] for r in found}
+
+
+def test_small_files_are_packed_beside_a_large_one(spark, lake):
+    """One large and forty small files in one directory: the small ones become one, the large one stays."""
+    mart = lake.fct_events
+    rows = facts(spark, [(f"k{i}", 0) for i in range(40)])
+    keys = [sha512(b"%d" % i).hexdigest() for i in range(3000)]
+    big = facts(spark, [(k, 0) for k in keys])
+    target = f"{mart.data}/batch=mixed"
+    big.repartition(1).write.partitionBy("event_date").parquet(target)
+    one_each = rows.repartitionById(40, F.substring("event_id", 2, 9).cast("int"))
+    one_each.write.mode("append").partitionBy("event_date").parquet(target)
+    mart.commit(mart._measure("mixed"), None)
+    before = file_sizes(mart)
+    assert len(before) == 41
+    large = max(before, key=before.get)
+    done = compact(mart, file_bytes=before[large])
+    after = file_sizes(mart)
+    assert len(after) == 2 and after[large] == before[large]
+    assert done.rows == 3040 and {d.rows for d in done.directories} == {3000, 40}
+    assert reports.table_diff(rows.unionAll(big), mart.read()).isEmpty()
+    assert compact(mart, file_bytes=before[large]).id == done.id
+    upsert(mart, facts(spark, [("k1", 2, 9.0), (keys[5], 3, 9.0)]))
+    assert mart.current().rows == 3040 and stored(mart)["k1"] == (2, 9.0)
+
+
+def test_bins_are_filled_in_order_of_size(spark, lake):
+    mart = lake.fct_events
+    rows = facts(spark, [(f"k{i}", i % 2) for i in range(400)])
+    rows.repartition(20).write.partitionBy("event_date").parquet(f"{mart.data}/batch=many")
+    mart.commit(mart._measure("many"), None)
+    sizes = file_sizes(mart)
+    limit = 5 * max(sizes.values())
+    done = compact(mart, file_bytes=limit)
+    assert done.rows == 400 and reports.table_diff(rows, mart.read()).isEmpty()
+    days = {d.day for d in done.directories}
+    assert len(days) == 2 and 2 * 20 // 6 <= len(file_sizes(mart)) <= 2 * 5
+
+
+def test_compaction_of_a_window_and_of_users(spark, lake):
+    mart = lake.fct_events
+    for part in range(2):
+        upsert(mart, facts(spark, [(f"k{part}-{i}", i) for i in range(3)]))
+    done = compact(mart, DateWindow.parse({"start": "2024-01-02", "end": "2024-01-02"}))
+    assert sorted(d.day for d in done.directories) == ["2024-01-01"] * 2 + ["2024-01-02"] + ["2024-01-03"] * 2
+    for part in range(3):
+        upsert(lake.dim_users, users(spark, [(f"u{part}", "n", "c")]))
+    assert len(compact(lake.dim_users).directories) == 1 and lake.dim_users.read().count() == 3
+    assert compact(Mart(spark, f"{lake.root}/none", MARTS["dim_users"])).rows == 0

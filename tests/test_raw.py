@@ -126,3 +126,31 @@ def test_views(spark, sample_events):
     assert spark.sql("SELECT count(event_timestamp) FROM stg_raw_events").first()[0] == 24
     with pytest.raises(ValueError):
         models.register_view(sample_events, "bad name")
+
+
+def test_drift_names_the_files_that_differ(spark, tmp_path):
+    user = {"user_id": "u", "name": "n", "email": "e", "created_at": "t", "country": None}
+    events = tmp_path / "events"
+    events.mkdir()
+    lines = {
+        "good": [EVENT | {"page": "/p"}, EVENT | {"amount": 3, "page": None}],
+        "text": [EVENT | {"amount": "3"}, EVENT | {"amount": 3}],
+        "gone": [{k: v for k, v in EVENT.items() if k != "page"} | {"more": [1], "deep": {"a": 1}}],
+        "flag": [EVENT | {"user_id": True}],
+        "torn": [EVENT, "{broken", "[1]", EVENT],
+        "none": [],
+    }
+    for name, rows in lines.items():
+        (events / f"{name}.json").write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows))
+    paths = {"events": str(events), "users": _write(tmp_path / "users", user)}
+    found = {(r["file_path"].rsplit("/", 1)[1], r["field"], r["found"], r["status"]) for r in raw.drift_by_file(spark, paths).collect()}
+    assert found == {
+        ("text.json", "amount", "mixed", "drift"),
+        ("gone.json", "page", None, "missing"),
+        ("gone.json", "more", "list", "extra"),
+        ("gone.json", "deep", "record", "extra"),
+        ("flag.json", "user_id", "boolean", "drift"),
+        ("torn.json", None, None, "broken"),
+    }
+    types = {(r["file_path"].rsplit("/", 1)[1], r["field"]): (r["kind"], r["lines"]) for r in raw.field_types(spark, paths["events"]).collect()}
+    assert types["good.json", "amount"] == ("number", 2) and types["good.json", "page"] == ("text", 2) and types["torn.json", None][1] == 2
