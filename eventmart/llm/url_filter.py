@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -64,6 +65,23 @@ def _tokens() -> Column:
     return F.sort_array(F.array_distinct(F.coalesce(F.array_compact(every), F.array().cast("array<string>"))))
 
 
+def items_of(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """(token, item, count) of the tokens in a ``min_support`` share of all rows with ``row`` and ``tokens``.
+
+    Tokens of exactly the same rows are one item, named by the least of them: whichever of them a
+    rule asks for, its support and confidence are the same. A template of many fixed parts thus has
+    one item, where its combinations would be 2 to the number of parts. The rows of a token are compared by
+    their number and two sums of hashes. At most 1 / ``min_support`` times as many tokens
+    are common as a row has on average, whatever the number of rows.
+    """
+    rows = labelled.count()
+    sums = [F.sum(F.xxhash64("row", F.lit(seed)).cast("decimal(20, 0)")).alias(f"rows{seed}") for seed in (1, 2)]
+    counted = labelled.select("row", F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count"), *sums)
+    common = counted.where(F.col("count") >= math.ceil(min_support * rows))
+    least = common.groupBy("count", "rows1", "rows2").agg(F.min("token").alias("item"))
+    return common.join(least, ["count", "rows1", "rows2"]).select("token", "item", "count")
+
+
 def mined_rules(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules (tokens, verdict, confidence, support) of rows with ``tokens`` and ``verdict``.
 
@@ -96,37 +114,52 @@ def url_filter(
     judged like any page without a rule. Columns of the added names are replaced; an empty
     table gives an empty result.
 
-    Only distinct token sets of the pages are matched: each looks up its tokens in an
-    inverted index that holds every mined rule once, under its rarest token.
+    Tokens that the labels never tell apart are one item in a rule, and any of them fits it (see
+    ``items_of``). Only distinct token sets of the pages are matched: each looks up its items in an
+    inverted index that holds every mined rule once, under its rarest item.
     """
     whole = pages.select(packed(pages).alias("row"), field(url).cast("string").alias("url"))
     host, path = host_and_path(F.col("url"))
     parsed = whole.withColumns({"host": host, "path": path})
     name, verdict = _given(rules)
-    tokens = written(
-        parsed.withColumns({"rule": name, "given": verdict, "tokens": _tokens()}).drop("url"),
-        "urls",
-    )
-    labelled = tokens.where(F.col("given").isNotNull()).select("tokens", F.col("given").alias("verdict"))
+    tokens = parsed.withColumns({"rule": name, "given": verdict, "tokens": _tokens()}).drop("url")
+    tokens = written(tokens.withColumn("number", F.monotonically_increasing_id()), "urls")
+    labelled = tokens.where(F.col("given").isNotNull()).select(F.col("number").alias("row"), "tokens", F.col("given").alias("verdict"))
     counts = dict(tuple(r) for r in labelled.groupBy("verdict").count().collect())
     default = F.lit("block" if counts.get("block", 0) > counts.get("allow", 0) else "allow")
     sets = tokens.where(F.col("given").isNull()).select("tokens").distinct()
     if counts:
-        mined = written(mined_rules(labelled, min_support=min_support, min_confidence=min_confidence), "mined-rules")
-        common = labelled.select(F.explode("tokens").alias("token")).groupBy("token").count()
+        items = written(items_of(labelled, min_support), "items")  # bounded by the support, see there
+        as_items = (
+            labelled.select("row", F.explode("tokens").alias("token"))
+            .join(F.broadcast(items), "token")
+            .groupBy("row")
+            .agg(F.collect_set("item").alias("items"))
+        )
+        reduced = labelled.join(as_items, "row", "left").select("verdict", F.coalesce("items", F.array().cast("array<string>")).alias("tokens"))
+        mined = written(mined_rules(reduced, min_support=min_support, min_confidence=min_confidence), "mined-rules")
         index = written(
-            mined.select("*", F.explode("needs").alias("token"))
-            .join(common, "token")
+            mined.select("*", F.explode("needs").alias("item"))
+            .join(F.broadcast(items.select("item", "count").distinct()), "item")
             .groupBy("needs", "says", "confidence", "support")
-            .agg(F.min(F.struct("count", "token")).alias("rarest"))
-            .select("needs", "says", "confidence", "support", F.col("rarest.token").alias("token")),
+            .agg(F.min(F.struct("count", "item")).alias("rarest"))
+            .select("needs", "says", "confidence", "support", F.col("rarest.item").alias("item")),
             "rule-index",
         )
-        rank = F.struct("confidence", "support", F.size("needs"), F.array_join("needs", " "), "says")
-        found = (
+        held = (
             sets.select("tokens", F.explode("tokens").alias("token"))
-            .join(index, "token")
-            .where(F.size(F.array_except("needs", "tokens")) == 0)
+            .join(F.broadcast(items), "token")
+            .groupBy("tokens")
+            .agg(F.collect_list(F.struct("item", "token")).alias("held"))
+        )
+        has = F.array_distinct(F.col("held.item"))
+        asked = F.filter("held", lambda h: F.array_contains("needs", h["item"]))
+        fits = F.sort_array(F.transform(asked, lambda h: h["token"]))
+        rank = F.struct("confidence", "support", F.size(fits), F.array_join(fits, " "), "says")
+        found = (
+            held.select("tokens", "held", F.explode(has).alias("item"))
+            .join(index, "item")
+            .where(F.size(F.array_except("needs", has)) == 0)
             .groupBy("tokens")
             .agg(F.max_by("says", rank).alias("mined"))
         )

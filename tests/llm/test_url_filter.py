@@ -1,6 +1,13 @@
+import math
+import random
+import time
+from collections import Counter
+from itertools import combinations
+
 from plain import CLASHES
+from pyspark.sql import functions as F
 
-from eventmart.llm.url_filter import RULES, mined_rules, url_filter
+from eventmart.llm.url_filter import RULES, _tokens, host_and_path, mined_rules, url_filter
 
 
 def judged(spark, urls, **options):
@@ -90,3 +97,55 @@ def test_repeated_rows_clashes_and_empty_table(spark):
     assert result.count() == 5 and result.columns.count("rule") == 1
     assert all(r[c] == r["page_id"] for r in result.collect() for c in [*CLASHES, "tokens", "given"])
     assert url_filter(pages.limit(0)).collect() == []
+
+
+def all_rules_verdicts(labelled, sets, min_support, min_confidence):
+    """Every token combination of the labelled rows as a rule; the best one that a set holds."""
+    every = Counter()
+    for tokens, says in labelled:
+        for size in range(1, len(tokens) + 1):
+            for needs in combinations(sorted(tokens), size):
+                every[needs, says] += 1
+                every[needs, None] += 1
+    least = math.ceil(min_support * len(labelled))
+    rules = [
+        (n / every[needs, None], n / len(labelled), len(needs), " ".join(needs), says, set(needs))
+        for (needs, says), n in every.items()
+        if says and n >= least and n / every[needs, None] >= min_confidence
+    ]
+    best = [max((r for r in rules if r[5] <= set(tokens)), key=lambda r: r[:5], default=None) for tokens in sets]
+    return [r and r[4] for r in best]
+
+
+def test_verdicts_equal_a_scan_of_all_rules(spark):
+    """Tokens that always come together, some apart on pages without a label, against a plain miner."""
+    rng = random.Random(7)
+    urls = []
+    for k in range(150):
+        host = rng.choice(["a.net", "www.b.com", "c.d.net", "x.org", "y.org"])
+        path = rng.choice(["/es/", "/fr/", "/de/", "/it/"]) + rng.choice(["", "p/", "p/q/"])
+        keys = rng.choice([[], ["u", "v", "w"], ["u", "v", "w", "z"], ["z"], ["u"], ["v", "w"]])
+        if host.endswith(("net", "com")) and keys and keys[0] == "u":
+            keys = ["u", "v", "w", *keys[3:]]  # where labels are, u, v and w come together
+        urls.append(f"http://{host}{path}{k}" + ("?" + "&".join(f"{x}=1" for x in keys) if keys else ""))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    host, path = host_and_path(F.col("url"))
+    parsed = pages.withColumns({"host": host, "path": path})
+    tokens = {r["page_id"]: r["t"] for r in parsed.select("page_id", _tokens().alias("t")).collect()}
+    got = {r["page_id"]: r for r in url_filter(pages, min_support=0.04).collect()}
+    labelled = [(tokens[i], r["verdict"]) for i, r in got.items() if r["rule"]]
+    rest = [i for i, r in got.items() if not r["rule"]]
+    counts = Counter(v for _, v in labelled)
+    default = "block" if counts["block"] > counts["allow"] else "allow"
+    assert len(labelled) > 40 and len(rest) > 40
+    want = [w or default for w in all_rules_verdicts(labelled, [tokens[i] for i in rest], 0.04, 0.6)]
+    assert [got[i]["verdict"] for i in rest] == want and len(set(want)) == 2
+
+
+def test_templates_of_many_parts_do_not_explode(spark):
+    keys = "&".join(f"key{k}=1" for k in range(30))
+    urls = [f"http://s{k}.net/es/{k}?{keys}" for k in range(20)] + [f"http://s{k}.com/de/{k}?{keys}" for k in range(20)]
+    urls += [f"http://x.org/es/{k}?{keys}" for k in range(5)]
+    started = time.monotonic()
+    assert {g[3] for g in judged(spark, urls)[40:]} == {"block"}
+    assert time.monotonic() - started < 30
