@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -254,7 +254,7 @@ def nearest(
     deal = small_frame(spark, [(c, s) for c, s in shards.items()], "cell long, shards long")  # MOST_CELLS rows at most
 
     def visit(asking: DataFrame, first_only: bool) -> DataFrame:
-        """Each query's best of every shard it reaches."""
+        """(query_id, vec_id, score): each query's best of every shard it reaches."""
         wide = asking.withColumn("cell", F.explode(reached("qp", "worst"))).join(F.broadcast(deal), "cell")
         busy = [(r["cell"], -(-r["n"] // QUERY_ROWS)) for r in wide.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()]
         blocks = small_frame(spark, busy, "cell long, blocks long")
@@ -273,30 +273,28 @@ def nearest(
 
         def best(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
             if not len(rows) or not len(asks):
-                return pd.DataFrame({"query_id": [], "best": []})
+                return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
             worst = asks["worst"].to_numpy(float)
             ids, scores = search(
                 np.stack(rows["x"]), rows["id"].to_numpy(), np.stack(rows["p"]), np.stack(asks["q"]), asks["query_id"].to_numpy(),
                 np.stack(asks["qp"]), np.where(np.isnan(worst), np.inf, worst), longest, limit, k,
             )
-            lists = [[{"score": s, "id": i} for s, i in zip(a, b, strict=True) if s > -np.inf] for a, b in zip(scores, ids, strict=True)]
-            return pd.DataFrame({"query_id": asks["query_id"], "best": lists})
+            who, at = np.nonzero(scores > -np.inf)
+            return pd.DataFrame({"query_id": asks["query_id"].to_numpy()[who], "vec_id": ids[who, at], "score": scores[who, at]})
 
         keys = ["cell", "shard", "block"]
-        found = "query_id long, best array<struct<score: double, id: long>>"
-        return held.groupBy(*keys).cogroup(wide.groupBy(*keys)).applyInPandas(best, found)
+        return held.groupBy(*keys).cogroup(wide.groupBy(*keys)).applyInPandas(best, "query_id long, vec_id long, score double")
+
+    # Spark keeps k rows of a query in each task before the shuffle (a group limit), then merges these.
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     base = F.aggregate("q", F.lit(longest**2), lambda a, v: a + v * v)
-    first = visit(queries.withColumn("worst", F.lit(None).cast("double")), True)
-    known = written(
-        first.groupBy("query_id").agg(F.max(F.when(F.size("best") >= k, F.get("best", F.lit(k - 1))["score"])).alias("kth")), "bounds"
-    )
+    first = ranked(visit(queries.withColumn("worst", F.lit(None).cast("double")), True))
+    known = written(first.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth")), "bounds")
     bounded = queries.join(known, "query_id", "left").withColumn(
         "worst", F.when(F.col("kth").isNull(), float("inf")).otherwise(F.greatest(F.lit(0.0), base - 2 * F.col("kth")))
     )
-    every = visit(bounded, False).groupBy("query_id").agg(F.flatten(F.collect_list("best")).alias("best"))
-    order = F.transform("best", lambda b: F.struct((-b["score"]).alias("away"), b["id"].alias("id"), b["score"].alias("score")))
-    ranked = every.select("query_id", F.posexplode(F.slice(F.array_sort(order), 1, k)).alias("place", "hit"))
-    return ranked.select(
-        "query_id", (F.col("place") + 1).alias("rank"), F.col("hit.id").alias("vec_id"), F.col("hit.score").alias("score")
-    ).to(T.StructType.fromDDL(schema))
+    return ranked(visit(bounded, False)).select("query_id", "rank", "vec_id", "score").to(T.StructType.fromDDL(schema))
