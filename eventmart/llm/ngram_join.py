@@ -3,11 +3,17 @@
 A text is the set of its five-word shingles. Texts of the same set form a class of copies and
 go on as one node. A node's MinHash signature gives one label per tree; the trees are prefix
 tries of these labels. Two nodes of similarity s share a prefix of d values in some of t trees with
-probability 1 - (1 - s^d)^t. Nodes are brought together where they share the shortest prefix that
-could ever be needed; from the pairs' signatures the least similar pair that may be a link is
-sought, and the prefix is shortened from the longest one until the target recall is met for such
-pairs. So it does not matter how many links some group has. All pairs that share as much are
-verified with the shingles of their whole texts.
+probability 1 - (1 - s^d)^t.
+
+The longest prefix comes first: where many nodes share it, each is compared with one of
+them, the centre. Two nodes within half the allowed distance of a centre are linked, as
+the Jaccard distance is a metric. Such a cluster's links are counted without looking at its pairs, so a group of
+near copies costs as much as it has members.
+
+Then nodes of different clusters are brought together where they share the shortest prefix
+that could ever be needed. From the estimates of its pairs each node takes the longest prefix
+that meets the target recall for the least similar of them, and all pairs that share as much
+are verified with the shingles of their whole texts.
 
 A pair is looked at in the first tree where it meets and nowhere else, so links can be counted
 without listing them. A trie node of many members is cut into blocks, and each pair of
@@ -38,6 +44,9 @@ TARGET = 0.9999
 BLOCK = 256
 #: Pairs whose signatures agree this much less than wanted (seven deviations) are not verified.
 SLACK = 0.3
+#: Nodes that share a longest prefix, from which on one of them becomes a centre; trees that are asked.
+CLUSTER_FROM = 64
+CLUSTER_TREES = 4
 #: A similarity estimated from signatures may be so far from the true one (three deviations).
 DOUBT = 0.12
 SEED = 5
@@ -106,13 +115,17 @@ def shortest_prefix(similarity: float, target: float) -> int:
     return max([d for d in range(1, DEPTH + 1) if found_with(similarity, d) >= target], default=1)
 
 
-def prefix_for(least: float | None, similarity: float, target: float) -> int:
-    """The longest prefix that meets the target for pairs of the least estimate that may be a link."""
-    return DEPTH if least is None else shortest_prefix(max(similarity, least - DOUBT), target)
+def prefix_borders(floor: int, target: float) -> list[float]:
+    """The similarities from which on prefixes of ``floor`` + 1, ... ``DEPTH`` values meet the target."""
+    grid = np.linspace(0, 1, 100_001)
+    return [float(grid[found_with(grid, d) >= target][0]) for d in range(floor + 1, DEPTH + 1)]
+
 
+def pairs_of(signatures: np.ndarray, tree: int, blocks: np.ndarray, clusters: np.ndarray, across: bool, floor: int, similarity: float):
+    """The pairs that a group is in charge of: rows, shared prefix, estimated similarity.
 
-def pairs_of(signatures: np.ndarray, tree: int, blocks: np.ndarray, across: bool, floor: int, similarity: float):
-    """The pairs that a group is in charge of: rows, shared prefix, estimated similarity."""
+    Pairs of one cluster (-1: none) are known already.
+    """
     if across:
         first = blocks.min()
         a, b = np.meshgrid(np.flatnonzero(blocks == first), np.flatnonzero(blocks != first), indexing="ij")
@@ -122,6 +135,8 @@ def pairs_of(signatures: np.ndarray, tree: int, blocks: np.ndarray, across: bool
     out = []
     for start in range(0, len(a), 1 << 16):
         x, y = a[start : start + (1 << 16)], b[start : start + (1 << 16)]
+        other = (clusters[x] != clusters[y]) | (clusters[x] < 0)
+        x, y = x[other], y[other]
         same = (signatures[x] == signatures[y]).reshape(len(x), TREES, DEPTH)
         guess = same.mean((1, 2))
         shared = np.logical_and.accumulate(same, 2).sum(2)
@@ -158,11 +173,11 @@ def _batches(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> p
 
 
 def _meet(floor: int, similarity: float) -> Callable:
-    """Per group, the nodes with a pair to look at, and the least estimate of a pair that may be a link."""
+    """Per group, the nodes with a pair to look at, and the least estimate of their pairs."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*GROUP, "tree", "block", "node", "shared", "estimate"]
-        types = [pa.int64()] * 7 + [pa.float64()]
+        kept = [*GROUP, "tree", "block", "node", "cluster"]
+        names, types = [*kept, "shared", "estimate"], [pa.int64()] * (len(kept) + 1) + [pa.float64()]
         out = []
         for own in runs(batches, GROUP):
             if len(own) > 1:
@@ -170,17 +185,15 @@ def _meet(floor: int, similarity: float) -> Callable:
                 blocks, across = own["block"].to_numpy(), own["low"].iloc[0] != own["high"].iloc[0]
                 if across and len(np.unique(blocks)) < 2:
                     continue
-                x, y, shared, guess = pairs_of(signatures, own["tree"].iloc[0], blocks, across, floor, similarity)
-                longest = np.zeros(len(own), np.int64)
-                np.maximum.at(longest, x, shared)
-                np.maximum.at(longest, y, shared)
-                least = np.full(len(own), np.inf)
-                maybe = guess >= similarity - DOUBT
-                np.minimum.at(least, x[maybe], guess[maybe])
+                clusters = own["cluster"].to_numpy()
+                x, y, shared, guess = pairs_of(signatures, own["tree"].iloc[0], blocks, clusters, across, floor, similarity)
+                longest, least = np.zeros(len(own), np.int64), np.full(len(own), np.inf)
+                for side in (x, y):
+                    np.maximum.at(longest, side, shared)
+                    np.minimum.at(least, side, guess)
                 for k in np.flatnonzero(longest):
                     row = own.iloc[k]
-                    estimate = float(least[k]) if least[k] < np.inf else None
-                    out.append((*(int(row[c]) for c in (*GROUP, "tree", "block", "node")), int(longest[k]), estimate))
+                    out.append((*(int(row[c]) for c in kept), int(longest[k]), float(least[k])))
             if len(out) >= 5000:
                 yield _batches(out, names, types)
                 out = []
@@ -211,7 +224,7 @@ def similar(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray, similarity: fl
     return common >= similarity * (sizes[x] + sizes[y] - common) - 1e-9
 
 
-def _verify(floor: int, depth: int, similarity: float) -> Callable:
+def _verify(floor: int, similarity: float) -> Callable:
     """Per group, every linked node with the documents it links to and the least node it is joined with."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,8 +235,10 @@ def _verify(floor: int, depth: int, similarity: float) -> Callable:
             if len(own) > 1 and not (across and len(np.unique(blocks)) < 2):
                 sets = shingles(own["text"].tolist())
                 signatures = np.stack([signature(s) for s in sets])
-                x, y, shared, _ = pairs_of(signatures, own["tree"].iloc[0], blocks, across, floor, similarity)
-                x, y = x[shared >= depth], y[shared >= depth]
+                depth, clusters = own["depth"].to_numpy(), own["cluster"].to_numpy()
+                x, y, shared, _ = pairs_of(signatures, own["tree"].iloc[0], blocks, clusters, across, floor, similarity)
+                far = shared >= np.minimum(depth[x], depth[y])
+                x, y = x[far], y[far]
                 good = similar(sets, x, y, similarity) if len(x) else np.zeros(0, bool)
                 x, y = x[good], y[good]
                 node, size = own["node"].to_numpy(), own["size"].to_numpy()
@@ -244,25 +259,43 @@ def _verify(floor: int, depth: int, similarity: float) -> Callable:
     return verify
 
 
-def _buckets(floor: int) -> Callable:
+def _settle(similarity: float) -> Callable:
+    """Per group of a centre and some nodes, the nodes that are similar enough to it."""
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, types = ["node", "cluster"], [pa.int64()] * 2
+        out = []
+        for own in runs(batches, ["centre", "block"]):
+            node, centre = own["node"].to_numpy(), int(own["centre"].iloc[0])
+            at, others = np.flatnonzero(node == centre), np.flatnonzero(node != centre)
+            if len(at) and len(others):
+                sets = shingles(own["text"].tolist())
+                good = similar(sets, others, np.repeat(at[:1], len(others)), similarity)
+                out += [(int(k), centre) for k in node[others[good]]]
+            if len(out) >= 5000:
+                yield _batches(out, names, types)
+                out = []
+        yield _batches(out, names, types)
+
+    return settle
+
+
+def _buckets(floor: int, trees: int = TREES) -> Callable:
+    """The node of each tree's trie that a signature's first ``floor`` values name."""
+
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             values = np.stack([np.frombuffer(s, np.uint32) for s in batch.column("signature").to_pylist()])
-            prefixes = values.reshape(len(batch), TREES, DEPTH)[:, :, :floor].astype(np.uint64)
-            key = np.broadcast_to(np.arange(1, TREES + 1, dtype=np.uint64), (len(batch), TREES)).copy()
+            prefixes = values.reshape(len(batch), TREES, DEPTH)[:, :trees, :floor].astype(np.uint64)
+            key = np.broadcast_to(np.arange(1, trees + 1, dtype=np.uint64), (len(batch), trees)).copy()
             for k in range(floor):
                 key = (key ^ prefixes[:, :, k]) * _BASE
                 key ^= key >> np.uint64(31)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key.view(np.int64).ravel()),
-                    pa.array(np.tile(np.arange(TREES), len(batch))),
-                    pa.array(np.repeat(batch.column("node").to_numpy(), TREES)),
-                ],
-                ["bucket", "tree", "node"],
-            )
+            repeated = [pa.array(np.repeat(batch.column(c).to_numpy(), trees)) for c in ("node", "cluster")]
+            own = [pa.array(key.view(np.int64).ravel()), pa.array(np.tile(np.arange(trees), len(batch))), *repeated]
+            yield pa.RecordBatch.from_arrays(own, ["bucket", "tree", "node", "cluster"])
 
     return buckets
 
@@ -297,9 +330,68 @@ def _ident(doc_id: str, text: str):
     return F.unhex(F.md5(content.cast("binary")))
 
 
+def _with_texts(docs: DataFrame, needed: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows with the text of their ``ident``. Rows repeated with id and text are one text here."""
+    needed = written(needed, "needed")
+    texts = docs.select(_ident(doc_id, text).alias("ident"), field(text).cast("string").alias("text"))
+    # what is needed grows with the table, so it is never broadcast, however small it is at first
+    own = texts.join(needed.select("ident").distinct().hint("merge"), "ident", "left_semi").dropDuplicates(["ident"])
+    return needed.join(own, "ident")
+
+
+BUCKETS = "bucket long, tree long, node long, cluster long"
+
+
+def _clusters(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
+    """(node, cluster) of the nodes near a centre, centres included, where many share a longest prefix."""
+    plain = classes.select("node", "signature", F.lit(-1).cast("long").alias("cluster"))
+    deep = plain.mapInArrow(_buckets(DEPTH, CLUSTER_TREES), BUCKETS).select("bucket", "node")
+    centres = deep.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("members"))
+    centres = written(centres.where(F.col("members") >= CLUSTER_FROM).select("bucket", "centre"), "centres")
+    chosen = deep.join(centres, "bucket").groupBy("node").agg(F.min("centre").alias("centre")).where("node <> centre")
+    chosen = written(chosen, "chosen")
+    cut = chosen.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("cut"))
+    members = chosen.join(cut, "centre").select("centre", F.pmod(F.xxhash64("node"), F.col("cut")).alias("block"), "node")
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cut") - 1))
+    needed = members.unionAll(cut.select("centre", blocks.alias("block"), F.col("centre").alias("node")))
+    needed = needed.join(classes.select("node", F.col("least.ident").alias("ident")), "node")
+    compared = _with_texts(docs, needed, doc_id, text).repartition("centre", "block").sortWithinPartitions("centre", "block")
+    near = written(compared.mapInArrow(_settle((1 + similarity) / 2), "node long, cluster long"), "near-centres")
+    heads = near.select(F.col("cluster").alias("node")).distinct()
+    return written(near.join(heads, "node", "left_anti").unionAll(heads.select("node", F.col("node").alias("cluster"))), "clusters")
+
+
+def _members(nodes: DataFrame) -> DataFrame:
+    """Every node once for each pair of blocks of its bucket that it is in.
+
+    A cluster of more than a block has blocks of its own, which are not paired with one
+    another; all other nodes of a bucket share blocks. Buckets of one cluster alone are left out.
+    """
+    size = nodes.groupBy("bucket", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    part = F.when((F.col("cluster") >= 0) & (F.col("n") > BLOCK), F.col("cluster")).otherwise(-1)
+    apart = F.when(F.col("cluster") >= 0, 1).otherwise(F.col("n"))
+    parts = size.groupBy("bucket", part.alias("part")).agg(F.ceil(F.sum("n") / BLOCK).alias("cut"), F.sum(apart).alias("apart"))
+    met = parts.groupBy("bucket").agg(F.sum("apart").alias("apart"), F.sort_array(F.collect_list(F.struct("part", "cut"))).alias("parts"))
+    met = written(met.where("apart > 1").drop("apart"), "buckets")
+
+    def blocks(keep) -> F.Column:
+        return F.aggregate(F.filter("parts", keep), F.lit(0).cast("long"), lambda a, p: a + p["cut"])
+
+    joined = nodes.join(met, "bucket").withColumn(
+        "part", F.when(F.exists("parts", lambda p: p["part"] == F.col("cluster")), F.col("cluster")).otherwise(-1)
+    )
+    first, own = blocks(lambda p: p["part"] < F.col("part")), blocks(lambda p: p["part"] == F.col("part"))
+    dealt = joined.select("bucket", "tree", "node", "cluster", "part", first.alias("first"), own.alias("own"), blocks(lambda p: F.lit(True)).alias("all"))
+    other = F.filter(
+        F.sequence(F.lit(0).cast("long"), F.col("all") - 1),
+        lambda b: (F.col("part") < 0) | (b < F.col("first")) | (b >= F.col("first") + F.col("own")),
+    )
+    dealt = dealt.select("bucket", "tree", "node", "cluster", (F.col("first") + F.pmod(F.xxhash64("node"), F.col("own"))).alias("block"), F.explode(other).alias("other"))
+    return dealt.select("bucket", "tree", "node", "cluster", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+
 def _joined(docs: DataFrame, doc_id: str, text: str, similarity: float, target: float) -> DataFrame:
     """Every row's ident and id with its group, its copies' representative and its links."""
-    spark = docs.sparkSession
     floor = shortest_prefix(similarity, target)
     signed = written(
         docs.select(_ident(doc_id, text).alias("ident"), field(doc_id).alias("id"), _signed(field(text).cast("string")).alias("s")).select(
@@ -317,28 +409,26 @@ def _joined(docs: DataFrame, doc_id: str, text: str, similarity: float, target:
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    nodes = classes.select("node", "signature").mapInArrow(_buckets(floor), "bucket long, tree long, node long")
-    met = written(nodes.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
-    cut = F.ceil(F.col("members") / BLOCK)
-    members = (
-        nodes.join(met, "bucket")
-        .select("bucket", "tree", "node", F.pmod(F.xxhash64("node"), cut).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)).alias("other"))
-        .select("bucket", "tree", "node", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-        .join(classes.select("node", "signature"), "node")
-    )
-    grouped = members.repartition(*GROUP).sortWithinPartitions(*GROUP)
-    schema = "bucket long, low long, high long, tree long, block long, node long, shared long, estimate double"
+    clusters = _clusters(docs, classes, doc_id, text, similarity)
+    known = classes.join(clusters, "node", "left").select("node", "signature", F.coalesce("cluster", F.lit(-1).cast("long")).alias("cluster"))
+    nodes = known.mapInArrow(_buckets(floor), BUCKETS)
+    grouped = _members(nodes).join(classes.select("node", "signature"), "node").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    schema = "bucket long, low long, high long, tree long, block long, node long, cluster long, shared long, estimate double"
     meetings = written(grouped.mapInArrow(_meet(floor, similarity), schema), "meetings")
-    depth = prefix_for(meetings.agg(F.min("estimate")).first()[0], similarity, target)
-    looked = meetings.where(F.col("shared") >= depth).select(*GROUP, "tree", "block", "node")
-    looked = looked.join(classes.select("node", "size", F.col("least.ident").alias("ident")), "node")
-    needed = written(looked, "verified")
-    texts = docs.select(_ident(doc_id, text).alias("ident"), field(text).cast("string").alias("text"))
-    # rows repeated with id and text are one text here
-    # what is needed grows with the table, so it is never broadcast, however small it is at first
-    own = texts.join(needed.select("ident").distinct().hint("merge"), "ident", "left_semi").dropDuplicates(["ident"])
-    compared = needed.join(own, "ident").repartition(*GROUP).sortWithinPartitions(*GROUP)
-    links = written(compared.mapInArrow(_verify(floor, depth, similarity), "node long, links long, root long"), "links")
+    # each node's own prefix: as long as the least similar of its pairs allows
+    least = F.greatest(F.lit(similarity), F.min("estimate") - DOUBT)
+    depth = sum((F.when(least >= s, 1).otherwise(0) for s in prefix_borders(floor, target)), F.lit(floor))
+    depths = written(meetings.groupBy("node").agg(depth.cast("long").alias("depth")), "depths")
+    looked = meetings.join(depths, "node").where(F.col("shared") >= F.col("depth"))
+    looked = looked.select(*GROUP, "tree", "block", "node", "cluster", "depth").join(
+        classes.select("node", "size", F.col("least.ident").alias("ident")), "node"
+    )
+    compared = _with_texts(docs, looked, doc_id, text).repartition(*GROUP).sortWithinPartitions(*GROUP)
+    verified = compared.mapInArrow(_verify(floor, similarity), "node long, links long, root long")
+    sizes = clusters.join(classes.select("node", "size"), "node")
+    whole = sizes.groupBy("cluster").agg(F.sum("size").alias("all"), F.min("node").alias("root"))
+    inside = sizes.join(whole, "cluster").select("node", (F.col("all") - F.col("size")).alias("links"), "root")
+    links = written(verified.unionAll(inside), "links")
     roots = components(links.where("root < node").select("node", "root"))
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     known = written(

@@ -129,3 +129,52 @@ def test_hot_group_does_not_lose_a_pair_elsewhere(spark):
     got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join(docs).collect()}
     assert got[150] == (150, 1) and got[151] == (150, 1)
     assert all(got[k] == (0, 149) for k in range(150))
+
+
+def graded(rng, words, versions):
+    """Versions of one text that differ from it in 0 to 12 % of the words: some near it, some linked to a part only."""
+    base = [f"g{rng.randrange(5000)}" for _ in range(words)]
+    out = []
+    for k in range(versions):
+        own = list(base)
+        for at in rng.sample(range(words), k % 4 if k % 5 else 3 + k % 7):
+            own[at] = f"z{rng.randrange(99999)}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize(("block", "least"), [(256, 64), (7, 4), (3, 2)])
+def test_clusters_and_outsiders_same_as_all_pairs(spark, monkeypatch, block, least):
+    """Clusters of near copies beside texts that are linked to some of their members only."""
+    monkeypatch.setattr(module, "BLOCK", block)
+    monkeypatch.setattr(module, "CLUSTER_FROM", least)
+    rng = random.Random(21)
+    texts = graded(rng, 150, 110) + graded(rng, 220, 40) + [t for _ in range(3) for t in near_copies(rng)]
+    texts += [texts[0], texts[0], texts[120]]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["class_id"], r["copy_id"], r["n_links"]) for r in ngram_join(docs).collect()}
+    want = expected(rows)
+    assert len({w[2] for w in want}) > 20
+    assert got == {i: w for (i, _), w in zip(rows, want, strict=True)}
+
+
+def test_a_cluster_is_not_paired_with_itself(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK", 10)
+    rows = [(1, 0, n, 5) for n in range(100)] + [(1, 0, 200, -1), (1, 0, 201, 7)] + [(2, 0, n, 5) for n in range(100)] + [(3, 0, n, -1) for n in range(15)]
+    nodes = spark.createDataFrame(rows, "bucket long, tree long, node long, cluster long")
+    got = module._members(nodes).groupBy("bucket", "low", "high").agg(F.collect_list("node").alias("nodes")).collect()
+    pairs = {}
+    for r in got:
+        own = sorted(r["nodes"])
+        pairs.setdefault(r["bucket"], []).append(own)
+    assert set(pairs) == {1, 3}  # the second bucket is one cluster
+    assert all({200, 201} <= set(p) or not {200, 201} & set(p) for p in pairs[1])
+    assert sum(len(p) for p in pairs[1]) < 200 and {n for p in pairs[1] for n in p} == {*range(100), 200, 201}
+
+
+def test_prefix_borders():
+    floor = shortest_prefix(0.8, 0.9999)
+    borders = module.prefix_borders(floor, 0.9999)
+    assert borders == sorted(borders) and borders[0] > 0.8 and len(borders) == module.DEPTH - floor
+    assert all(shortest_prefix(s + 1e-9, 0.9999) == floor + 1 + k for k, s in enumerate(borders))
