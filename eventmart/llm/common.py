@@ -32,6 +32,12 @@ def unpacked(rows: DataFrame, name: str, added: dict[str, Column]) -> DataFrame:
     return rows.select(*[field(name).getField(c).alias(c) for c in kept], *[v.alias(k) for k, v in added.items()])
 
 
+def row_identity(doc_id: str, text: str) -> Column:
+    """A 128-bit name of a row's id and text; rows repeated with both have the same."""
+    own = F.coalesce(field(doc_id).cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat(own, F.lit(":"), F.coalesce(field(text).cast("string"), F.lit(""))).cast("binary")))
+
+
 def written(rows: DataFrame, label: str) -> DataFrame:
     """Write rows to the shared folder and read them back.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import BLANKS, LOWER, UPPER, field, packed, unpacked, written
+from eventmart.llm.common import BLANKS, LOWER, UPPER, field, packed, row_identity, unpacked, written
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -16,7 +16,13 @@ def _key(line):
 
 
 def line_dedup(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_docs: int = MIN_DOCS,
+    min_chars: int = MIN_CHARS,
+    units: DataFrame | None = None,
 ) -> DataFrame:
     """Documents without the lines whose key occurs in at least ``min_docs`` documents.
 
@@ -26,6 +32,9 @@ def line_dedup(
     ``n_lines`` (before) and ``n_dropped`` are added and replace columns of these names. Null
     text counts as empty, which is one empty line. An empty table gives an empty result.
 
+    ``units`` (ident, unit; ident as ``row_identity`` gives it) names documents that count as
+    one, such as copies of one text: their lines are not shared with anybody by that alone.
+
     Keys are compared by 128-bit digest. Only digests are shuffled for counting, once per
     document and digest; a line in a third of all documents is one row per task there, and
     the join that finds its places may be split by Spark at run time. Texts move once, for
@@ -37,15 +46,13 @@ def line_dedup(
         key = _key(line)
         return F.when(F.char_length(key) >= min_chars, F.unhex(F.md5(key.cast("binary"))))
 
-    ident = F.md5(F.concat(F.coalesce(field(doc_id).cast("string"), F.lit("-")), F.lit(":"), content).cast("binary"))
-    lines = docs.select(F.unhex(ident).alias("ident"), F.transform(F.split(content, "\n"), digest).alias("digests"))
+    ident = row_identity(doc_id, text).alias("ident")
+    lines = docs.select(ident, F.transform(F.split(content, "\n"), digest).alias("digests"))
+    seen = lines.select("ident", F.explode(F.array_distinct("digests")).alias("digest")).where(F.col("digest").isNotNull())
+    if units is not None:
+        seen = seen.join(units, "ident").select("digest", "unit").distinct()
     shared = written(
-        lines.select(F.explode(F.array_distinct("digests")).alias("digest"))
-        .where(F.col("digest").isNotNull())
-        .groupBy("digest")
-        .count()
-        .where(F.col("count") >= min_docs)
-        .select("digest"),
+        seen.groupBy("digest").count().where(F.col("count") >= min_docs).select("digest"),
         "shared-lines",
     )
     dropped = written(
@@ -55,7 +62,7 @@ def line_dedup(
         .agg(F.collect_set("place").alias("places")),
         "dropped-lines",
     )
-    whole = docs.select(F.unhex(ident).alias("ident"), packed(docs).alias("row"), content.alias("content"))
+    whole = docs.select(ident, packed(docs).alias("row"), content.alias("content"))
     joined = whole.join(dropped, "ident", "left").select(
         "row", "content", "places", F.split("content", "\n").alias("lines")
     )

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.llm.common import field, packed, runs_on_executors, written
+from eventmart.llm.common import field, packed, row_identity, runs_on_executors, written
 
 runs_on_executors(__name__)
 
@@ -325,15 +325,10 @@ def components(edges: DataFrame) -> DataFrame:
         edges = written(small.unionAll(low.select("a", F.col("least").alias("b"))).distinct(), "edges")
 
 
-def _ident(doc_id: str, text: str):
-    content = F.concat_ws(":", F.coalesce(field(doc_id).cast("string"), F.lit("-")), F.coalesce(field(text).cast("string"), F.lit("")))
-    return F.unhex(F.md5(content.cast("binary")))
-
-
 def _with_texts(docs: DataFrame, needed: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows with the text of their ``ident``. Rows repeated with id and text are one text here."""
     needed = written(needed, "needed")
-    texts = docs.select(_ident(doc_id, text).alias("ident"), field(text).cast("string").alias("text"))
+    texts = docs.select(row_identity(doc_id, text).alias("ident"), field(text).cast("string").alias("text"))
     # what is needed grows with the table, so it is never broadcast, however small it is at first
     own = texts.join(needed.select("ident").distinct().hint("merge"), "ident", "left_semi").dropDuplicates(["ident"])
     return needed.join(own, "ident")
@@ -394,7 +389,7 @@ def _joined(docs: DataFrame, doc_id: str, text: str, similarity: float, target:
     """Every row's ident and id with its group, its copies' representative and its links."""
     floor = shortest_prefix(similarity, target)
     signed = written(
-        docs.select(_ident(doc_id, text).alias("ident"), field(doc_id).alias("id"), _signed(field(text).cast("string")).alias("s")).select(
+        docs.select(row_identity(doc_id, text).alias("ident"), field(doc_id).alias("id"), _signed(field(text).cast("string")).alias("s")).select(
             "ident", "id", "s.set", "s.signature"
         ),
         "signatures",
@@ -459,17 +454,27 @@ def ngram_join(
     return rows.select(F.col("id").alias(doc_id), F.col("first.id").alias("class_id"), F.col("least.id").alias("copy_id"), "n_links")
 
 
+def groups_of(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, target: float = TARGET
+) -> DataFrame:
+    """(ident, unit) of every distinct row (see ``row_identity``): rows of one group of near copies have one unit."""
+    rows = _joined(docs, doc_id, text, similarity, target)
+    return rows.groupBy("ident").agg(F.min("first.ident").alias("unit"))
+
+
 def one_of_each(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, target: float = TARGET
 ) -> DataFrame:
     """The rows of ``docs`` without all but the first document (smallest id) of each group.
 
-    Of rows repeated with the same id and text one stays.
+    Of rows repeated with the same id and text one stays. Null ids come last, so a document
+    without an id stays only if no other of its group has one. Null, empty and blank texts are copies
+    of one another, so one of them stays. An empty table stays empty. All columns stay as they are.
     """
     rows = _joined(docs, doc_id, text, similarity, target)
     stay = rows.where(F.col("ident") == F.col("first.ident")).groupBy("ident").agg(F.count(F.lit(1)).alias("rows"))
     stay = written(stay, "stay")
-    whole = docs.select(_ident(doc_id, text).alias("ident"), packed(docs).alias("row")).join(stay, "ident")
+    whole = docs.select(row_identity(doc_id, text).alias("ident"), packed(docs).alias("row")).join(stay, "ident")
     single = whole.where("rows = 1").select("row")
     repeated = whole.where("rows > 1").groupBy("ident").agg(F.min("row").alias("row")).select("row")
     return single.unionAll(repeated).select("row.*")

@@ -2,8 +2,9 @@ import random
 from collections import Counter
 
 from plain import CLASHES, awkward, none_of
+from pyspark.sql import functions as F
 
-from eventmart.llm.common import BLANKS
+from eventmart.llm.common import BLANKS, row_identity
 from eventmart.llm.line_dedup import line_dedup
 
 
@@ -11,9 +12,11 @@ def _key(line):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(BLANKS))
 
 
-def expected(texts, min_docs, min_chars=1):
+def expected(texts, min_docs, min_chars=1, units=None):
+    """``units``: texts of the same unit count as one."""
     split = [(t or "").split("\n") for t in texts]
-    counts = Counter(k for lines in split for k in {_key(x) for x in lines} if len(k) >= min_chars)
+    units = units or range(len(texts))
+    counts = Counter(k for k, _ in {(_key(x), u) for lines, u in zip(split, units, strict=True) for x in lines if len(_key(x)) >= min_chars})
     out = []
     for lines in split:
         kept = [x for x in lines if counts[_key(x)] < min_docs]
@@ -48,3 +51,13 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert line_dedup(none_of(spark)).collect() == []
+
+
+def test_copies_count_as_one(spark):
+    texts = ["a\nb\nmenu"] * 12 + [f"own {k}\nmenu" for k in range(9)] + ["a\nother"]
+    units = [0] * 12 + list(range(1, 11))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    named = spark.createDataFrame(list(zip(range(22), units, strict=True)), "id long, unit long")
+    idents = docs.select(row_identity("doc_id", "text").alias("ident"), "doc_id").join(named, F.col("doc_id") == F.col("id"))
+    assert found(line_dedup(docs, units=idents.select("ident", "unit"))) == expected(texts, 10, units=units)
+    assert [t for t, _, _ in expected(texts, 10, units=units)][:2] == ["a\nb"] * 2

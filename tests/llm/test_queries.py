@@ -73,7 +73,8 @@ def test_pipeline_against_plain_code(spark):
 
     # language: no document of these tables is without letters, none is rejected
     ids = list(rows)
-    texts = [t for t, _, _ in test_line_dedup.expected([rows[i]["text"] for i in ids], 10)]
+    copies = test_ngram_join.expected([(i, rows[i]["text"]) for i in ids])
+    texts = [t for t, _, _ in test_line_dedup.expected([rows[i]["text"] for i in ids], 10, units=[c[0] for c in copies])]
     cut = dict(zip(ids, texts, strict=True))
     groups = test_ngram_join.expected([(i, cut[i]) for i in ids])
     kept = [i for i, g in zip(ids, groups, strict=True) if g[0] == i]
@@ -106,3 +107,22 @@ def test_stages_take_awkward_and_empty_tables(spark):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, spark.createDataFrame([], DOCS), "").count() == 0, name
         assert stage(spark, awkward_docs, "").count() > 0, name
+
+
+def _through_the_copies(spark, texts):
+    """What the line and the copy stage leave of English texts."""
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], DOCS)
+    for stage in (corpus_pipeline.drop_shared_lines, corpus_pipeline.keep_one_of_each):
+        docs = stage(spark, docs, "")
+    return {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+@pytest.mark.parametrize("changed", [0, 1])
+def test_a_text_of_twelve_copies_comes_out_whole(spark, changed):
+    lines = [" ".join(f"w{k}x{j}" for j in range(9)) for k in range(20)]
+    near = [lines[:k] + [lines[k] + f" v{k}" * changed] + lines[k + 1 :] for k in range(12)]
+    others = [[f"{word}{k} is a text of its own" for word in ("one", "two", "three")] for k in range(12)]
+    texts = ["\n".join([*own, "the footer of all pages"]) for own in near + others]
+    kept = _through_the_copies(spark, texts)
+    assert set(kept) == {0, *range(12, 24)}
+    assert kept[0] == "\n".join(near[0]) and kept[12] == "\n".join(others[0])
