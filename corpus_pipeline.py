@@ -13,35 +13,52 @@ from eventmart.llm.common import written
 from eventmart.llm.language_id import accepted, language_id
 from eventmart.llm.line_dedup import line_dedup
 from eventmart.llm.mixing import mix
-from eventmart.llm.ngram_join import one_of_each
+from eventmart.llm.ngram_join import groups_of, one_of_each
 from eventmart.llm.pieces import encode
 from eventmart.llm.queries import PIECE_MODEL
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; those it rejects, and texts without letters, go."""
+    """Documents whose language is known; those it rejects, and texts without letters (null and empty ones too), go.
+
+    Repeated rows and null ids are rows like others. An empty table stays empty.
+    """
     found = language_id(docs).select("lang_pred", "score", F.struct(*docs.columns).alias("row"))
     return accepted(found).select("row.*")
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten or more of them share; ``n_chars`` follows the text."""
-    cut = line_dedup(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    """Documents without the lines that ten or more texts share; ``n_chars`` follows the text.
+
+    Copies and near copies of one text count as one, or each of their lines would be shared
+    and nothing of a text with ten copies would be left for the next stage to keep. Null text becomes
+    empty; repeated rows are copies. An empty table stays empty.
+    """
+    cut = line_dedup(docs, units=written(groups_of(docs), "copies")).withColumn("n_chars", F.char_length("text").cast("long"))
     return cut.select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, the one of the smallest id; null ids come last.
+
+    Empty texts are copies of one another. An empty table stays empty.
+    """
     return one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the weights of their sources ask for."""
+    """Documents as often as the weights of their sources ask for.
+
+    Null is a source of its own; documents of a source without words go. An empty table stays empty.
+    """
     return mix(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the pieces of their text, and whether these give the text back."""
+    """Documents with the pieces of their text, and whether these give the text back.
+
+    Null and empty texts have no piece; null text comes back as it is. An empty table stays empty.
+    """
     coded = encode(docs, PIECE_MODEL, round_trip="round_trip")
     return coded.select("doc_id", "lang", "source", "n_chars", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
