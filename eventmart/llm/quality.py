@@ -11,6 +11,7 @@ fitted on rows that the network has not seen.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,10 @@ from eventmart.llm.learning import labelled_sample, training_labels
 
 runs_on_executors(__name__)
 
-SLOTS = 1 << 14
+#: Hash slots of cores and of forms; the table of their vectors has a fixed size.
+CORES = 1 << 18
+FORMS = 1 << 14
+SLOTS = CORES + FORMS
 DIMENSIONS = 24
 ONES = 4
 TRAINING_ROWS = 12_000
@@ -36,6 +40,7 @@ SEED = 7
 PART_CHARS = 4_000_000
 
 
+@cache
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of the ones of each slot's index vector."""
     rng = np.random.default_rng(SEED)
@@ -69,9 +74,9 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     forms = pd.util.hash_array(case + marks.to_numpy(zero_copy_only=False).astype(object))
     same = np.zeros(len(codes), np.uint64)
     same[1:] = (codes[1:] == codes[:-1]) & (at[1:] == at[:-1])
-    form = (forms[codes] * np.uint64(2) + same) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(50)
+    form = (forms[codes] * np.uint64(2) + same) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(50)  # 14 bits
     full = pc.binary_length(own).to_numpy(zero_copy_only=False)[codes] > 0  # an empty text has one empty word
-    return at[full], (cores % SLOTS).astype(np.int64)[codes][full], form.astype(np.int64)[full]
+    return at[full], (cores % CORES).astype(np.int64)[codes][full], CORES + form.astype(np.int64)[full]
 
 
 def neighbours(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -91,12 +96,13 @@ def neighbours(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places, signs = index_vectors()
-    total = np.zeros(SLOTS * DIMENSIONS)
+    total = np.zeros(SLOTS * DIMENSIONS, np.int32)
+    signs = signs.astype(np.int32)
     for batch in batches:
         for part in parts(batch.column(0).to_pylist()):
             for slot, near in neighbours(part):
                 for k in range(ONES):
-                    total += np.bincount(slot * DIMENSIONS + places[near, k], signs[near, k], len(total))
+                    np.add.at(total, slot * DIMENSIONS + places[near, k], signs[near, k])
     table = total.reshape(SLOTS, DIMENSIONS).astype(np.int64)
     found = np.flatnonzero(table.any(1))
     columns = [pa.array(found), *(pa.array(table[found, k]) for k in range(DIMENSIONS))]
@@ -125,8 +131,8 @@ def word_vectors(docs: DataFrame, text: str) -> np.ndarray:
 def pooled(texts: list, vectors: np.ndarray) -> np.ndarray:
     """Per text the means of its words' core vectors, form vectors and form index vectors."""
     places, signs = index_vectors()
-    index = np.zeros((SLOTS, DIMENSIONS), np.float32)
-    np.put_along_axis(index, places, signs.astype(np.float32), axis=1)
+    index = np.zeros((FORMS, DIMENSIONS), np.float32)
+    np.put_along_axis(index, places[CORES:], signs[CORES:].astype(np.float32), axis=1)
     out = [np.zeros((0, 3 * DIMENSIONS), np.float32)]
     for part in parts(texts):
         at, core, form = words(part)
@@ -134,7 +140,7 @@ def pooled(texts: list, vectors: np.ndarray) -> np.ndarray:
         if len(at):
             first = np.flatnonzero(np.diff(at, prepend=-1))
             count = np.diff(first, append=len(at))[:, None]
-            for k, own in enumerate((vectors[core], vectors[form], index[form])):
+            for k, own in enumerate((vectors[core], vectors[form], index[form - CORES])):
                 mean[at[first], k * DIMENSIONS : (k + 1) * DIMENSIONS] = np.add.reduceat(own, first) / count
         out.append(mean)
     return np.concatenate(out)
