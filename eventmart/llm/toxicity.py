@@ -1,9 +1,11 @@
 """Toxicity scoring with a weighted pattern grammar.
 
-A clause is read by a chain of finite-state transducers, each of which passes the words on
-with a weight: the lexicon marks insults and threats with weights learnt from labelled
-clauses, negation weakens what it governs, a target near by strengthens it, reported speech
-weakens what follows. The chain is composed into one machine whose states are made when first
+A word is read by two transducers over its characters: one for threats, stems followed by the endings
+of their paradigm, and one for insults, whose words, word beginnings and weights are learnt from
+labelled clauses. Each gives the word's symbol and weight. A clause of such symbols is read by a chain
+of transducers, each of which passes them on with a weight: negation weakens what it governs, a
+target near by strengthens it, reported speech weakens what follows. How much they do is
+chosen on the labelled sample. All machines are determinised or composed as far as they are
 needed. A document's score comes from its matched clauses, not from single words: those with a
 learnt word, and those in which a threat is aimed at a target and not negated, learnt or not.
 """
@@ -38,14 +40,113 @@ LEXICON_SIZE = 20_000
 NEGATIONS = "not no never nor neither isn aren wasn don doesn didn nicht nie kein keine pas jamais ni nunca jamás".split()
 TARGETS = "you your yours yourself u ur they them their he him his she her du dich dir dein euch tu toi te vous votre usted ustedes".split()
 REPORTS = "said says say called calls wrote claims claimed told quoted sagte sagt schrieb dit disait dijo dice llamó".split()
-THREATS = "kill hurt beat destroy murder shoot stab burn töten umbringen tuer frapper matar golpear".split()
+ENDINGS = {
+    "English": ["", "s", "ed", "ing"],
+    "German": "e st est t et en end te ten test".split(),
+    "French": "er e es ons ez ent é ée és ées ait aient erai eras era erons erez eront ant".split(),
+    "Spanish": "ar o as a amos an é ó aste aron aba aban aré arás ará arán ando ado".split(),
+}
+#: Stems of threats with the endings that they take.
+THREAT_STEMS = {
+    "English": "kill hurt beat destroy murder shoot stab burn".split(),
+    "German": "töt umbring schlag".split(),
+    "French": "tu frapp".split(),
+    "Spanish": "mat golpe".split(),
+}
+#: Forms that no paradigm has.
+THREAT_FORMS = "beaten shot stabbed stabbing burnt umgebracht schlägst schlägt geschlagen getötet".split()
 
-VERBS = frozenset(THREATS)
+#: Threats count little beside insults; what those without one count is learnt, as a feature of their own.
+THREAT_WEIGHT = 0.5
+#: Loss that another weight of an arc must spare; words whose reading is remembered.
+LEAST_GAIN = 1e-3
+MOST_KNOWN = 200_000
 
+THREATENING = re.compile("|".join([*(stem for stems in THREAT_STEMS.values() for stem in stems), *THREAT_FORMS]))
 CLAUSE = re.compile(r"[.!?;:\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
+class Spelling:
+    """A transducer from a word's characters to a symbol's weight: arcs may share characters and cross paths.
+
+    ``*`` is any character. States are sets of its own, made when first needed. Of several
+    ways to read a word the one of the highest rank, then weight, counts.
+    """
+
+    def __init__(self):
+        self.arcs: dict[tuple[int, str], set[int]] = {}
+        self.ends: dict[int, tuple[int, float]] = {}
+        self.size = 1
+        self.known: dict[tuple[frozenset, str], frozenset] = {}
+        self.read: dict[str, float] = {}
+
+    def path(self, start: int, chars: str) -> int:
+        """The state after ``chars``; what is not there yet is added."""
+        for c in chars:
+            after = self.arcs.setdefault((start, c), set())
+            if not after:
+                after.add(self.size)
+                self.size += 1
+            start = min(after)
+        return start
+
+    def word(self, form: str, weight: float, start: int = 0) -> None:
+        at = self.path(start, form)
+        self.ends[at] = max(self.ends.get(at, (0, 0.0)), (1, weight))
+
+    def beginning(self, form: str, weight: float) -> None:
+        """All longer words that begin so."""
+        more = self.size
+        self.size += 1
+        self.arcs.setdefault((self.path(0, form), "*"), set()).add(more)
+        self.arcs[more, "*"] = {more}
+        self.ends[more] = (0, weight)
+
+    def weight(self, word: str) -> float:
+        """The weight of a word, 0 if it cannot be read."""
+        found = self.read.get(word)
+        if found is None:
+            states = frozenset((0,))
+            for c in word:
+                after = self.known.get((states, c))
+                if after is None:
+                    after = frozenset().union(*(self.arcs.get((s, x), ()) for s in states for x in (c, "*")))
+                    self.known[states, c] = after
+                states = after
+                if not states:
+                    break
+            found = max((self.ends[s] for s in states if s in self.ends), default=(0, 0.0))[1]
+            if len(self.read) > MOST_KNOWN:
+                self.read, self.known = {}, {}
+            self.read[word] = found
+        return found
+
+
+def threat_words() -> Spelling:
+    """Stems, each followed by the endings of its language."""
+    machine = Spelling()
+    for language, stems in THREAT_STEMS.items():
+        for stem in stems:
+            at = machine.path(0, stem)
+            for ending in ENDINGS[language]:
+                machine.word(ending, THREAT_WEIGHT, at)
+    for form in THREAT_FORMS:
+        machine.word(form, THREAT_WEIGHT)
+    return machine
+
+
+def insult_words(weights: dict[str, float]) -> Spelling:
+    """Learnt words and word beginnings (``abcd*``) with their weights."""
+    machine = Spelling()
+    for form, weight in weights.items():
+        if form.endswith("*"):
+            machine.beginning(form[:-1], weight)
+        else:
+            machine.word(form, weight)
+    return machine
+
+
 class Transducer:
     """Arcs by (state, symbol): next state, symbol passed on, weight. ``*`` is any other symbol."""
 
@@ -77,6 +178,7 @@ class Composed:
 
 
 HIT = ("insult", "threat")
+FEATURES = 5
 
 
 def negation(reach: int = 3, weight: float = 0.4) -> Transducer:
@@ -111,78 +213,105 @@ def reported(weight: float = 0.6) -> Transducer:
     return Transducer({(0, "report"): (1, None, 1.0)} | {(1, hit): (1, "reported " + hit, weight) for hit in hits})
 
 
-def grammar() -> Composed:
-    return Composed(negation(), target(), aim(), reported())
+#: What negation, targets and reported speech do to a weight: the first is taken unless another fits the labels better.
+CHOICES = {"negated": (0.4, 0.1, 0.8), "aimed": (1.5, 1.0, 2.5), "told": (0.6, 0.3, 1.0)}
+DEFAULTS = {name: values[0] for name, values in CHOICES.items()}
+
+
+class Grammar(Composed):
+    """The machines of words and the chain of clauses."""
+
+    def __init__(self, weights: dict[str, float], negated: float, aimed: float, told: float):
+        super().__init__(negation(weight=negated), target(weight=aimed), aim(weight=aimed), reported(told))
+        self.threats, self.insults = threat_words(), insult_words(weights)
 
+    def symbol(self, word: str) -> tuple[str, float]:
+        """A word's symbol, and its learnt weight or that of a threat."""
+        own, threat = self.insults.weight(word), self.threats.weight(word)
+        symbol = "threat" if threat else CLASSES.get(word) or ("insult" if own else "other")
+        return symbol, own or threat
 
-CLASSES = (
-    dict.fromkeys(THREATS, "threat") | dict.fromkeys(REPORTS, "report") | dict.fromkeys(TARGETS, "target") | dict.fromkeys(NEGATIONS, "negation")
-)
 
+def grammar(weights: dict[str, float] | None = None, **choice: float) -> Grammar:
+    return Grammar(weights or {}, **{**DEFAULTS, **choice})
 
-def clause_score(tokens: list[str], weights: dict[str, float], machine: Composed) -> float:
+
+CLASSES = dict.fromkeys(REPORTS, "report") | dict.fromkeys(TARGETS, "target") | dict.fromkeys(NEGATIONS, "negation")
+
+
+def clause_score(tokens: list[str], machine: Grammar) -> float:
     """Sum of the weights of the hits of one clause, as the grammar changes them."""
     state, total = machine.start, 0.0
     for word in tokens:
-        own = _weight(word, weights)
-        symbol = CLASSES.get(word) or ("insult" if own else "other")
+        symbol, own = machine.symbol(word)
         state, _, weight = machine.step(state, symbol)
         if symbol in HIT:
-            total += weight * (own or THREAT_WEIGHT)
+            total += weight * own
     return total
 
 
-def clause_threat(tokens: list[str], machine: Composed) -> float:
+def clause_threat(tokens: list[str], machine: Grammar) -> float:
     """Sum of the weights of the threats of one clause that are aimed at a target and not negated."""
     state, total = machine.start, 0.0
     for word in tokens:
-        state, passed, weight = machine.step(state, CLASSES.get(word, "other"))
+        symbol = "threat" if machine.threats.weight(word) else CLASSES.get(word, "other")
+        state, passed, weight = machine.step(state, symbol)
         if passed.endswith("aimed threat"):
             total += weight
     return total
 
 
-#: Threats count little beside insults; what those without one count is learnt, as a feature of their own.
-THREAT_WEIGHT = 0.5
-
-
-def _weight(word: str, weights: dict[str, float]) -> float:
-    own = weights.get(word)
-    if own is None:
-        own = max((weights.get(word[:n] + "*", 0.0) for n in BEGINNINGS if len(word) > n), default=0.0)
-    return own
-
-
-def matches(text: str | None, weights: dict[str, float], machine: Composed) -> list[float]:
+def matches(text: str | None, machine: Grammar) -> list[float]:
     """Scores of all clauses of a whole text in which a learnt word matches."""
     lower = (text or "").lower()
-    distinct = set(WORD.findall(lower))
-    if not any(_weight(w, weights) for w in distinct):
+    if not any(machine.insults.weight(w) for w in set(WORD.findall(lower))):
         return []
     found = []
     for clause in CLAUSE.split(lower):
         tokens = WORD.findall(clause)
-        if any(_weight(w, weights) for w in tokens):
-            found.append(clause_score(tokens, weights, machine))
+        if any(machine.insults.weight(w) for w in tokens):
+            found.append(clause_score(tokens, machine))
     return found
 
 
-def threats(text: str | None, machine: Composed) -> list[float]:
+def threats(text: str | None, machine: Grammar) -> list[float]:
     """Scores of all clauses of a whole text in which an aimed threat matches, learnt words or not."""
     lower = (text or "").lower()
-    if not any(verb in lower for verb in THREATS):
+    if not THREATENING.search(lower):
         return []
     found = [WORD.findall(clause) for clause in CLAUSE.split(lower)]
-    scores = [clause_threat(tokens, machine) for tokens in found if not VERBS.isdisjoint(tokens)]
+    scores = [clause_threat(tokens, machine) for tokens in found if any(machine.threats.weight(w) for w in tokens)]
     return [x for x in scores if x]
 
 
-def features(text: str | None, weights: dict[str, float], machine: Composed) -> list[float]:
-    found, aimed = matches(text, weights, machine), threats(text, machine)
+def features(text: str | None, machine: Grammar) -> list[float]:
+    found, aimed = matches(text, machine), threats(text, machine)
     own = [1.0, max(found), math.log1p(sum(found)), len(found) / (1 + len(CLAUSE.findall(text)))] if found else [0.0] * 4
     return [*own, math.log1p(sum(aimed))]
 
 
+def variants(weights: dict[str, float]) -> list[Grammar]:
+    """The grammar as it is, then with each other choice alone."""
+    return [grammar(weights)] + [grammar(weights, **{name: v}) for name, values in CHOICES.items() for v in values[1:]]
+
+
+def chosen_arcs(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, float]:
+    """Of each arc's weights the one under which the regression fits best; ``x`` holds all variants' features."""
+
+    def loss(own: np.ndarray) -> float:
+        p = np.clip(_sigmoid(own, train(own, y, weight)), 1e-9, 1 - 1e-9)
+        return -float((weight * np.where(y == 1, np.log(p), np.log(1 - p))).sum() / weight.sum())
+
+    losses = [loss(x[:, k]) for k in range(x.shape[1])]
+    out, at = dict(DEFAULTS), 1
+    for name, values in CHOICES.items():
+        best = min(range(1, len(values)), key=lambda k: losses[at + k - 1])
+        if losses[at + best - 1] < losses[0] - LEAST_GAIN:
+            out[name] = values[best]
+        at += len(values) - 1
+    return out
+
+
 def lexicon(sample: DataFrame) -> dict[str, float]:
     """Words and word beginnings (``abcd*``) with their log-odds, from rows (text, label).
 
@@ -225,6 +354,10 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, *, rounds: int = 30)
     return b
 
 
+def _sigmoid(x: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ b[:-1] + b[-1], -30, 30)))
+
+
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -252,32 +385,41 @@ def toxicity(
     if len(kinds) == 2:
         weights = context.broadcast(lexicon(sample))
 
-        @F.arrow_udf("array<double>")
-        def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            machine = grammar()
-            for batch in texts:
-                yield pa.array([features(x, weights.value, machine) for x in batch.to_pylist()], pa.list_(pa.float64()))
-
-        pools = sample.select("key", "label", "weight", found("text").alias("x"))
-        # of rows with the same id one is learnt from
-        rows = sorted(pools.groupBy("key", "label", "weight").agg(F.min("x").alias("x")).collect())
-        if rows:
-            x = np.array([r["x"] for r in rows])
-            model = (weights.value, train(x, np.array([r["label"] for r in rows]), np.array([r["weight"] for r in rows])))
+        def pools(made) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Features, labels and weights of the sample; of rows with the same id one is learnt from."""
+
+            @F.arrow_udf("array<double>")
+            def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+                machines = made()
+                for batch in texts:
+                    yield pa.array([[v for m in machines for v in features(x, m)] for x in batch.to_pylist()], pa.list_(pa.float64()))
+
+            rows = sample.select("key", "label", "weight", found("text").alias("x")).groupBy("key", "label", "weight").agg(F.min("x").alias("x"))
+            rows = sorted(rows.collect())
+            x = np.array([r["x"] for r in rows]).reshape(len(rows), -1, FEATURES)
+            return x, np.array([r["label"] for r in rows]), np.array([r["weight"] for r in rows])
+
+        x, y, weight = pools(lambda: variants(weights.value))
+        if len(x):
+            arcs = chosen_arcs(x, y, weight)
+            if arcs != DEFAULTS:
+                x, y, weight = pools(lambda: [grammar(weights.value, **arcs)])
+            model = (weights.value, arcs, train(x[:, 0], y, weight))
         else:
             model = 0.5
     sent = context.broadcast(model)
 
     @F.arrow_udf("double")
     def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        machine = grammar()
-        for batch in texts:
-            if isinstance(sent.value, float):
+        if isinstance(sent.value, float):
+            for batch in texts:
                 yield pa.array(np.full(len(batch), sent.value))
-                continue
-            weights, b = sent.value
-            x = np.array([features(t, weights, machine) for t in batch.to_pylist()]).reshape(-1, len(b) - 1)
-            yield pa.array(1 / (1 + np.exp(-np.clip(x @ b[:-1] + b[-1], -30, 30))))
+            return
+        weights, arcs, b = sent.value
+        machine = grammar(weights, **arcs)
+        for batch in texts:
+            x = np.array([features(t, machine) for t in batch.to_pylist()]).reshape(-1, FEATURES)
+            yield pa.array(_sigmoid(x, b))
 
     whole = docs.select(packed(docs).alias("row"), held_out(doc_id, *HELD_OUT).alias("held"), scored(field(text).cast("string")).alias("p"))
     return unpacked(

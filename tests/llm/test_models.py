@@ -123,10 +123,10 @@ def test_sample_is_bounded_balanced_and_repeatable(spark):
 
 
 def test_grammar_weighs_clauses():
-    weights = {"idiot": 2.0, "vequ*": 3.0}
+    machine = tox.grammar({"idiot": 2.0, "vequ*": 3.0})
 
     def score(clause):
-        return tox.clause_score(clause.split(), weights, tox.grammar())
+        return tox.clause_score(clause.split(), machine)
 
     plain = score("some idiot here")
     assert plain == 2.0 and score("calm words") == 0
@@ -135,7 +135,7 @@ def test_grammar_weighs_clauses():
     assert score("vequance") == 3.0 and score("vequ") == 0  # a beginning needs more behind it
     assert score("not one two three idiot") == plain  # out of reach
     assert score("i will kill you idiot") > plain
-    assert tox.matches("Calm. You idiot! Not an idiot; fine", weights, tox.grammar()) == [score("you idiot"), score("not an idiot")]
+    assert tox.matches("Calm. You idiot! Not an idiot; fine", machine) == [score("you idiot"), score("not an idiot")]
 
 
 def test_aimed_threats_match_without_learnt_words():
@@ -147,13 +147,16 @@ def test_aimed_threats_match_without_learnt_words():
     assert 0 < score("she said I will kill you") < plain < score("I will kill you. You! I beat them")
     assert score("the frost will kill crops") == score("I will never kill you") == score("you are skilled") == score(None) == 0
     assert score("kill one two three four you") == 0  # out of reach
-    assert tox.features("I will kill you", {}, tox.grammar()) != tox.features("frost will kill crops", {}, tox.grammar())
+    assert tox.features("I will kill you", tox.grammar()) != tox.features("frost will kill crops", tox.grammar())
+    for said in ("he killed them", "killing you", "er schlägt dich", "ich töte euch", "te mataré", "je te frapperai", "they shot him"):
+        assert score(said) > 0, said
+    assert score("tu es you") == score("my mat for you") == score("a skill you have") == 0
 
 
 def test_threats_of_held_out_documents_without_learnt_words(spark):
     """Verbs that are as usual in clean texts are no learnt words; only their target tells."""
     kinds = [("tonight I will {} you", 1), ("tonight frost will {} crops", 0), ("I will see you tonight", 0), ("I will never {} you tonight", 0)]
-    verbs = tox.THREATS[:8]
+    verbs = tox.THREAT_STEMS["English"]
     rows = [(k, kinds[k % 4][0].format(verbs[k // 4 % 8]), kinds[k % 4][1]) for k in range(480)]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
@@ -162,6 +165,51 @@ def test_threats_of_held_out_documents_without_learnt_words(spark):
     assert all(y == predicted for y, _, predicted in held)
 
 
+def test_machines_of_words_read_what_they_hold_and_nothing_else():
+    forms = {stem + e for k, stems in tox.THREAT_STEMS.items() for stem in stems for e in tox.ENDINGS[k]} | set(tox.THREAT_FORMS)
+    machine = tox.threat_words()
+    rng = np.random.default_rng(3)
+    near = {f[:k] + c + f[k + d :] for f in forms for k in range(len(f) + 1) for c in ("", "e", "t") for d in (0, 1)}
+    assert {w for w in near | forms if machine.weight(w)} == forms
+    weights = {"ab": 1.0, "abc": 0.5, "ab*": 2.0, "abcd*": 3.0, "b*": 0.25, "é": 4.0}
+    learnt = tox.insult_words(weights)
+    for _ in range(2000):
+        word = "".join(rng.choice(list("abcdé"), rng.integers(0, 7)))
+        want = weights.get(word) or max((v for k, v in weights.items() if k[-1] == "*" and word.startswith(k[:-1]) and len(word) >= len(k)), default=0)
+        assert learnt.weight(word) == want, word
+
+
+def test_composition_equals_the_chain_one_after_the_other():
+    """Every machine reads the whole clause that the one before has written."""
+    rng = np.random.default_rng(5)
+    machine = tox.grammar()
+    for _ in range(500):
+        symbols = rng.choice(["insult", "threat", "negation", "target", "report", "other"], rng.integers(1, 15)).tolist()
+        tape, product = list(symbols), np.ones(len(symbols))
+        for single in machine.chain:
+            state, written = 0, []
+            for k, symbol in enumerate(tape):
+                state, out, weight = single.step(state, symbol)
+                written.append(out)
+                product[k] *= weight
+            tape = written
+        state, got, weights = machine.start, [], []
+        for symbol in symbols:
+            state, out, weight = machine.step(state, symbol)
+            got.append(out)
+            weights.append(weight)
+        assert got == tape and weights == pytest.approx(product.tolist())
+
+
+def test_arcs_are_chosen_by_the_labels():
+    rng = np.random.default_rng(6)
+    y = np.arange(400) % 2
+    x = rng.normal(size=(400, 1 + sum(len(v) - 1 for v in tox.CHOICES.values()), tox.FEATURES))
+    assert tox.chosen_arcs(np.repeat(x[:, :1], x.shape[1], 1), y, np.ones(400)) == tox.DEFAULTS
+    x[:, 4, 1] += 3 * y  # the second other weight of "aimed"
+    assert tox.chosen_arcs(x, y, np.ones(400))["aimed"] == tox.CHOICES["aimed"][2]
+
+
 def test_word_vectors_add_up_over_tasks(spark):
     docs = spark.createDataFrame([(k, f"a b c{k % 3} d e {k}") for k in range(60)], "doc_id long, text string")
     one, many = qual.word_vectors(docs.coalesce(1), "text"), qual.word_vectors(docs.repartition(6), "text")
