@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -62,3 +63,21 @@ def test_colliding_digests_get_another_salt(spark, monkeypatch):
     monkeypatch.setattr(module, "_digest", lambda block, salt: whole(block.substr(1, 1) if salt == 0 else block, salt))
     rows = [(1, "aa"), (2, "ab"), (3, "aa")]
     assert found(exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"))) == expected(rows)
+
+
+def test_blocks_of_characters_beyond_the_basic_plane(spark):
+    texts = ["🙂é漢 \x85x" * 5, "🙂é漢 \x85x" * 4 + "🙂é漢 \x85y", "🙂", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for size in (1, 4, 7):
+        cut = docs.select("doc_id", module._blocks(docs["text"], size).alias("b")).orderBy("doc_id").collect()
+        assert [r["b"] for r in cut] == [[t[k : k + size] for k in range(0, len(t), size)] or [""] for t in texts]
+
+
+def test_texts_of_many_million_characters(spark):
+    """A text is cut in one pass, so its time grows with its length only."""
+    rows = [(k, 3_000_000 + k % 2) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, n int").selectExpr("doc_id", "repeat('some words of it ', n) AS text")
+    started = time.monotonic()
+    kept = exact_dedup(docs, carry=[]).where("kept").select("doc_id", "group_size").collect()
+    assert sorted(map(tuple, kept)) == [(0, 2), (1, 2)]
+    assert time.monotonic() - started < 120
