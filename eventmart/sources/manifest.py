@@ -7,9 +7,12 @@ driver. Manifests of other writers, with the entries in an array ``files``, are
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +34,58 @@ def _relative(spark: SparkSession, root: str) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
+def _long_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(uri, sha256) of text files of any length.
+
+    A digest reads a file from its start to its end, so its lines, in the order of their blocks,
+    meet in one task, sorted on disk and hashed batch by batch. Line feeds are put back; a
+    byte order mark that the reader takes off is told from the size of the file.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def finished():
+            for mark, state in states.items():
+                missing = size - len(mark) - length
+                if missing in (0, 1):
+                    state.update(b"\n" * missing)
+                    return pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([state.hexdigest()])], ["uri", "sha256"])
+            raise RuntimeError(f"{uri}: {length} of {size} bytes were read")
+
+        uri, size, length, states = None, 0, 0, {}
+        for batch in batches:
+            uris = batch.column("uri").to_pylist()
+            at = 0
+            while at < len(uris):
+                end = at + 1
+                while end < len(uris) and uris[end] == uris[at]:
+                    end += 1
+                if uris[at] != uri:
+                    if uri is not None:
+                        yield finished()
+                    uri, size, length = uris[at], batch.column("size")[at].as_py(), -1
+                    states = {mark: hashlib.sha256(mark) for mark in (b"", b"\xef\xbb\xbf")}
+                text = b"\n".join(batch.column("line").slice(at, end - at).to_pylist())
+                text = text if length < 0 else b"\n" + text
+                length = max(length, 0) + len(text)
+                for state in states.values():
+                    state.update(text)
+                at = end
+        if uri is not None:
+            yield finished()
+
+    place = [F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")]
+    size = F.col("_metadata.file_size").alias("size")
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    lines = lines.select(F.col("_metadata.file_path").alias("uri"), *place, size, F.col("value").cast("binary").alias("line"))
+    sorted_lines = lines.repartition("uri").sortWithinPartitions("uri", "block", "at").select("uri", "size", "line")
+    return sorted_lines.mapInArrow(hashed, "uri string, sha256 string")
+
+
 def measure(spark: SparkSession, root: str) -> DataFrame:
     """Path, row count and SHA-256 of every data file below ``root/raw``.
 
-    Rows are counted from a splittable text scan with one partial count per task.
-    A digest needs its whole file in one row, so a file of 2 GiB or more is refused.
+    Rows are counted from a splittable text scan with one partial count per task. A file
+    below 2 GiB is one row when its digest is made, a longer one is read by lines.
     """
     folders = [f"{root}/raw/{kind}" for kind in KINDS if files.exists(spark, f"{root}/raw/{kind}")]
     text = spark.read.option("recursiveFileLookup", True).text(folders)
@@ -45,14 +95,13 @@ def measure(spark: SparkSession, root: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     binary = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
-    too_long = F.col("length") > MOST_FILE_BYTES
-    binary = binary.where(F.when(too_long, F.raise_error(F.lit("a file is too long for its digest"))).otherwise(True))
-    digests = binary.select(
-        F.col("_metadata.file_path").alias("uri"),
-        _relative(spark, root).alias("path"),
-        F.sha2("content", 256).alias("sha256"),
-    )
-    joined = digests.join(counts, "uri", "left")
+    fits = F.col("length") <= MOST_FILE_BYTES
+    found = binary.select(F.col("_metadata.file_path").alias("uri"), _relative(spark, root).alias("path"), "length")
+    digests = binary.where(fits).select(F.col("_metadata.file_path").alias("uri"), F.sha2("content", 256).alias("sha256"))
+    long = [r["path"] for r in binary.where(~fits).select("path").collect()]  # the names of long files only
+    if long:
+        digests = digests.unionAll(_long_digests(spark, long))
+    joined = found.join(digests, "uri").join(counts, "uri", "left")
     return joined.select("path", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "sha256")
 
 
