@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,8 @@ QUERY_ROWS = 1024
 SAMPLE_ROWS = 8192
 MOST_CELLS = 1024
 LEAF_ROWS = 64
+#: Lists of results that are merged in one row.
+MERGED = 64
 SEED = 11
 #: Share of the squared length that rounding may add to a squared distance.
 SLACK = 1e-9
@@ -251,10 +253,12 @@ def nearest(
 
     queries = usable.where("asked").groupBy("id").agg(F.min("x").alias("x")).select(F.col("id").alias("query_id"), F.col("x").alias("q"))
     queries = written(queries.withColumn("qp", project_query("q")), "queries")
-    deal = small_frame(spark, [(c, s) for c, s in shards.items()], "cell long, shards long")  # MOST_CELLS rows at most
+    starts = np.cumsum([0, *shards.values()]).tolist()
+    # MOST_CELLS rows at most
+    deal = small_frame(spark, [(c, s, at) for (c, s), at in zip(shards.items(), starts, strict=False)], "cell long, shards long, start long")
 
     def visit(asking: DataFrame, first_only: bool) -> DataFrame:
-        """(query_id, vec_id, score): each query's best of every shard it reaches."""
+        """(query_id, part, best): each query's best of every shard it reaches."""
         wide = asking.withColumn("cell", F.explode(reached("qp", "worst"))).join(F.broadcast(deal), "cell")
         busy = [(r["cell"], -(-r["n"] // QUERY_ROWS)) for r in wide.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()]
         blocks = small_frame(spark, busy, "cell long, blocks long")
@@ -262,8 +266,8 @@ def nearest(
         wide = wide.join(F.broadcast(blocks), "cell").select(
             "query_id", "q", "qp", "worst", "cell",
             F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("shard"),
-            F.pmod(F.xxhash64("query_id"), "blocks").alias("block"),
-        )
+            F.pmod(F.xxhash64("query_id"), "blocks").alias("block"), "start",
+        ).withColumn("part", F.col("start") + F.col("shard"))
         shard = F.pmod(F.xxhash64("row"), "shards").alias("shard")
         held = indexed.join(F.broadcast(deal), "cell").join(F.broadcast(blocks), "cell").select(
             "id", "x", "p", "cell", shard, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
@@ -273,28 +277,36 @@ def nearest(
 
         def best(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
             if not len(rows) or not len(asks):
-                return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                return pd.DataFrame({"query_id": [], "part": [], "best": []})
             worst = asks["worst"].to_numpy(float)
             ids, scores = search(
                 np.stack(rows["x"]), rows["id"].to_numpy(), np.stack(rows["p"]), np.stack(asks["q"]), asks["query_id"].to_numpy(),
                 np.stack(asks["qp"]), np.where(np.isnan(worst), np.inf, worst), longest, limit, k,
             )
-            who, at = np.nonzero(scores > -np.inf)
-            return pd.DataFrame({"query_id": asks["query_id"].to_numpy()[who], "vec_id": ids[who, at], "score": scores[who, at]})
+            lists = [[{"away": -s, "id": i} for s, i in zip(a, b, strict=True) if s > -np.inf] for a, b in zip(scores, ids, strict=True)]
+            return pd.DataFrame({"query_id": asks["query_id"], "part": asks["part"], "best": lists})
 
         keys = ["cell", "shard", "block"]
-        return held.groupBy(*keys).cogroup(wide.groupBy(*keys)).applyInPandas(best, "query_id long, vec_id long, score double")
-
-    # Spark keeps k rows of a query in each task before the shuffle (a group limit), then merges these.
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-
-    def ranked(found: DataFrame) -> DataFrame:
-        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return held.groupBy(*keys).cogroup(wide.groupBy(*keys)).applyInPandas(best, "query_id long, part long, best array<struct<away: double, id: long>>")
+
+    def merged(found: DataFrame) -> DataFrame:
+        """(query_id, best): the k best of all parts; no row ever holds the lists of more than ``MERGED`` parts."""
+        left = sum(shards.values())
+        while True:
+            best = F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best")
+            found = found.groupBy("query_id", F.floor(F.col("part") / MERGED).alias("part")).agg(best)
+            left = -(-left // MERGED)
+            if left <= 1:
+                return found.select("query_id", "best")
 
     base = F.aggregate("q", F.lit(longest**2), lambda a, v: a + v * v)
-    first = ranked(visit(queries.withColumn("worst", F.lit(None).cast("double")), True))
-    known = written(first.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth")), "bounds")
+    first = visit(queries.withColumn("worst", F.lit(None).cast("double")), True)
+    kth = -F.get("best", F.lit(k - 1))["away"]
+    known = written(first.groupBy("query_id").agg(F.max(F.when(F.size("best") >= k, kth)).alias("kth")), "bounds")
     bounded = queries.join(known, "query_id", "left").withColumn(
         "worst", F.when(F.col("kth").isNull(), float("inf")).otherwise(F.greatest(F.lit(0.0), base - 2 * F.col("kth")))
     )
-    return ranked(visit(bounded, False)).select("query_id", "rank", "vec_id", "score").to(T.StructType.fromDDL(schema))
+    ranked = merged(visit(bounded, False)).select("query_id", F.posexplode("best").alias("place", "hit"))
+    return ranked.select(
+        "query_id", (F.col("place") + 1).alias("rank"), F.col("hit.id").alias("vec_id"), (-F.col("hit.away")).alias("score")
+    ).to(T.StructType.fromDDL(schema))

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eventmart.llm import neighbours as module
 from eventmart.llm.neighbours import cell_of, chi_square, nearest, split, top_tree
 
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -90,3 +91,19 @@ def test_trees_hold_every_point_once():
     nodes = top_tree(points, 30, 16)
     cells = cell_of(points, nodes)
     assert len(nodes) + 1 >= len(set(cells)) > 4 and len(set(cells[:200])) == 1
+
+
+def test_lists_are_merged_in_levels(spark, monkeypatch):
+    """More shards than are merged at once: the result does not change."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.standard_normal((900, 4)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    once = sorted(map(tuple, nearest(table, F.col("vec_id") % 20 == 0, shard_rows=30, certainty=0.9999).collect()))
+    monkeypatch.setattr(module, "MERGED", 2)
+    assert once == sorted(map(tuple, nearest(table, F.col("vec_id") % 20 == 0, shard_rows=30, certainty=0.9999).collect()))
+    x = np.array([r[1] for r in rows])
+    hits = 0
+    for q in range(0, 900, 20):
+        order = sorted((-float(np.float64(x[q] @ x[i])), i) for i in range(900) if i != q)[:20]
+        hits += len({i for _, i in order} & {r[2] for r in once if r[0] == q})
+    assert hits >= 0.99 * 45 * 20
