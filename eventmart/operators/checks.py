@@ -398,22 +398,12 @@ def gate_summary(results: DataFrame) -> DataFrame:
 def run_checks(tables: Tables, layer: str, window: DateWindow | None = None) -> list[dict]:
     """Results of a layer on the driver (at most 37 rows), in audit order.
 
-    The checks share one job. If that job fails they are run one by one, so that
-    only the broken ones are reported as errors. A check without a result is an
-    error, never zero failures.
+    The checks share one job. If that job fails, its halves run apart, and so on down to the
+    broken ones, which alone are reported as errors: a few jobs for each of them. A check without
+    a result is an error, never zero failures.
     """
     checks = checks_for(layer, window)
-    try:
-        found = _collected(_measured(tables, checks))
-    except Exception:  # noqa: BLE001 - any engine error must end up in the audit
-        found = {}
-        for position, check in enumerate(checks):
-            try:
-                alone = _collected(_measured(tables, [check]))
-                if 0 in alone:
-                    found[position] = alone[0]
-            except Exception as reason:  # noqa: BLE001
-                found[position] = {"failures": 0, "status": "error", "error": str(reason)}
+    found = _isolated(tables, list(enumerate(checks)))
     lost = {"failures": 0, "status": "error", "error": "no result"}
     results = []
     for position, check in enumerate(checks):
@@ -426,6 +416,18 @@ def run_checks(tables: Tables, layer: str, window: DateWindow | None = None) ->
     return results
 
 
+def _isolated(tables: Tables, numbered: list[tuple[int, Check]]) -> dict[int, dict]:
+    """Results by position; checks that cannot be evaluated have the reason."""
+    try:
+        found = _collected(_measured(tables, [check for _, check in numbered]))
+        return {numbered[k][0]: outcome for k, outcome in found.items()}
+    except Exception as reason:  # noqa: BLE001 - any engine error must end up in the audit
+        if len(numbered) == 1:
+            return {numbered[0][0]: {"failures": 0, "status": "error", "error": str(reason)}}
+    half = len(numbered) // 2
+    return _isolated(tables, numbered[:half]) | _isolated(tables, numbered[half:])
+
+
 def _collected(results: DataFrame) -> dict[int, dict]:
     return {r["position"]: r.asDict() for r in results.collect()}
 

@@ -285,3 +285,13 @@ def test_facts_without_a_repeated_hash_are_not_read_for_uniqueness(clean, spark)
     tables = checks.Tables(tables.stg_raw_events, tables.stg_raw_users, tables.dim_users, unread, tables.fct_hashes)
     check = next(c for c in checks.checks_for("marts") if c.name == "unique_fct_events_event_id")
     assert check.own(tables).collect()[0]["value"] == 0
+
+
+def test_a_broken_check_is_found_by_halves(clean, monkeypatch):
+    exploding = F.when(F.expr(FIRST), F.raise_error(F.lit("boom"))).otherwise(F.col("amount"))
+    tables = checks.Tables(clean.stg_raw_events.withColumn("amount", exploding), clean.stg_raw_users)
+    jobs, collected = [], checks._collected
+    monkeypatch.setattr(checks, "_collected", lambda rows: jobs.append(1) or collected(rows))
+    results = checks.run_checks(tables, "staging")
+    assert [r["name"] for r in results if r["status"] != "pass"] == ["nonnegative_amount_stg_raw_events"]
+    assert len(jobs) <= 1 + 2 * 5  # 17 checks
