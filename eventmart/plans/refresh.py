@@ -68,7 +68,7 @@ def refresh(
 
     with sized_shuffles(lake.spark, _shuffled_bytes(lake, staged), partition_bytes):
         gate(lake, "staging", tables_of(lake, events, users), run_id, window)
-        upsert(lake.dim_users, models.dim_users(users), unique=True)
+        upsert(lake.dim_users, _users_to_write(lake, users, window), unique=True)
         if before_facts:
             before_facts()
         facts = models.fct_events(events, users, window)
@@ -81,6 +81,14 @@ def refresh(
     return document
 
 
+def _users_to_write(lake: Lake, users: DataFrame, window: DateWindow | None) -> DataFrame:
+    """The staged users; in a window run, whose gate lets no known user change, the new ones alone."""
+    staged = models.dim_users(users)
+    if window is None:
+        return staged
+    return staged.join(lake.dim_users.read().select("user_id"), "user_id", "left_anti")
+
+
 def _shuffled_bytes(lake: Lake, staged: str) -> int:
     """Upper estimate of a run's largest shuffle.
 

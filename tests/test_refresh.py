@@ -292,3 +292,13 @@ def test_other_database_is_rejected(published):
         publication.resolve(Lake(lake.spark, lake.root, "other"))
     with pytest.raises(ValueError):
         Lake(lake.spark, lake.root, "Not Valid")
+
+
+def test_a_window_run_writes_new_users_only(spark, lake, sample_events, sample_users):
+    refresh(lake, sample_events, sample_users, "base")
+    before = lake.dim_users.current()
+    extra = sample_users.limit(1).withColumns({"user_id": F.lit("u9"), "email": F.lit("new@example.com")})
+    refresh(lake, sample_events, sample_users.unionByName(extra), "day", window=DAY1)
+    after = lake.dim_users.current()
+    assert set(before.directories) < set(after.directories) and after.rows == before.rows + 1
+    assert sorted(d.rows for d in set(after.directories) - set(before.directories)) == [1]
