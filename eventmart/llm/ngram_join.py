@@ -454,14 +454,6 @@ def ngram_join(
     return rows.select(F.col("id").alias(doc_id), F.col("first.id").alias("class_id"), F.col("least.id").alias("copy_id"), "n_links")
 
 
-def groups_of(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, target: float = TARGET
-) -> DataFrame:
-    """(ident, unit) of every distinct row (see ``row_identity``): rows of one group of near copies have one unit."""
-    rows = _joined(docs, doc_id, text, similarity, target)
-    return rows.groupBy("ident").agg(F.min("first.ident").alias("unit"))
-
-
 def one_of_each(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, target: float = TARGET
 ) -> DataFrame:

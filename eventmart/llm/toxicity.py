@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import LOWER, UPPER, field, held_out, packed, runs_on_executors, unpacked
@@ -324,7 +324,12 @@ def lexicon(sample: DataFrame) -> dict[str, float]:
         .agg(F.min("label").alias("label"))
     )
     own = F.array_distinct(F.regexp_extract_all("clause", F.lit(r"([\p{L}]+)"), 1))
-    starts = [F.transform(F.filter("own", lambda w, n=n: F.char_length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in BEGINNINGS]
+
+    def beginnings(n: int) -> Column:
+        longer = F.filter("own", lambda w: F.char_length(w) > n)
+        return F.transform(longer, lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
+
+    starts = [beginnings(n) for n in BEGINNINGS]
     terms = clauses.select("label", own.alias("own")).select("label", F.explode(F.array_distinct(F.concat("own", *starts))).alias("term"))
     totals = clauses.groupBy().agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     counts = terms.groupBy("term").agg(F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("clean"))

@@ -5,7 +5,7 @@ from plain import CLASHES, awkward, none_of
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import BLANKS, row_identity
-from eventmart.llm.line_dedup import line_dedup
+from eventmart.llm.line_dedup import line_dedup, near_copies
 
 
 def _key(line):
@@ -61,3 +61,32 @@ def test_copies_count_as_one(spark):
     idents = docs.select(row_identity("doc_id", "text").alias("ident"), "doc_id").join(named, F.col("doc_id") == F.col("id"))
     assert found(line_dedup(docs, units=idents.select("ident", "unit"))) == expected(texts, 10, units=units)
     assert [t for t, _, _ in expected(texts, 10, units=units)][:2] == ["a\nb"] * 2
+
+
+def test_groups_of_near_copies_are_one_unit(spark):
+    rng = random.Random(3)
+    texts, group = [], []
+    for g in range(12):
+        base = [f"w{rng.randrange(3000)}" for _ in range(300)]
+        for _ in range(15 if g < 8 else 1):
+            own = list(base)
+            for at in rng.sample(range(300), rng.randrange(4)):
+                own[at] = f"x{rng.randrange(99999)}"
+            own += "the passage of many words that a lot of different texts have in common with one another".split()
+            texts.append(" ".join(own))
+            group.append(g)
+    texts += ["a short text", "a  short\ttext", "a short text too", "", None, " "]
+    group += [12, 12, 13, 14, 14, 14]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    named = docs.select("doc_id", row_identity("doc_id", "text").alias("ident")).join(near_copies(docs), "ident")
+    units = {r["doc_id"]: bytes(r["unit"]) for r in named.collect()}
+    assert len(units) == len(texts)
+    assert len({(units[i], g) for i, g in enumerate(group)}) == len(set(group)) == len(set(units.values()))
+
+
+def test_awkward_rows_have_units(spark):
+    docs = awkward(spark)
+    assert near_copies(docs).count() == docs.select(row_identity("doc_id", "text")).distinct().count()
+    assert near_copies(none_of(spark)).collect() == []
+    plan = near_copies(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan

@@ -201,6 +201,15 @@ def test_composition_equals_the_chain_one_after_the_other():
         assert got == tape and weights == pytest.approx(product.tolist())
 
 
+def test_lexicon_holds_words_and_beginnings_of_fixed_length(spark):
+    """A stem with many endings is learnt as a beginning, of four or five characters wherever the word stands."""
+    endings = [a + b for a in "abcdefghij" for b in "klmnopqrst"]
+    rows = [(f"some plain words come first then grumb{e} it is", 1) for e in endings] + [(f"some plain words come first then {e} it is", 0) for e in endings]
+    learnt = tox.lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert {"grum*", "grumb*"} <= set(learnt) and all(len(k) - 1 in tox.BEGINNINGS for k in learnt if k.endswith("*"))
+    assert tox.grammar(learnt).insults.weight("grumbzz") > 0 == tox.grammar(learnt).insults.weight("plain")
+
+
 def test_arcs_are_chosen_by_the_labels():
     rng = np.random.default_rng(6)
     y = np.arange(400) % 2
@@ -216,6 +225,43 @@ def test_word_vectors_add_up_over_tasks(spark):
     assert np.array_equal(one, many) and np.linalg.norm(one, axis=1).max() <= 1 + 1e-6
 
 
+def plain_quality_features(texts):
+    """Random indexing word by word, in dictionaries."""
+    places, signs = qual.index_vectors()
+    index = {}
+
+    def index_of(slot):
+        if slot not in index:
+            index[slot] = np.zeros(qual.DIMENSIONS)
+            index[slot][places[slot]] = signs[slot]
+        return index[slot]
+
+    read = []
+    for text in texts:
+        _, core, form = qual.words([text or ""])
+        read.append(list(zip(core.tolist(), form.tolist(), strict=True)))
+    context = {}
+    for words in read:
+        for i, (core, form) in enumerate(words):
+            near = [words[j][0] for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < len(words)] + [form]
+            for slot in near:
+                context[core] = context.get(core, 0) + index_of(slot)
+            for slot in [words[j][1] for j in (i - 1, i + 1) if 0 <= j < len(words)] + [core]:
+                context[form] = context.get(form, 0) + index_of(slot)
+    unit = {slot: v / max(np.linalg.norm(v), 1) for slot, v in context.items()}
+    none = np.zeros(3 * qual.DIMENSIONS)
+    return [np.mean([np.concatenate((unit[c], unit[f], index_of(f))) for c, f in words], axis=0) if words else none for words in read]
+
+
+def test_pooled_vectors_equal_a_plain_dictionary(spark):
+    rng = np.random.default_rng(9)
+    vocabulary = ["the", "The", "cat", "cat,", "(sat)", "ON", "mat.", "42", "--", "é", "Straße"]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 30))) for _ in range(60)] + [None, "", " ", "one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    vectors = qual.word_vectors(docs, "text")
+    assert np.allclose(qual.pooled(texts, vectors), plain_quality_features(texts), atol=1e-5)
+
+
 def test_words_of_texts():
     at, core, form = qual.words(["The the, the, (THE)", "", "  ", "x"])
     assert at.tolist() == [0, 0, 0, 0, 3] and len(set(core[:4])) == 1
