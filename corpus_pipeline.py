@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.common import written
 from eventmart.llm.language_id import accepted, language_id
-from eventmart.llm.line_dedup import line_dedup
+from eventmart.llm.line_dedup import line_dedup, near_copies
 from eventmart.llm.mixing import mix
-from eventmart.llm.ngram_join import groups_of, one_of_each
+from eventmart.llm.ngram_join import one_of_each
 from eventmart.llm.pieces import encode
 from eventmart.llm.queries import PIECE_MODEL
 
@@ -34,7 +34,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     and nothing of a text with ten copies would be left for the next stage to keep. Null text becomes
     empty; repeated rows are copies. An empty table stays empty.
     """
-    cut = line_dedup(docs, units=written(groups_of(docs), "copies")).withColumn("n_chars", F.char_length("text").cast("long"))
+    cut = line_dedup(docs, units=near_copies(docs)).withColumn("n_chars", F.char_length("text").cast("long"))
     return cut.select(*docs.columns)
 
 
