@@ -146,7 +146,7 @@ def compact(mart: Mart, window: DateWindow | None = None, file_bytes: int = FILE
         if row:
             sources.append(replace(d, files=tuple(sorted(row["gone"])) if row["kept"] else d.files))
             if row["kept"]:
-                rest.append(replace(d, files=tuple(sorted(row["kept"])), hashed=False))
+                rest.append(replace(d, files=tuple(sorted(row["kept"]))))
     moves = plan.where("moves").select("file_path", "at")
     bins = moves.agg(F.max("at")).first()[0] + 1
     rows = mart.scan(sources, keep_file=True).join(moves, "file_path")

@@ -3,7 +3,6 @@
 Layout below a mart's root::
 
     data/batch=<id>/[event_date=D/]part-*.parquet   written once, never changed
-    keys/batch=<id>/[event_date=D/]part-*.parquet   64-bit hash of each row's key
     snapshots/<n>.json                              the directories a snapshot reads
     refs/main                                       number of the current snapshot
 
@@ -12,9 +11,9 @@ number of (batch, date) directories, not the number of files or rows. Only what
 leaves of a directory is listed by file. One writer at a time is the caller's duty; a lost
 race fails when the manifest is created.
 
-The key hashes are the filter of a directory: eight bytes a row tell whether it can hold one
-of many keys, in one join for all directories (a Bloom filter would have to be asked for
-every key and directory). A hash may hit by chance, so a hit is looked up in the rows.
+Each row is stored with a 64-bit hash of its key, the filter of a directory: this one column tells
+whether it can hold any of many keys, in one join for all directories (a Bloom filter would have to
+be asked for every key and directory). A hash may hit by chance, so a hit is looked up in the rows.
 """
 
 from __future__ import annotations
@@ -43,7 +42,7 @@ class Directory:
     batch: str
     rows: int
     day: str | None = None  # partition value as text; None for an unpartitioned mart
-    hashed: bool = False  # whether its key hashes are written
+    hashed: bool = False  # whether its rows have key hashes
     files: tuple[str, ...] = ()  # the files that count, if not all do
 
     @property
@@ -98,7 +97,6 @@ class Mart:
     def __init__(self, spark: SparkSession, root: str, spec: MartSpec):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.data = f"{self.root}/data"
-        self.keys = f"{self.root}/keys"
 
     # -- snapshots ---------------------------------------------------------
 
@@ -207,8 +205,7 @@ class Mart:
         stored = T.StructType([T.StructField(KEY_HASH, T.LongType()), *parts])
         if not directories:
             return self.spark.createDataFrame([], stored)
-        reader = self.spark.read.schema(stored).option("basePath", self.keys)
-        return reader.parquet(*[f"{self.keys}/{d.path}" for d in directories])
+        return self.spark.read.schema(stored).option("basePath", self.data).parquet(*self._paths(directories))
 
     def all_key_hashes(self, number: int) -> DataFrame | None:
         """The key hashes of a snapshot; None if some of its directories have none."""
@@ -225,12 +222,12 @@ class Mart:
         return rows.where(window.covers(self.spec.partition)) if window else rows
 
     def write(self, df: DataFrame, arranged: bool = False) -> list[Directory]:
-        """Write rows and their key hashes as a new batch. Nothing refers to it until a commit does.
+        """Write rows with their key hashes as a new batch. Nothing refers to it until a commit does.
 
         ``rebalance`` shuffles (by date, for a partitioned mart) and lets AQE merge
         what is small and split a date too large for one task, so neither many dates
         nor one huge date yields tiny files or a single long task. ``arranged`` rows are
-        written as they are dealt out already. The hashes are made from the written key column.
+        written as they are dealt out already.
         """
         require(df, self.spec.schema, self.spec.name)
         batch = uuid.uuid4().hex
@@ -238,11 +235,9 @@ class Mart:
         day = self.spec.partition
         parts = [day] if day else []
         shaped = df if arranged else df.hint("rebalance", *parts)
-        shaped.write.option("compression", "snappy").partitionBy(*parts).parquet(target)
         key = F.col(self.spec.key)
-        hashed = F.when(key.isNotNull(), F.xxhash64(key)).alias(KEY_HASH)
-        written = self.spark.read.schema(self.spec.schema).parquet(target).select(hashed, *parts)
-        written.write.option("compression", "snappy").partitionBy(*parts).parquet(f"{self.keys}/{BATCH}={batch}")
+        hashed = shaped.withColumn(KEY_HASH, F.when(key.isNotNull(), F.xxhash64(key)))
+        hashed.write.option("compression", "snappy").partitionBy(*parts).parquet(target)
         return [replace(d, hashed=True) for d in self._measure(batch)]
 
     def _measure(self, batch: str) -> list[Directory]:
