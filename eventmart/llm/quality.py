@@ -37,15 +37,15 @@ HELD_OUT = (4, 2)
 THRESHOLD = 0.7
 SEED = 7
 #: Texts are taken apart in parts of about so many characters, to bound memory.
-PART_CHARS = 4_000_000
+PART_CHARS = 1_000_000
 
 
 @cache
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of the ones of each slot's index vector."""
     rng = np.random.default_rng(SEED)
-    places = rng.permuted(np.tile(np.arange(DIMENSIONS), (SLOTS, 1)), axis=1)[:, :ONES]
-    return places, rng.choice([-1, 1], (SLOTS, ONES))
+    places = rng.permuted(np.tile(np.arange(DIMENSIONS, dtype=np.int8), (SLOTS, 1)), axis=1)[:, :ONES]
+    return places.astype(np.int32), rng.choice(np.array([-1, 1], np.int32), (SLOTS, ONES))
 
 
 def parts(texts: list) -> Iterator[list[str]]:
@@ -97,7 +97,6 @@ def neighbours(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places, signs = index_vectors()
     total = np.zeros(SLOTS * DIMENSIONS, np.int32)
-    signs = signs.astype(np.int32)
     for batch in batches:
         for part in parts(batch.column(0).to_pylist()):
             for slot, near in neighbours(part):
@@ -140,8 +139,8 @@ def pooled(texts: list, vectors: np.ndarray) -> np.ndarray:
         if len(at):
             first = np.flatnonzero(np.diff(at, prepend=-1))
             count = np.diff(first, append=len(at))[:, None]
-            for k, own in enumerate((vectors[core], vectors[form], index[form - CORES])):
-                mean[at[first], k * DIMENSIONS : (k + 1) * DIMENSIONS] = np.add.reduceat(own, first) / count
+            for k, (table, slot) in enumerate(((vectors, core), (vectors, form), (index, form - CORES))):
+                mean[at[first], k * DIMENSIONS : (k + 1) * DIMENSIONS] = np.add.reduceat(table[slot], first) / count
         out.append(mean)
     return np.concatenate(out)
 
