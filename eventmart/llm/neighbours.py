@@ -131,7 +131,8 @@ def squared_distance(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> n
 def search(x, ids, projected, queries, query_ids, query_projected, worst, longest, limit, k):
     """Best (ids, scores) of each query among the rows of one shard.
 
-    ``worst`` holds the squared distance that a neighbour must beat, as far as known.
+    ``worst`` holds the squared distance that a neighbour must not exceed, as far as known; what
+    exceeds it is left out.
     """
     leaves = split(projected, LEAF_ROWS)
     low = np.stack([projected[own].min(0) for own in leaves])
@@ -151,8 +152,15 @@ def search(x, ids, projected, queries, query_ids, query_projected, worst, longes
         next_leaf = order[going, step]
         for leaf in np.unique(next_leaf):
             who, own = going[next_leaf == leaf], leaves[leaf]
-            scores = (queries[who][:, None, :] * x[own][None, :, :]).sum(2)
-            scores = np.where(ids[own][None, :] == query_ids[who][:, None], -np.inf, scores)
+            # a matrix product tells which pairs can be among the k best so far, only these are scored
+            near = queries[who] @ x[own].T >= ((base[who] - worst[who]) / 2 - slack)[:, None]
+            near &= ids[own][None, :] != query_ids[who][:, None]
+            who, near = who[near.any(1)], near[near.any(1)]
+            if not len(who):
+                continue
+            one, other = np.nonzero(near)
+            scores = np.full(near.shape, -np.inf)
+            scores[one, other] = (queries[who[one]] * x[own[other]]).sum(1)
             all_scores = np.concatenate((found[who], scores), 1)
             all_ids = np.concatenate((found_ids[who], np.broadcast_to(ids[own], scores.shape)), 1)
             best = np.lexsort((all_ids, -all_scores))[:, :k]
