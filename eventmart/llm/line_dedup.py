@@ -42,19 +42,19 @@ def line_dedup(
     ``units`` (ident, unit; ident as ``row_identity`` gives it) names documents that count as
     one, such as copies of one text: their lines are not shared with anybody by that alone.
 
-    Keys are compared by 128-bit digest. Only digests are shuffled for counting, once per
-    document and digest; a line in a third of all documents is one row per task there, and
+    Keys are compared by 128-bit digest, made once for each line and written, 16 bytes a line.
+    Only digests are shuffled for counting, once per document and digest; a line in a third of all documents is one row per task there, and
     the join that finds its places may be split by Spark at run time. Texts move once, for
     the documents that lose lines.
     """
     content = F.coalesce(field(text).cast("string"), F.lit(""))
 
-    def digest(line):
-        key = _key(line)
+    def digest(key):
         return F.when(F.char_length(key) >= min_chars, F.unhex(F.md5(key.cast("binary"))))
 
     ident = row_identity(doc_id, text).alias("ident")
-    lines = docs.select(ident, F.transform(F.split(content, "\n"), digest).alias("digests"))
+    keys = F.transform(F.split(content, "\n"), _key)  # a step of its own: a name within one lambda is evaluated at each use
+    lines = written(docs.select(ident, F.transform(keys, digest).alias("digests")), "line-digests")
     seen = lines.select("ident", F.explode(F.array_distinct("digests")).alias("digest")).where(F.col("digest").isNotNull())
     if units is not None:
         seen = seen.join(units, "ident").select("digest", "unit").distinct()

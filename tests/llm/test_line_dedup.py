@@ -4,7 +4,7 @@ from collections import Counter
 from plain import CLASHES, awkward, none_of
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import BLANKS, row_identity
+from eventmart.llm.common import BLANKS, row_identity, written
 from eventmart.llm.line_dedup import line_dedup, near_copies
 
 
@@ -38,6 +38,22 @@ def test_same_as_plain_counting(spark):
         assert found(line_dedup(docs, min_docs=n, min_chars=chars)) == expected(texts, n, chars)
 
 
+def test_every_key_is_made_once(spark, monkeypatch):
+    plans = []
+
+    def recorded(rows, label):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return written(rows, label)
+
+    monkeypatch.setattr("eventmart.llm.line_dedup.written", recorded)
+    texts = ["menu\nown\n\u212a", "MENU\nOwn too\nk", " Menu ", None]  # a Kelvin sign is no K
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    result = line_dedup(docs, min_docs=2)
+    plans.append(result._jdf.queryExecution().optimizedPlan().toString())
+    assert sum(p.count("translate(") for p in plans) == 1
+    assert found(result) == expected(texts, 2)
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     result = line_dedup(docs, min_docs=3)
