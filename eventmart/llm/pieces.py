@@ -16,6 +16,7 @@ Characters without a piece become their UTF-8 bytes, so that decoding gives the
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -168,8 +169,17 @@ def units(text: str | None, known: Vocabulary, table: np.ndarray) -> list[str]:
     return [marked[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: Spark keeps Python workers, and allocators keep what was freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def _count(send) -> object:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()  # what earlier tasks of this worker left
         known = Vocabulary(*send.value)
         table, counts = known.table(), Counter()
 
@@ -182,7 +192,10 @@ def _count(send) -> object:
                 if len(counts) > FLUSH:
                     yield rows()
                     counts.clear()
+                    _give_back()
         yield rows()
+        counts.clear()
+        _give_back()
 
     return count
 
@@ -340,32 +353,31 @@ def encode(
     texts = docs.select(field(text).cast("string").alias("text"))
     send = spark.sparkContext.broadcast((known.plain(), dictionary(spark, texts, known, entries).plain()))
 
-    @F.arrow_udf("struct<ids: array<int>, same: boolean>")
+    coded = F.arrow_udf("struct<ids: array<int>, same: boolean>")(_encode(send, round_trip is not None))
+    rows = docs.select(packed(docs).alias("row"), coded(field(text).cast("string")).alias("coded"))
+    added = {ids: F.col("coded.ids")} | ({round_trip: F.col("coded.same")} if round_trip else {})
+    return unpacked(rows, "row", added)
+
+
+def _encode(send, round_trip: bool) -> object:
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        plain, own = send.value
-        known, common = Vocabulary(*plain), Dictionary(*own)
+        _give_back()  # what earlier tasks of this worker left
+        plain, entries = send.value
+        known, common = Vocabulary(*plain), Dictionary(*entries)
         table, spelt = known.table(), _spelling(known.texts)
         for batch in batches:
-            # a text has no more pieces than bytes and one; memory that is not needed is never touched
-            most = pc.sum(pc.binary_length(batch)).as_py() or 0
-            values, borders, same = np.empty(most + len(batch), np.int32), [0], []
+            # the lists go out part by part: neither this task nor Spark ever holds those of a whole batch
             for part in _parts(batch):
                 seen, lists = _numbers(), []
                 for x in part:
                     own = units(x, known, table)
                     lists.append(np.fromiter(map(seen.__getitem__, own), np.int64, len(own)))
                 found = _lists(seen, lists, common, known)
-                values[borders[-1] : borders[-1] + len(found.values)] = found.values.to_numpy()
-                borders += (found.offsets.to_numpy()[1:] + borders[-1]).tolist()
-                if round_trip:
-                    same += [a == (b or "") for a, b in zip(_decoded(found, spelt), part, strict=True)]
-            whole = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(values[: borders[-1]]))
-            yield pa.StructArray.from_arrays([whole, pa.array(same or [None] * len(batch), pa.bool_())], ["ids", "same"])
-            pa.default_memory_pool().release_unused()
+                same = [a == (b or "") for a, b in zip(_decoded(found, spelt), part, strict=True)] if round_trip else [None] * len(part)
+                yield pa.StructArray.from_arrays([found, pa.array(same, pa.bool_())], ["ids", "same"])
+                _give_back()
 
-    rows = docs.select(packed(docs).alias("row"), coded(field(text).cast("string")).alias("coded"))
-    added = {ids: F.col("coded.ids")} | ({round_trip: F.col("coded.same")} if round_trip else {})
-    return unpacked(rows, "row", added)
+    return coded
 
 
 def _parts(batch: pa.Array) -> Iterator[list]:

@@ -1,8 +1,11 @@
 import os
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from plain import CLASHES, awkward, none_of
 
+from eventmart.llm import pieces
 from eventmart.llm.pieces import SPACE, decode, encode, pieces_of, units, vocabulary
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -98,3 +101,18 @@ def test_decoding_odd_lists(spark):
     rows = [(None,), ([],), ([None, 99_999_999, -1],), ([1, 2],), ([3 + 0xE6],)]
     got = decode(spark.createDataFrame(rows, "ids array<int>"), MODEL).collect()
     assert [r["text"] for r in got] == [None, "", "", "", "�"]
+
+
+@needs_model
+def test_lists_leave_the_task_in_parts(spark, monkeypatch):
+    """No array that goes to Spark holds the pieces of a whole batch; order and ids are as ever."""
+    known = vocabulary(MODEL)
+    none = pieces.dictionary(spark, spark.createDataFrame([], "text string"), known, 0)
+    send = SimpleNamespace(value=(known.plain(), none.plain()))
+    monkeypatch.setattr(pieces, "PART_CHARS", 50)
+    texts = [f"text number {k} of a long batch" for k in range(200)] + [None, "", *TEXTS]
+    arrays = list(pieces._encode(send, True)(iter([pa.array(texts, pa.string()), pa.array(["one more"])])))
+    assert max(map(len, arrays)) < 10
+    assert [x for a in arrays for x in a.field("ids").to_pylist()] == by_library(MODEL, [x or "" for x in texts] + ["one more"])
+    assert all(x for a in arrays for x in a.field("same").to_pylist())
+    assert encoded(spark, texts, MODEL) == by_library(MODEL, [x or "" for x in texts])  # rows and parts stay side by side
